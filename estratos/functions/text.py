@@ -13,8 +13,13 @@ def _col(c: Column | str) -> Column:
 
 
 def trim_spaces(c: Column | str) -> Column:
-    """Trim every Unicode space separator, not only U+0020."""
-    return F.btrim(_col(c), F.lit(SPACES))
+    """Trim every Unicode space separator, not only U+0020.
+
+    The slower trim by a set of characters is left to texts that are not plain ASCII.
+    """
+    trimmed = F.trim(_col(c))
+    wide = F.octet_length(trimmed) > F.length(trimmed)
+    return F.when(wide, F.btrim(trimmed, F.lit(SPACES))).otherwise(trimmed)
 
 
 def title_case(c: Column | str) -> Column:

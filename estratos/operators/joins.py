@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,30 +14,39 @@ BROADCAST_ROWS = 200_000
 
 
 def bounded_join(
-    big: DataFrame, small: DataFrame, domains: Mapping[str, tuple[int, int]], how: str = "inner"
+    big: DataFrame, small: DataFrame, domains: Mapping[str, tuple[int, int]], null_safe: bool = False
 ) -> DataFrame:
-    """Equi-join with a side that has one row per key, its keys being integers.
+    """Inner join with a side that has one row per key, the keys being integers.
 
     With the key columns inside their domains the small side has at most the product of the domain sizes:
     that part is broadcast and the big side is not shuffled. Rows with a key outside (a corrupt year) are
-    joined by shuffle, so the result is whole whatever the data holds. If the domains are too large to
-    prove a useful bound, everything is shuffled.
+    joined by shuffle, so the result is whole whatever the data holds; on a scan their filter skips all row
+    groups without such keys. If the domains are too large to prove a useful bound, everything is shuffled.
+    With `null_safe` null keys match each other.
     """
-    keys = list(domains)
-    bound = 1
-    for low, high in domains.values():
-        bound *= high - low + 1
+    bound = math.prod(high - low + 1 for low, high in domains.values())
     if bound > BROADCAST_ROWS:
-        return big.join(small, keys, how)
-    inside = F.lit(True)
+        return _equal_keys(big, small, list(domains), null_safe)
+    inside_big, inside_small, outside = big, small, F.lit(False)
     for key, (low, high) in domains.items():
-        inside = inside & F.col(key).between(F.lit(low), F.lit(high))
-    inside = F.coalesce(inside, F.lit(False))
-    near = big.where(inside).join(F.broadcast(small.where(inside)), keys, how)
-    far = big.where(~inside).join(small.where(~inside), keys, how)
+        inside_big = inside_big.where(F.col(key).between(low, high))
+        inside_small = inside_small.where(F.col(key).between(low, high))
+        outside = outside | (F.col(key) < low) | (F.col(key) > high) | F.col(key).isNull()
+    near = _equal_keys(inside_big, F.broadcast(inside_small), list(domains), False)
+    far = _equal_keys(big.where(outside), small.where(outside), list(domains), null_safe)
     return near.unionByName(far)
 
 
+def _equal_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    if not null_safe:
+        return left.join(right, list(keys), "inner")
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    condition = reduce(
+        lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys]
+    )
+    return left.join(renamed, condition, "inner").drop(*[f"_right_{key}" for key in keys])
+
+
 def matching_years(left: DataFrame, right: DataFrame) -> DataFrame:
     """J1. Inner join of two yearly results; both are one row per year, AQE picks the strategy."""
     return left.join(right, "year", "inner")

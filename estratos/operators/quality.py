@@ -6,7 +6,7 @@ share one aggregation pass; each uniqueness check needs its own grouping.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,11 +22,15 @@ class MissingColumns(ValueError):
 
 @dataclass(frozen=True)
 class RowCheck:
-    """A check decided row by row; `fails` is true on offending rows, and null passes."""
+    """A check decided row by row; `fails()` is true on offending rows, and null passes.
+
+    The condition is a function because a Column can only be made in a running session, and suites of
+    checks are written down before there is one.
+    """
 
     kind: str
     column: str
-    fails: Column
+    fails: Callable[[], Column]
     severity: str = "warn"
 
 
@@ -49,12 +53,12 @@ Check = RowCheck | UniqueCheck
 
 def not_null(column: str, severity: str = "warn") -> RowCheck:
     """DQ1."""
-    return RowCheck("not_null", column, F.col(column).isNull(), severity)
+    return RowCheck("not_null", column, lambda: F.col(column).isNull(), severity)
 
 
 def not_blank(column: str, severity: str = "warn") -> RowCheck:
     """DQ1 for text that cleaning turns from null into ''."""
-    return RowCheck("not_blank", column, blank(column), severity)
+    return RowCheck("not_blank", column, lambda: blank(column), severity)
 
 
 def unique(column: str, keys: Sequence[str] | None = None, severity: str = "warn") -> UniqueCheck:
@@ -64,34 +68,39 @@ def unique(column: str, keys: Sequence[str] | None = None, severity: str = "warn
 
 def accepted_values(column: str, values: Sequence[object], severity: str = "warn") -> RowCheck:
     """DQ3."""
-    return RowCheck("accepted_values", column, ~F.col(column).isin(list(values)), severity)
+    return RowCheck("accepted_values", column, lambda: ~F.col(column).isin(list(values)), severity)
 
 
 def between(column: str, low: float | None = None, high: float | None = None, severity: str = "warn") -> RowCheck:
     """DQ4. Either bound may be left open."""
-    c = F.col(column)
-    fails = F.lit(False)
-    if low is not None:
-        fails = fails | (c < F.lit(low))
-    if high is not None:
-        fails = fails | (c > F.lit(high))
+
+    def fails() -> Column:
+        below = F.col(column) < F.lit(low) if low is not None else F.lit(False)
+        above = F.col(column) > F.lit(high) if high is not None else F.lit(False)
+        return below | above
+
     return RowCheck("between", column, fails, severity)
 
 
 def not_negative(column: str, severity: str = "warn") -> RowCheck:
     """DQ5."""
-    return RowCheck("positive_values", column, F.col(column) < 0, severity)
+    return RowCheck("positive_values", column, lambda: F.col(column) < 0, severity)
+
+
+def agree_within(
+    column: str, other: str, tolerance: float, where: Callable[[], Column], severity: str = "warn"
+) -> RowCheck:
+    """DQ6. Two measures differ by more than a tolerance on rows for which `where()` holds."""
 
+    def fails() -> Column:
+        return (F.abs(F.col(column) - F.col(other)) > F.lit(tolerance)) & where()
 
-def agree_within(column: str, other: str, tolerance: float, where: Column, severity: str = "warn") -> RowCheck:
-    """DQ6. Two measures differ by more than a tolerance on rows for which `where` holds."""
-    fails = (F.abs(F.col(column) - F.col(other)) > F.lit(tolerance)) & where
     return RowCheck(f"agrees_with_{other}", column, fails, severity)
 
 
 def not_above(column: str, other: str, severity: str = "warn") -> RowCheck:
     """DQ7. A column may not exceed another, such as occupied and available rooms."""
-    return RowCheck(f"not_above_{other}", column, F.col(column) > F.col(other), severity)
+    return RowCheck(f"not_above_{other}", column, lambda: F.col(column) > F.col(other), severity)
 
 
 def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -120,7 +129,7 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     """The rows that offend; for a uniqueness check the repeated keys with their number of rows."""
     if isinstance(check, UniqueCheck):
         return _duplicated(df, check)
-    return df.where(check.fails)
+    return df.where(check.fails())
 
 
 def _entry(check: Check, count: Column) -> Column:
@@ -140,7 +149,7 @@ def report(df: DataFrame, checks: Sequence[Check], table: str | None = None) ->
     rows = [c for c in checks if isinstance(c, RowCheck)]
     parts = []
     if rows:
-        counts = df.agg(*[F.count_if(c.fails).alias(f"c{i}") for i, c in enumerate(rows)])
+        counts = df.agg(*[F.count_if(c.fails()).alias(f"c{i}") for i, c in enumerate(rows)])
         entries = F.array(*[_entry(c, F.col(f"c{i}")) for i, c in enumerate(rows)])
         parts.append(counts.select(F.inline(entries)))
     for check in checks:

@@ -32,7 +32,7 @@ def running_totals(
     running = totals.select(
         partition, order, *[F.sum(name).over(frame).alias(name) for name in measures]
     )
-    return bounded_join(df, running, {partition: partition_domain, order: order_domain})
+    return bounded_join(df, running, {partition: partition_domain, order: order_domain}, null_safe=True)
 
 
 def latest_row(df: DataFrame, keys: Sequence[str], by: str, *tie_break: str) -> DataFrame:

@@ -70,24 +70,29 @@ def load_bronze(spark: SparkSession, config: RunConfig) -> list[bronze.LoadRepor
         return list(pool.map(one, BRONZE))
 
 
-def silver_tables(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
-    """The cleaned tables as lazy views over written bronze."""
+def _raw(spark: SparkSession, config: RunConfig, table: str) -> DataFrame:
+    return readers.read_table(spark, bronze_path(config, table), BRONZE[table])
 
-    def raw(table: str) -> DataFrame:
-        return readers.read_table(spark, bronze_path(config, table), BRONZE[table])
 
-    def limits(table: str) -> dict[str, int]:
-        return {"min_year": config.min_years[table]} if table in config.min_years else {}
+def _limits(config: RunConfig, table: str) -> dict[str, int]:
+    return {"min_year": config.min_years[table]} if table in config.min_years else {}
 
+
+def silver_tables(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
+    """The cleaned tables as lazy views over written bronze."""
+
+    models = {
+        "stg_tourism_arrivals": (silver.stg_tourism_arrivals, "arrivals"),
+        "stg_hotel_occupancy": (silver.stg_hotel_occupancy, "occupancy"),
+        "stg_migracion_flows": (silver.stg_migracion_flows, "migration"),
+        "stg_dane_tourism_gdp": (silver.stg_dane_tourism_gdp, "gdp"),
+        "stg_aerocivil_passengers": (silver.stg_aerocivil_passengers, "air"),
+        "stg_banrep_tourism_balance": (silver.stg_banrep_tourism_balance, "balance"),
+        "stg_world_bank_arrivals": (silver.stg_world_bank_arrivals, "indicators"),
+        "stg_world_bank_regional": (silver.stg_world_bank_regional, "regional"),
+    }
     tables = {
-        "stg_tourism_arrivals": silver.stg_tourism_arrivals(raw("arrivals"), **limits("arrivals")),
-        "stg_hotel_occupancy": silver.stg_hotel_occupancy(raw("occupancy"), **limits("occupancy")),
-        "stg_migracion_flows": silver.stg_migracion_flows(raw("migration"), **limits("migration")),
-        "stg_dane_tourism_gdp": silver.stg_dane_tourism_gdp(raw("gdp"), **limits("gdp")),
-        "stg_aerocivil_passengers": silver.stg_aerocivil_passengers(raw("air"), **limits("air")),
-        "stg_banrep_tourism_balance": silver.stg_banrep_tourism_balance(raw("balance"), **limits("balance")),
-        "stg_world_bank_arrivals": silver.stg_world_bank_arrivals(raw("indicators"), **limits("indicators")),
-        "stg_world_bank_regional": silver.stg_world_bank_regional(raw("regional"), **limits("regional")),
+        name: model(_raw(spark, config, table), **_limits(config, table)) for name, (model, table) in models.items()
     }
     for name, df in tables.items():
         sinks.publish_view(df, name)
@@ -102,7 +107,7 @@ def gold_plans(spark: SparkSession, config: RunConfig, stg: Mapping[str, DataFra
         seed = readers.read_seed(spark, seed, DEPARTMENT_SEED)
     return {
         "fct_tourism_arrivals": gold.fct_tourism_arrivals(
-            gold.int_arrivals_monthly(stg["stg_tourism_arrivals"]), at
+            gold.arrivals_monthly(_raw(spark, config, "arrivals"), **_limits(config, "arrivals")), at
         ),
         "fct_hotel_occupancy": gold.fct_hotel_occupancy(stg["stg_hotel_occupancy"], at),
         "fct_migration_flows": gold.fct_migration_flows(stg["stg_migracion_flows"], at),

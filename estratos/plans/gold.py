@@ -11,9 +11,11 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from estratos import fixed_values as fixed
 from estratos.functions import first_of_month, guarded_pct, settled_avg, surrogate_key
 from estratos.operators import calendar as cal
 from estratos.operators.windows import running_totals
+from estratos.plans import silver
 from estratos.schemas import GRAIN
 
 NOW = "now"
@@ -46,6 +48,27 @@ def int_arrivals_monthly(stg_arrivals: DataFrame) -> DataFrame:
     )
 
 
+def arrivals_monthly(raw: DataFrame, min_year: int = fixed.SILVER_ARRIVALS_MIN_YEAR) -> DataFrame:
+    """M1 and M9 in one: the same rows as `int_arrivals_monthly(stg_tourism_arrivals(raw))`.
+
+    Cleaning texts is the costly part, and a month of arrivals repeats few texts. So rows are summed by
+    their raw texts first, which leaves one row per combination, and only those are cleaned and summed again.
+    """
+    keys = GRAIN["fct_tourism_arrivals"]
+    by_raw_text = silver.typed_arrivals(raw, min_year).groupBy(*keys).agg(
+        F.sum("number_of_visitors").alias("visitors"),
+        F.sum("estimated_spending_usd").alias("spending"),
+        F.count(F.lit(1)).alias("records"),
+    )
+    spending, records = F.sum("spending"), F.sum("records")
+    return silver.clean_arrival_texts(by_raw_text).groupBy(*keys).agg(
+        F.sum("visitors").alias("total_visitors"),
+        spending.alias("total_spending_usd"),
+        (F.round(spending, 6) / records).alias("average_spending_usd"),
+        records.alias("num_records"),
+    )
+
+
 def fct_tourism_arrivals(monthly: DataFrame, loaded_at: datetime | str | None = NOW) -> DataFrame:
     """M10."""
     fact = monthly.select(

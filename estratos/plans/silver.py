@@ -29,22 +29,32 @@ def _year(minimum: int) -> Column:
     return F.col("year") >= minimum
 
 
-def stg_tourism_arrivals(raw: DataFrame, min_year: int = fixed.SILVER_ARRIVALS_MIN_YEAR) -> DataFrame:
-    """M1."""
+ARRIVAL_TEXTS = ("country_of_origin", "destination_department", "travel_purpose", "entry_point")
+
+
+def typed_arrivals(raw: DataFrame, min_year: int = fixed.SILVER_ARRIVALS_MIN_YEAR) -> DataFrame:
+    """M1 without the cleaning of texts: valid rows, typed, texts as they came."""
     valid = valid_rows(raw, F.col("number_of_visitors") >= 0, _year(min_year), F.col("month").between(1, 12))
     return valid.select(
         F.col("arrival_date").cast("date").alias("arrival_date"),
         _int(raw, "year").alias("year"),
         _int(raw, "month").alias("month"),
-        title_case("country_of_origin").alias("country_of_origin"),
-        title_case("destination_department").alias("destination_department"),
-        title_case("travel_purpose").alias("travel_purpose"),
-        title_case("entry_point").alias("entry_point"),
+        *ARRIVAL_TEXTS,
         _int(raw, "number_of_visitors", 0).alias("number_of_visitors"),
         _double("estimated_spending_usd").alias("estimated_spending_usd"),
     )
 
 
+def clean_arrival_texts(df: DataFrame) -> DataFrame:
+    """PF10. Title case of the arrivals' four texts."""
+    return df.withColumns({name: title_case(name) for name in ARRIVAL_TEXTS})
+
+
+def stg_tourism_arrivals(raw: DataFrame, min_year: int = fixed.SILVER_ARRIVALS_MIN_YEAR) -> DataFrame:
+    """M1."""
+    return clean_arrival_texts(typed_arrivals(raw, min_year))
+
+
 def stg_hotel_occupancy(
     raw: DataFrame, min_year: int = fixed.SILVER_OCCUPANCY_MIN_YEAR, preserve_null: bool = False
 ) -> DataFrame:

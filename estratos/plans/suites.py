@@ -78,7 +78,7 @@ OCCUPANCY_TOLERANCE = 10.0
 def occupancy_agrees() -> Check:
     """DQ6. Reported and calculated occupancy within ten points where there are rooms."""
     return q.agree_within(
-        "occupancy_rate", "calculated_occupancy", OCCUPANCY_TOLERANCE, F.col("available_rooms") > 0
+        "occupancy_rate", "calculated_occupancy", OCCUPANCY_TOLERANCE, lambda: F.col("available_rooms") > 0
     )
 
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {"int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(), "date": T.DateType()}
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def _schema(columns: str) -> T.StructType:
+    """Schema of 'name type, ...'. Spark's own parser of such texts needs a running session."""
+    pairs = [part.split() for part in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 BRONZE = {
@@ -47,10 +51,15 @@ BRONZE = {
 DEPARTMENT_SEED = _schema("dane_code string, department string, capital string, region string")
 
 # One page of the indicator service: `[metadata, [record, ...]]`; only the second element is typed.
+_NAMED = _schema("id string, value string")
 INDICATOR_RECORDS = T.ArrayType(
-    _schema(
-        "indicator struct<id: string, value: string>, country struct<id: string, value: string>, "
-        "date string, value double"
+    T.StructType(
+        [
+            T.StructField("indicator", _NAMED),
+            T.StructField("country", _NAMED),
+            T.StructField("date", T.StringType()),
+            T.StructField("value", T.DoubleType()),
+        ]
     )
 )
 

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the Python call site of every Column costs more than the rest of building a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -29,7 +29,7 @@ def stg(name: str, spark: SparkSession, sf: str, years: Years = None) -> DataFra
 
 
 def arrivals(spark: SparkSession, sf: str, years: Years = None) -> DataFrame:
-    return gold.fct_tourism_arrivals(gold.int_arrivals_monthly(stg("stg_tourism_arrivals", spark, sf, years)), None)
+    return gold.fct_tourism_arrivals(gold.arrivals_monthly(bindings.arrivals(spark, sf, years), START), None)
 
 
 def occupancy(spark: SparkSession, sf: str, years: Years = None) -> DataFrame:
