@@ -129,7 +129,7 @@ GOLD: dict[str, list[Check]] = {
     ],
     "fct_tourism_balance": [
         *_key("fct_tourism_balance", "balance_id"),
-        *_not_null("year", "quarter"),
+        *_not_null("year", "quarter", "tourism_income_usd_millions"),
         q.accepted_values("quarter", _QUARTERS),
         q.between("tourism_income_usd_millions", 0),
     ],

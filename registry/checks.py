@@ -148,6 +148,8 @@ def _item_quality_report(spark, sf):
                 _count("not_null", "balance_id", "fct_tourism_balance", "balance_id is null"),
                 _count("not_null", "year", "fct_tourism_balance", "year is null"),
                 _count("not_null", "quarter", "fct_tourism_balance", "quarter is null"),
+                _count("not_null", "tourism_income_usd_millions", "fct_tourism_balance",
+                       "tourism_income_usd_millions is null"),
                 _count("accepted_values", "quarter", "fct_tourism_balance", "quarter not in (1, 2, 3, 4)"),
                 _count("between", "tourism_income_usd_millions", "fct_tourism_balance",
                        "tourism_income_usd_millions < 0"),
