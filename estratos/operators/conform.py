@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,11 +112,18 @@ def sums_to_zero(df: DataFrame, value: Column) -> Column:
     return df.agg(F.coalesce(F.sum(value.cast("bigint")), F.lit(0))).scalar() == 0
 
 
-def _in_period(df: DataFrame, min_year: int, part: str, last: int) -> DataFrame:
+def _in_period(
+    df: DataFrame, min_year: int, part: str, last: int, read: Observation | None
+) -> DataFrame:
+    """PF12. Keep valid periods; `read` counts the rows before the filter while they pass."""
+    if read is not None:
+        df = df.observe(read, F.count(F.lit(1)).alias("rows_read"))
     return valid_rows(df, F.col("year") >= min_year, F.col(part).between(1, last))
 
 
-def conform_arrivals(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR) -> DataFrame:
+def conform_arrivals(
+    raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR, read: Observation | None = None
+) -> DataFrame:
     """PF1-PF5, PF12. Raw arrivals files to the canonical arrivals table.
 
     Year and month come from the date where their column is absent; the date is built as day 15 where its
@@ -151,10 +158,12 @@ def conform_arrivals(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR) -> D
         | _ints(df, {"number_of_visitors": 0})
         | _doubles(df, {"estimated_spending_usd": 0.0})
     )
-    return _in_period(df, min_year, "month", 12)
+    return _in_period(df, min_year, "month", 12, read)
 
 
-def conform_occupancy(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR) -> DataFrame:
+def conform_occupancy(
+    raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR, read: Observation | None = None
+) -> DataFrame:
     """PF1-PF3, PF6, PF7, PF12. Raw occupancy files to the canonical occupancy table.
 
     Occupied rooms are derived from the rate where their column is absent or never filled.
@@ -174,10 +183,12 @@ def conform_occupancy(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR) ->
         | _ints(df, {"year": 0, "month": 0})
         | _doubles(df, {"average_rate_cop": 0.0})
     )
-    return _in_period(df, min_year, "month", 12)
+    return _in_period(df, min_year, "month", 12, read)
 
 
-def conform_air(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR) -> DataFrame:
+def conform_air(
+    raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR, read: Observation | None = None
+) -> DataFrame:
     """PF1-PF3, PF8, PF12. Raw air traffic files; the total is derived where it is absent or sums to zero."""
     df = harmonise_headers(raw, fixed.AIR_HEADERS)
     df = add_missing(df, {"airport": fixed.UNKNOWN, "airport_city": fixed.UNKNOWN})
@@ -189,10 +200,12 @@ def conform_air(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR) -> DataFr
     else:
         total = derived
     df = df.withColumns(numbers | {"total_passengers": total})
-    return _in_period(df, min_year, "month", 12)
+    return _in_period(df, min_year, "month", 12, read)
 
 
-def conform_balance(raw: DataFrame, min_year: int = fixed.BRONZE_BALANCE_MIN_YEAR) -> DataFrame:
+def conform_balance(
+    raw: DataFrame, min_year: int = fixed.BRONZE_BALANCE_MIN_YEAR, read: Observation | None = None
+) -> DataFrame:
     """PF1-PF3, PF9, PF12. Raw balance files; the balance is derived only where its column is absent."""
     df = harmonise_headers(raw, fixed.BALANCE_HEADERS)
     numbers = _ints(df, {"year": 0, "quarter": fixed.DEFAULT_QUARTER}) | _doubles(
@@ -206,11 +219,11 @@ def conform_balance(raw: DataFrame, min_year: int = fixed.BRONZE_BALANCE_MIN_YEA
             numbers["tourism_income_usd_millions"] - numbers["tourism_expenditure_usd_millions"]
         )
     df = add_missing(df, {"source": fixed.SOURCE_BALANCE}).withColumns(numbers)
-    return _in_period(df, min_year, "quarter", 4)
+    return _in_period(df, min_year, "quarter", 4, read)
 
 
 def conform_gdp(raw: DataFrame) -> DataFrame:
-    """PF1-PF3. Raw yearly GDP files; silver decides which rows are valid."""
+    """PF1-PF3. Raw yearly GDP files; no row is dropped here, silver decides which are valid."""
     df = harmonise_headers(raw, fixed.GDP_HEADERS)
     df = add_missing(df, {"source": fixed.SOURCE_GDP})
     return df.withColumns(
@@ -222,7 +235,7 @@ def conform_gdp(raw: DataFrame) -> DataFrame:
 
 
 def conform_migration(raw: DataFrame) -> DataFrame:
-    """PF1-PF3. Raw migration files; silver decides which rows are valid."""
+    """PF1-PF3. Raw migration files; no row is dropped here, silver decides which are valid."""
     df = harmonise_headers(raw, fixed.MIGRATION_HEADERS)
     df = add_missing(df, {"source": fixed.SOURCE_MIGRATION})
     return df.withColumns(_ints(df, {"year": 0, "month": 0, "number_of_travelers": 0}))

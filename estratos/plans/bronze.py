@@ -7,15 +7,16 @@ and a fallback frame to use instead.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from estratos import fixed_values as fixed
-from estratos.operators import conform
+from estratos.operators import conform, windows
 from estratos.operators.filters import valid_rows
 from estratos.schemas import BRONZE
 from estratos.sources import readers, sinks
@@ -55,14 +56,18 @@ def indicator_files(
     return valid_rows(readers.read_indicator_files(spark, paths), F.col("year") >= min_year)
 
 
-def arrivals_csv(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR) -> DataFrame:
+def arrivals_csv(
+    raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR, read: Observation | None = None
+) -> DataFrame:
     """B4."""
-    return _canonical(conform.conform_arrivals(raw, min_year), "arrivals")
+    return _canonical(conform.conform_arrivals(raw, min_year, read), "arrivals")
 
 
-def occupancy_csv(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR) -> DataFrame:
+def occupancy_csv(
+    raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR, read: Observation | None = None
+) -> DataFrame:
     """B5."""
-    return _canonical(conform.conform_occupancy(raw, min_year), "occupancy")
+    return _canonical(conform.conform_occupancy(raw, min_year, read), "occupancy")
 
 
 def gdp_csv(raw: DataFrame) -> DataFrame:
@@ -75,14 +80,16 @@ def migration_csv(raw: DataFrame) -> DataFrame:
     return _canonical(conform.conform_migration(raw), "migration")
 
 
-def air_csv(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR) -> DataFrame:
+def air_csv(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR, read: Observation | None = None) -> DataFrame:
     """B9."""
-    return _canonical(conform.conform_air(raw, min_year), "air")
+    return _canonical(conform.conform_air(raw, min_year, read), "air")
 
 
-def balance_csv(raw: DataFrame, min_year: int = fixed.BRONZE_BALANCE_MIN_YEAR) -> DataFrame:
+def balance_csv(
+    raw: DataFrame, min_year: int = fixed.BRONZE_BALANCE_MIN_YEAR, read: Observation | None = None
+) -> DataFrame:
     """B10."""
-    return _canonical(conform.conform_balance(raw, min_year), "balance")
+    return _canonical(conform.conform_balance(raw, min_year, read), "balance")
 
 
 @dataclass
@@ -97,6 +104,10 @@ class LoadReport:
     year_min: int | None
     year_max: int | None
     headers: conform.HeaderReport = field(default_factory=conform.HeaderReport)
+    rows_dropped: int = 0
+
+
+LANDED = "landed"
 
 
 HEADERS = {
@@ -108,14 +119,37 @@ HEADERS = {
     "balance": fixed.BALANCE_HEADERS,
 }
 
-CONFORMERS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "arrivals": arrivals_csv,
-    "occupancy": occupancy_csv,
-    "gdp": gdp_csv,
-    "migration": migration_csv,
-    "air": air_csv,
-    "balance": balance_csv,
+# The datasets whose loader drops rows outside the valid periods, with the first year each keeps.
+MIN_YEARS = {
+    "arrivals": fixed.BRONZE_MIN_YEAR,
+    "occupancy": fixed.BRONZE_MIN_YEAR,
+    "air": fixed.BRONZE_MIN_YEAR,
+    "balance": fixed.BRONZE_BALANCE_MIN_YEAR,
+    "indicators": fixed.BRONZE_MIN_YEAR,
+    "regional": fixed.BRONZE_MIN_YEAR,
 }
+FILTERED = {"arrivals": arrivals_csv, "occupancy": occupancy_csv, "air": air_csv, "balance": balance_csv}
+UNFILTERED = {"gdp": gdp_csv, "migration": migration_csv}
+
+
+def conformed(table: str, raw: DataFrame, min_year: int | None = None, read: Observation | None = None) -> DataFrame:
+    """B4, B5, B7-B10 by name of the dataset."""
+    if table in UNFILTERED:
+        return UNFILTERED[table](raw)
+    return FILTERED[table](raw, MIN_YEARS[table] if min_year is None else min_year, read)
+
+
+def _report(table: str, path: str, source: str, rows: DataFrame, metrics: Mapping[str, object], **more) -> LoadReport:
+    return LoadReport(
+        table=table,
+        path=path,
+        source_used=source,
+        num_rows=int(metrics["num_rows"]),
+        columns=rows.columns,
+        year_min=metrics["year_min"],
+        year_max=metrics["year_max"],
+        **more,
+    )
 
 
 def load(
@@ -127,6 +161,7 @@ def load(
     archive: str | None = None,
     on: date | None = None,
     encoding: str = "UTF-8",
+    min_year: int | None = None,
 ) -> LoadReport:
     """IO3, IO4, IO16, IO6, IO21. Load one landed CSV dataset into bronze.
 
@@ -134,27 +169,25 @@ def load(
     files cannot be read, or no valid row is left.
     """
     headers = conform.HeaderReport()
+    raw: DataFrame | None = None
 
     def primary() -> DataFrame:
-        nonlocal headers
+        nonlocal headers, raw
         raw = readers.read_csv(spark, landed, encoding)
         headers = conform.header_report(raw.columns, HEADERS[table], BRONZE[table].names)
         if archive is not None:
             sinks.archive_lines(spark, landed, archive, table, on or date.today())
-        return CONFORMERS[table](raw)
-
-    rows, source = readers.choose_source(primary if landed else None, lambda: fallback, "landed")
+        return conformed(table, raw, min_year)
+
+    rows, source = readers.choose_source(primary if landed else None, lambda: fallback, LANDED)
+    read = None
+    if source == LANDED and table in FILTERED:
+        # The rows read are counted in the same pass that writes the rows kept.
+        read = Observation(f"read-{uuid.uuid4().hex}")
+        rows = conformed(table, raw, min_year, read)
     metrics = sinks.write_parquet(rows, path)
-    return LoadReport(
-        table=table,
-        path=path,
-        source_used=source,
-        num_rows=int(metrics["num_rows"]),
-        columns=rows.columns,
-        year_min=metrics.get("year_min"),
-        year_max=metrics.get("year_max"),
-        headers=headers,
-    )
+    dropped = int(read.get["rows_read"]) - int(metrics["num_rows"]) if read is not None else 0
+    return _report(table, path, source, rows, metrics, headers=headers, rows_dropped=dropped)
 
 
 INDICATOR_TABLES = ("indicators", "regional")
@@ -168,24 +201,20 @@ def load_indicators(
     path: str,
     archive: str | None = None,
     on: date | None = None,
-    min_year: int = fixed.BRONZE_MIN_YEAR,
+    min_year: int | None = None,
 ) -> LoadReport:
     """B3, B6. As `load`, for landed indicator answers."""
 
     def primary() -> DataFrame:
         if archive is not None:
             sinks.archive_payloads(spark, landed, archive, table, on or date.today())
-        return indicator_files(spark, landed, min_year)
+        return indicator_files(spark, landed, MIN_YEARS[table] if min_year is None else min_year)
 
-    rows, source = readers.choose_source(primary if landed else None, lambda: fallback, "landed")
+    rows, source = readers.choose_source(primary if landed else None, lambda: fallback, LANDED)
     rows = rows.select(*BRONZE[table].names)
-    metrics = sinks.write_parquet(rows, path)
-    return LoadReport(
-        table=table,
-        path=path,
-        source_used=source,
-        num_rows=int(metrics["num_rows"]),
-        columns=rows.columns,
-        year_min=metrics["year_min"],
-        year_max=metrics["year_max"],
-    )
+    return _report(table, path, source, rows, sinks.write_parquet(rows, path))
+
+
+def latest_indicator(rows: DataFrame, code: str = fixed.ARRIVALS_CODE) -> DataFrame:
+    """IO21, WF4. Last year and value of one indicator, for the report of a load."""
+    return windows.last_by(rows.where(F.col("indicator_code") == F.lit(code)), "year", "value").select("year", "value")

@@ -26,7 +26,8 @@ class RunConfig:
     """Where to read and write, and what to fall back to.
 
     `landed` names the landed files of a dataset where there are any (CSV; JSON answers for the indicator
-    datasets); `fallbacks` holds a conformed frame for each. `departments` is the seed CSV or a frame.
+    datasets); `fallbacks` holds a conformed frame for each. `departments` is the seed CSV or a frame. The
+    year limits, by dataset, replace the defaults of the bronze loads and of the cleaned tables.
     """
 
     root: str
@@ -37,6 +38,7 @@ class RunConfig:
     on: date | None = None
     calendar_start: str = fixed.CALENDAR_START
     calendar_end: str = fixed.CALENDAR_END
+    bronze_min_years: Mapping[str, int] = field(default_factory=dict)
     min_years: Mapping[str, int] = field(default_factory=dict)
     threads: int = 4
 
@@ -64,6 +66,7 @@ def load_bronze(spark: SparkSession, config: RunConfig) -> list[bronze.LoadRepor
         return loader(
             spark, table, config.landed.get(table), config.fallbacks[table], bronze_path(config, table),
             archive=f"{config.root}/archive", on=config.on,
+            min_year=config.bronze_min_years.get(table),
         )
 
     with ThreadPoolExecutor(config.threads) as pool:

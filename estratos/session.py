@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -21,12 +23,36 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "estratos", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the library's defaults; `conf` keys use `__` for dots."""
+# Shuffle partitions are planned for this much input each, up to a number a driver can still manage.
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 50_000
+
+
+def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for an input of a given size on a cluster with a given number of cores.
+
+    The number of shuffle partitions is where AQE starts; it merges small ones afterwards, so planning for
+    the largest table costs little on the small ones. 100 TB give 50 000 partitions of about 2 GB, which
+    spill in sorts but fit an executor's disk; a partition far above the others is split by the skew rules.
+    """
+    wanted = math.ceil(input_bytes / PARTITION_BYTES)
+    partitions = min(max(wanted, 2 * cores), MAX_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES // 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
+def build_session(
+    app: str = "estratos", master: str | None = None, settings: Mapping[str, str] | None = None, **conf: str
+) -> SparkSession:
+    """A session with the library's defaults, then `settings`, then `conf`, whose keys use `__` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = DEFAULTS | {key.replace("__", "."): value for key, value in conf.items()}
+    settings = DEFAULTS | dict(settings or {}) | {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -134,6 +134,18 @@ def _bronze_regional(spark, sf):
     return bronze.indicator_files(spark, _answer_files(spark, sf), min_year=1996)
 
 
+@register(
+    "latest_indicator", "IO21 WF4",
+    sql(
+        """select year, value from regional where indicator_code = 'ST.INT.ARVL'
+           order by year desc, value desc limit 1""",
+        "regional",
+    ),
+)
+def _latest_indicator(spark, sf):
+    return bronze.latest_indicator(bindings.regional(spark, sf))
+
+
 @register(
     "event_props", "IO5",
     """select event_id, cast(json_extract(props, '$.k') as integer) as k from events""",
