@@ -15,31 +15,31 @@ def _word(words: list[str], position: Column) -> Column:
 
 
 def first_of_month(year: Column | str, month: Column | str) -> Column:
-    """First day of the month; null for a month outside 1..12."""
+    """PF18. First day of the month; null for a month outside 1..12."""
     return F.try_make_timestamp(
         _col(year), _col(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0)
     ).cast("date")
 
 
 def mid_month(year: Column | str, month: Column | str) -> Column:
-    """Day 15 of the month; null for an impossible month."""
+    """PF5. Day 15 of the month; null for an impossible month."""
     return F.try_make_timestamp(
         _col(year), _col(month), F.lit(MID_MONTH_DAY), F.lit(0), F.lit(0), F.lit(0)
     ).cast("date")
 
 
 def parse_date(c: Column | str) -> Column:
-    """Date of an ISO date or timestamp text; null when it cannot be read."""
+    """PF4. Date of an ISO date or timestamp text; null when it cannot be read."""
     return _col(c).try_cast("date")
 
 
 def period_label(year: Column | str, quarter: Column | str) -> Column:
-    """'2024-Q3'."""
+    """PF19. '2024-Q3'."""
     return F.concat(_col(year).cast("string"), F.lit("-Q"), _col(quarter).cast("string"))
 
 
 def period_text_date(year: Column | str, month: Column | str) -> Column:
-    """First of month through its text form 'YYYY-MM-01'."""
+    """PF19. First of month through its text form 'YYYY-MM-01'."""
     text = F.concat_ws(
         "-", F.lpad(_col(year).cast("string"), 4, "0"), F.lpad(_col(month).cast("string"), 2, "0"), F.lit("01")
     )
@@ -47,18 +47,20 @@ def period_text_date(year: Column | str, month: Column | str) -> Column:
 
 
 def month_name(month: Column | str) -> Column:
+    """GR2. Full name of a month."""
     return _word(MONTH_NAMES, _col(month) - 1)
 
 
 def month_short_name(month: Column | str) -> Column:
+    """J3. Three-letter name of a month; a look-up by position, so no join is needed."""
     return _word(MONTH_SHORT_NAMES, _col(month) - 1)
 
 
 def day_name(day_of_week: Column | str) -> Column:
-    """Name of a day numbered from Sunday = 0."""
+    """GR2. Name of a day numbered from Sunday = 0."""
     return _word(DAY_NAMES, _col(day_of_week))
 
 
 def season_quarter(month: Column | str) -> Column:
-    """Season label: Q1 is December to February of the same calendar year, Q2 March to May, and so on."""
+    """GR1. Season label: Q1 is December to February of the same calendar year, Q2 March to May, and so on."""
     return F.concat(F.lit("Q"), ((_col(month) % 12) / 3 + 1).cast("int").cast("string"))

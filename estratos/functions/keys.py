@@ -10,7 +10,7 @@ from estratos.functions.text import _col
 
 
 def surrogate_key(*cols: Column | str) -> Column:
-    """MD5 of the columns' texts joined by '-', nulls replaced by a fixed word.
+    """PF16. MD5 of the columns' texts joined by '-', nulls replaced by a fixed word.
 
     For integers, dates and text only: the text of a double depends on the engine.
     """

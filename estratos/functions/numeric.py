@@ -21,31 +21,31 @@ def _parsed(c: Column | str, is_text: bool) -> Column:
 
 
 def lenient_double(c: Column | str, default: float | None, is_text: bool = True) -> Column:
-    """Unparseable, missing or NaN values become `default`."""
+    """PF3. Unparseable, missing or NaN values become `default`."""
     value = _parsed(c, is_text)
     return value if default is None else F.coalesce(value, F.lit(float(default)))
 
 
 def lenient_int(c: Column | str, default: int | None, is_text: bool = True) -> Column:
-    """As `lenient_double`, then cut towards zero; values outside int become `default`."""
+    """PF3. As `lenient_double`, then cut towards zero; values outside int become `default`."""
     value = _parsed(c, is_text).try_cast("int")
     return value if default is None else F.coalesce(value, F.lit(int(default)))
 
 
 def rounded_int(c: Column | str) -> Column:
-    """Cast to int rounding halves to the even neighbour, from a number or a numeric text."""
+    """PF10. Cast to int rounding halves to the even neighbour, from a number or a numeric text."""
     return F.rint(_col(c).cast("double")).cast("int")
 
 
 def clamp(c: Column | str, low: float, high: float, preserve_null: bool = False) -> Column:
-    """Force into [low, high]. By default a null becomes `low`, because `greatest` skips nulls."""
+    """PF6. Force into [low, high]. By default a null becomes `low`, because `greatest` skips nulls."""
     c = _col(c)
     forced = F.least(F.greatest(c, F.lit(float(low))), F.lit(float(high)))
     return F.when(c.isNotNull(), forced) if preserve_null else forced
 
 
 def guarded_pct(num: Column | str, den: Column | str, digits: int = 1) -> Column:
-    """100 * num / den rounded, and 0 where `den` is not positive or null."""
+    """PF15. 100 * num / den rounded, and 0 where `den` is not positive or null."""
     num, den = _col(num), _col(den)
     return F.when(den > 0, F.round(num.cast("double") / den * 100, digits)).otherwise(F.lit(0.0))
 
@@ -70,5 +70,5 @@ def settled_avg(c: Column | str, digits: int = 6) -> Column:
 
 
 def scaled(c: Column | str, unit: float, digits: int = 1) -> Column:
-    """Value in multiples of `unit`, rounded."""
+    """PF20. Value in multiples of `unit`, rounded."""
     return F.round(_col(c) / F.lit(float(unit)), digits)

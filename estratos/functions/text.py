@@ -23,7 +23,7 @@ def trim_spaces(c: Column | str) -> Column:
 
 
 def title_case(c: Column | str) -> Column:
-    """Null becomes '', outer spaces go, each space-separated word gets one capital and lower case."""
+    """PF10. Null becomes '', outer spaces go, each space-separated word gets one capital and lower case."""
     return F.initcap(trim_spaces(F.coalesce(_col(c), F.lit(""))))
 
 

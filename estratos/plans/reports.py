@@ -25,22 +25,22 @@ def _arrivals(fct: DataFrame, years: Years, department: str | None) -> DataFrame
 
 
 def arrival_years(fct_arrivals: DataFrame) -> DataFrame:
-    """Q1."""
+    """Q1, PF14."""
     return sorted_distinct(fct_arrivals, "year")
 
 
 def arrival_departments(fct_arrivals: DataFrame) -> DataFrame:
-    """Q2."""
+    """Q2, PF14."""
     return sorted_distinct(fct_arrivals, "destination_department")
 
 
 def occupancy_departments(fct_occupancy: DataFrame) -> DataFrame:
-    """Q3."""
+    """Q3, PF14."""
     return sorted_distinct(fct_occupancy, "department")
 
 
 def headline_kpis(fct_arrivals: DataFrame, years: Years = None, department: str | None = None) -> DataFrame:
-    """Q4."""
+    """Q4, AG2, PF13."""
     rows = _arrivals(fct_arrivals, years, department)
     cents = F.col("total_spending_usd").cast("decimal(18, 2)")
     totals = agg.totals_with_distincts(
@@ -64,7 +64,7 @@ def arrivals_by_year(fct_arrivals: DataFrame, years: Years = None, department: s
 
 
 def arrivals_growth(fct_arrivals: DataFrame, years: Years = None, department: str | None = None) -> DataFrame:
-    """Q5. With growth against the previous year in percent; null in the first year and after a zero."""
+    """Q5, AG4, WF3. With growth against the previous year in percent; null in the first year and after a zero."""
     yearly = _arrivals_yearly(fct_arrivals, years, department)
     return windows.change_pct(yearly, "year", "total_visitors", "yoy_pct").orderBy("year")
 
@@ -73,7 +73,7 @@ def top_countries(
     fct_arrivals: DataFrame, years: Years = None, department: str | None = None, n: int = 10,
     spending: str = "avg_spending_usd",
 ) -> DataFrame:
-    """Q6. The spending column is the mean of the fact rows' means, not weighted by visitors."""
+    """Q6, SL1. The spending column is the mean of the fact rows' means, not weighted by visitors."""
     by_country = _arrivals(fct_arrivals, years, department).groupBy("country_of_origin").agg(
         F.sum("total_visitors").alias("total_visitors"),
         F.round(exact_avg("average_spending_usd", 2), 2).alias(spending),
@@ -82,19 +82,19 @@ def top_countries(
 
 
 def visitors_by_purpose(fct_arrivals: DataFrame, years: Years = None, department: str | None = None) -> DataFrame:
-    """Q7."""
+    """Q7, AG6."""
     return agg.ranked_totals(_arrivals(fct_arrivals, years, department), "travel_purpose", "total_visitors", "total")
 
 
 def visitors_by_entry_point(
     fct_arrivals: DataFrame, years: Years = None, department: str | None = None
 ) -> DataFrame:
-    """Q8."""
+    """Q8, AG6."""
     return agg.ranked_totals(_arrivals(fct_arrivals, years, department), "entry_point", "total_visitors", "total")
 
 
 def arrivals_seasonality(fct_arrivals: DataFrame, years: Years = None, department: str | None = None) -> DataFrame:
-    """Q9."""
+    """Q9, AG5, J3."""
     monthly = agg.total_by(
         _arrivals(fct_arrivals, years, department), ["month"], total_visitors="total_visitors"
     )
@@ -108,7 +108,7 @@ def department_coordinates(spark) -> DataFrame:
 
 
 def department_map(fct_arrivals: DataFrame, years: Years = None, fold_case: bool = True) -> DataFrame:
-    """Q10. Visitors per department with coordinates; unknown departments get the default point.
+    """Q10, AG7, J2. Visitors per department with coordinates; unknown departments get the default point.
 
     Names are compared without regard to case; `fold_case=False` compares them exactly.
     """
@@ -122,7 +122,7 @@ def department_map(fct_arrivals: DataFrame, years: Years = None, fold_case: bool
 
 
 def occupancy_trend(fct_occupancy: DataFrame, years: Years = None, department: str | None = None) -> DataFrame:
-    """Q11."""
+    """Q11, AG8, PF19."""
     rows = equal_unless_all(in_years(fct_occupancy, years), "department", department)
     monthly = rows.groupBy("year", "month", "department").agg(
         F.round(F.avg("occupancy_rate"), 1).alias("avg_occupancy")
@@ -172,7 +172,7 @@ def _gdp_and_occupancy(fct_gdp: DataFrame, fct_occupancy: DataFrame, years: Year
 
 
 def gdp_vs_occupancy(fct_gdp: DataFrame, fct_occupancy: DataFrame, years: Years = None) -> DataFrame:
-    """Q14. Points of the scatter with the value of the fitted line."""
+    """Q14, AG8, J1. Points of the scatter with the value of the fitted line."""
     points = _gdp_and_occupancy(fct_gdp, fct_occupancy, years)
     return statistics.with_fitted(points, "avg_occupancy", "tourism_gdp_billions_cop").orderBy("year")
 
@@ -189,7 +189,7 @@ def _flows(fct: DataFrame, years: Years, movement: str | None) -> DataFrame:
 
 
 def flows_by_year(fct_migration: DataFrame, years: Years = None, movement: str | None = None) -> DataFrame:
-    """Q15."""
+    """Q15, AG10."""
     totals = agg.total_by(
         _flows(fct_migration, years, movement), ["year", "movement_type"], total_travelers="number_of_travelers"
     )
@@ -197,7 +197,7 @@ def flows_by_year(fct_migration: DataFrame, years: Years = None, movement: str |
 
 
 def net_migration(fct_migration: DataFrame, years: Years = None) -> DataFrame:
-    """Q16."""
+    """Q16, AG11."""
     yearly = agg.sums_by_category(
         in_years(fct_migration, years), ["year"], "movement_type", "number_of_travelers",
         {"entradas": fixed.MOVEMENT_IN, "salidas": fixed.MOVEMENT_OUT},
@@ -208,7 +208,7 @@ def net_migration(fct_migration: DataFrame, years: Years = None) -> DataFrame:
 def top_nationalities(
     fct_migration: DataFrame, years: Years = None, movement: str | None = None, n: int = 10
 ) -> DataFrame:
-    """Q17."""
+    """Q17, SL1."""
     totals = agg.total_by(
         _flows(fct_migration, years, movement), ["nationality", "movement_type"],
         total_travelers="number_of_travelers",
@@ -217,14 +217,14 @@ def top_nationalities(
 
 
 def control_points(fct_migration: DataFrame, years: Years = None, movement: str | None = None) -> DataFrame:
-    """Q18."""
+    """Q18, AG6."""
     return agg.ranked_totals(
         _flows(fct_migration, years, movement), "control_point", "number_of_travelers", "total_travelers"
     )
 
 
 def air_kpis(fct_air: DataFrame, years: Years = None) -> DataFrame:
-    """Q19."""
+    """Q19, AG3."""
     return agg.totals_with_distincts(
         in_years(fct_air, years),
         {"total": "total_passengers", "domestic": "domestic_passengers", "international": "international_passengers"},
@@ -233,7 +233,7 @@ def air_kpis(fct_air: DataFrame, years: Years = None) -> DataFrame:
 
 
 def air_by_year(fct_air: DataFrame, years: Years = None) -> DataFrame:
-    """Q20."""
+    """Q20, AG4."""
     return agg.total_by(
         in_years(fct_air, years), ["year"], domestic="domestic_passengers",
         international="international_passengers", total="total_passengers",
@@ -241,7 +241,7 @@ def air_by_year(fct_air: DataFrame, years: Years = None) -> DataFrame:
 
 
 def airport_ranking(fct_air: DataFrame, years: Years = None) -> DataFrame:
-    """Q21. The share column is the mean of the monthly shares."""
+    """Q21, AG13. The share column is the mean of the monthly shares."""
     by_airport = in_years(fct_air, years).groupBy("airport", "airport_city").agg(
         F.sum("total_passengers").alias("total"),
         F.sum("international_passengers").alias("international"),
@@ -251,13 +251,13 @@ def airport_ranking(fct_air: DataFrame, years: Years = None) -> DataFrame:
 
 
 def air_seasonality(fct_air: DataFrame, years: Years = None) -> DataFrame:
-    """Q22."""
+    """Q22, AG5, J3."""
     monthly = agg.total_by(in_years(fct_air, years), ["month"], total="total_passengers")
     return monthly.withColumn("month_name", month_short_name("month")).orderBy("month")
 
 
 def balance_by_quarter(fct_balance: DataFrame, years: Years = None) -> DataFrame:
-    """Q23."""
+    """Q23, PF13, PF19."""
     rows = in_years(fct_balance, years)
     return topk.ordered(rows.withColumn("periodo", period_label("year", "quarter")), ["year", "quarter"])
 
@@ -270,12 +270,12 @@ def _balance_yearly(fct_balance: DataFrame, years: Years) -> DataFrame:
 
 
 def balance_by_year(fct_balance: DataFrame, years: Years = None) -> DataFrame:
-    """Q24."""
+    """Q24, AG4."""
     return _balance_yearly(fct_balance, years).orderBy("year")
 
 
 def balance_latest_year(fct_balance: DataFrame, years: Years = None) -> DataFrame:
-    """Q24. The last year with a word for the sign of its balance."""
+    """Q24, WF4. The last year with a word for the sign of its balance."""
     word = F.when(F.col("balance") > 0, F.lit(fixed.SURPLUS)).otherwise(F.lit(fixed.DEFICIT))
     return windows.last_by(_balance_yearly(fct_balance, years), "year").withColumn("outcome", word)
 
@@ -291,7 +291,7 @@ def regional_arrivals(fct_regional: DataFrame, years: Years = None) -> DataFrame
 
 
 def regional_receipts(fct_regional: DataFrame, years: Years = None) -> DataFrame:
-    """Q26. In millions."""
+    """Q26, PF20. In millions."""
     rows = _indicator(fct_regional, fixed.RECEIPTS_CODE, years).select(
         "year", "country_name", scaled("value", 1e6).alias("value_millions")
     )
@@ -307,7 +307,7 @@ def regional_export_share(fct_regional: DataFrame, years: Years = None) -> DataF
 
 
 def regional_summary(fct_regional: DataFrame, years: Years = None) -> DataFrame:
-    """Q28. Per country the latest available value of each indicator, as columns.
+    """Q28, WF2, AG12. Per country the latest available value of each indicator, as columns.
 
     The newest value per country and indicator is a windowed top-1 (see `windows.latest_row`).
     """
@@ -342,7 +342,7 @@ EXPORT_ORDER = {
 
 
 def export_rows(table: str, df: DataFrame, years: Years = None, department: str | None = None) -> DataFrame:
-    """Q29. The filtered, totally ordered rows of a download."""
+    """Q29, SL3. The filtered, totally ordered rows of a download."""
     if table == "fct_tourism_arrivals":
         df = _arrivals(df, years, department)
     elif table != "dim_departments":

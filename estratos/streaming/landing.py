@@ -22,20 +22,20 @@ log = logging.getLogger(__name__)
 
 def landed_rows(
     spark: SparkSession, folder: str, columns: Sequence[str], encoding: str = "UTF-8",
-    max_files_per_batch: int | None = None, glob: str = "*.csv",
+    max_files_per_batch: int = 10_000, glob: str = "*.csv",
 ) -> DataFrame:
-    """The stream of rows of CSV files in a folder, every column text.
+    """ST1, IO3. The stream of rows of CSV files in a folder, every column text.
 
     All files of the folder have the header `columns`; a file with another header fails the run instead of
-    having its values put under wrong names.
+    having its values put under wrong names. A long backlog is loaded in batches of `max_files_per_batch`
+    files within one run, so that a failure repeats one batch at most.
     """
     reader = (
         spark.readStream.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
         .options(**csv_options(encoding))
         .option("pathGlobFilter", glob)
+        .option("maxFilesPerTrigger", max_files_per_batch)
     )
-    if max_files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     return null_tokens_to_null(reader.csv(folder))
 
 
@@ -43,7 +43,7 @@ def ingest(
     rows: DataFrame, transform: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str,
     partition_by: Sequence[str] = (), every: str | None = None,
 ) -> StreamingQuery:
-    """Append the transformed rows of a stream to Parquet.
+    """ST1. Append the transformed rows of a stream to Parquet.
 
     Without `every` all files present are loaded and the query ends; with it (such as '60 seconds') the
     query goes on and looks for new files at that interval.
@@ -60,7 +60,7 @@ def load_new_files(
     spark: SparkSession, folder: str, columns: Sequence[str], transform: Callable[[DataFrame], DataFrame],
     sink: str, checkpoint: str, partition_by: Sequence[str] = (), encoding: str = "UTF-8",
 ) -> int:
-    """Load what has landed since the last run and return the number of input rows.
+    """ST1. Load what has landed since the last run and return the number of input rows.
 
     A folder that cannot be listed is logged and counts as nothing new.
     """

@@ -5,22 +5,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from registry import all_entries
+from registry.coverage import ROOT, SECTIONS, implementations, markdown
 from verify import TABLES, compare
 
-INVENTORY = (
-    [f"IO{i}" for i in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 14, 16, 19, 20, 21)]
-    + [f"PF{i}" for i in (*range(1, 21), 22)]
-    + [f"J{i}" for i in range(1, 7)]
-    + [f"AG{i}" for i in range(1, 16)]
-    + [f"WF{i}" for i in range(1, 5)]
-    + [f"SL{i}" for i in range(1, 5)]
-    + ["SO1", "SO2", "GR1", "GR2", "ST-R1", "ST1"]
-    + [f"DQ{i}" for i in range(1, 8)]
-    + [f"M{i}" for i in range(1, 19)]
-    + [f"B{i}" for i in range(1, 11)]
-    + [f"Q{i}" for i in range(1, 30)]
-    + [f"E{i}" for i in range(1, 8)]
-)
+INVENTORY = [i for _, ids in SECTIONS for i in ids]
 
 
 def test_every_inventory_id_has_a_query():
@@ -29,6 +17,15 @@ def test_every_inventory_id_has_a_query():
     assert covered <= set(INVENTORY)
 
 
+def test_every_inventory_id_has_an_implementation():
+    code = implementations()
+    assert [i for i in INVENTORY if not code[i]] == []
+
+
+def test_the_coverage_page_is_current():
+    assert (ROOT / "COVERAGE.md").read_text("utf-8") == markdown()
+
+
 def test_only_the_sketch_lacks_sql():
     assert set(queries()) - set(oracle_sql()) == {"load_metrics_approximate"}
 
