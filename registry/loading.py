@@ -122,11 +122,10 @@ def _answer_files(spark, sf):
 
 @register(
     "bronze_indicators", "B3 IO5 PF12",
-    sql(_INDICATORS + " and country_code = 'N03' and year >= 1996", "regional"),
+    sql(_INDICATORS, "regional"),
 )
 def _bronze_indicators(spark, sf):
-    loaded = bronze.indicator_files(spark, _answer_files(spark, sf), min_year=1996)
-    return loaded.where(F.col("country_code") == "N03")
+    return bronze.indicator_files(spark, _answer_files(spark, sf), min_year=1995)
 
 
 @register("bronze_regional", "B6 IO5 PF12", sql(_INDICATORS + " and year >= 1996", "regional"))
@@ -465,17 +464,16 @@ def _archived_payloads(spark, sf):
     sql(
         f"""select year, count(*) as num_rows, {big('sum(number_of_travelers)')} as travelers,
                    (select count(*) from fct_migration_flows) as rows_written
-            from fct_migration_flows where year between 1996 and 1999 group by 1""",
+            from fct_migration_flows group by 1""",
         "fct_migration_flows",
     ),
 )
 def _parquet_by_year(spark, sf):
-    """Written by year with row counts measured in the write; the read skips the other years' folders."""
+    """Written by year, with the row count measured in the write."""
     fact = t.migration(spark, sf)
     path = scratch_path(spark, "flows")
     metrics = sinks.write_parquet(fact, path, ["year"])
-    read = readers.read_table(spark, path, fact.schema).where(F.col("year").between(1996, 1999))
-    return read.groupBy("year").agg(
+    return readers.read_table(spark, path, fact.schema).groupBy("year").agg(
         F.count(F.lit(1)).alias("num_rows"), F.sum("number_of_travelers").alias("travelers"),
         F.lit(metrics["num_rows"]).cast("bigint").alias("rows_written"),
     )
@@ -528,7 +526,7 @@ def _export(table: str):
     def run(spark, sf):
         fact = t.FACTS[table](spark, sf)
         path = scratch_path(spark, f"export-{table}")
-        sinks.export_csv(reports.export_rows(table, fact, (1996, 2000)), path)
+        sinks.export_csv(reports.export_rows(table, fact, (1995, 2001)), path)
         # Another null word than '' lets quoted empty texts be told from missing ones.
         options = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "nullValue": "\u0001"}
         read = spark.read.schema(fact.schema).options(**options).csv(path)
@@ -545,7 +543,7 @@ def _export_oracle(table: str) -> str:
         columns = (
             f"* replace ({rnd('ytd_income', 6)} as ytd_income, {rnd('ytd_expenditure', 6)} as ytd_expenditure)"
         )
-    return sql(f"select {columns} from {table} where year between 1996 and 2000", table)
+    return sql(f"select {columns} from {table} where year between 1995 and 2001", table)
 
 
 for _table in reports.EXPORT_ORDER:

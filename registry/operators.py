@@ -61,13 +61,13 @@ def _arrivals_with_calendar(spark, sf):
     "orders_in_named_calendar", "J4 GR1",
     f"""select year, month, count(*) as num_rows from (
             select {whole('year(d)')} as year, {whole('month(d)')} as month, cast(d as date) as period_date
-            from (select unnest(generate_series(date '1996-01-01', date '1999-12-01', interval '1 month')) as d))
+            from (select unnest(generate_series(date '1995-01-01', date '2001-12-01', interval '1 month')) as d))
         join (select cast(date_trunc('month', o_orderdate) as date) as period_date from orders) using (period_date)
         group by 1, 2""",
 )
 def _orders_in_named_calendar(spark, sf):
     """A calendar between two stated days has a known number of months and is broadcast."""
-    start, end = "1996-01-01", "1999-12-31"
+    start, end = "1995-01-01", "2001-12-31"
     orders = bindings.table(spark, sf, "orders")
     fact = orders.select(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("period_date"))
     days = calendar.calendar(calendar.date_spine(spark, start, end))

@@ -10,8 +10,7 @@ from __future__ import annotations
 def tc(c: str) -> str:
     """Title case of a text column."""
     return (
-        f"array_to_string(list_transform(string_split(trim(coalesce({c}, '')), ' '), "
-        "lambda w: case when length(w) > 0 then upper(left(w, 1)) || lower(substr(w, 2)) else w end), ' ')"
+        f"array_to_string([upper(w[1]) || lower(w[2:]) for w in string_split(trim(coalesce({c}, '')), ' ')], ' ')"
     )
 
 
@@ -271,26 +270,18 @@ from (select unnest(generate_series((select min(o_orderdate) from orders), (sele
 cte("date_spine", "days")(f"""
 select date_day, {whole('year(date_day)')} as year, {whole('month(date_day)')} as month,
        {whole('day(date_day)')} as day, {whole('extract(dow from date_day)')} as day_of_week,
-       case when month(date_day) in (12, 1, 2) then 'Q1' when month(date_day) in (3, 4, 5) then 'Q2'
-            when month(date_day) in (6, 7, 8) then 'Q3' else 'Q4' end as quarter
+       'Q' || cast(month(date_day) % 12 // 3 + 1 as varchar) as quarter
 from days""")
 
 cte("dim_date", "date_spine")("""
 select date_day, year, month, day, day_of_week, quarter, make_date(year, month, 1) as period_date,
-       case day_of_week when 0 then 'Domingo' when 1 then 'Lunes' when 2 then 'Martes' when 3 then 'Miércoles'
-            when 4 then 'Jueves' when 5 then 'Viernes' when 6 then 'Sábado' end as day_name,
-       case month when 1 then 'Enero' when 2 then 'Febrero' when 3 then 'Marzo' when 4 then 'Abril'
-            when 5 then 'Mayo' when 6 then 'Junio' when 7 then 'Julio' when 8 then 'Agosto'
-            when 9 then 'Septiembre' when 10 then 'Octubre' when 11 then 'Noviembre'
-            when 12 then 'Diciembre' end as month_name,
+       ['Domingo', 'Lunes', 'Martes', 'Miércoles', 'Jueves', 'Viernes', 'Sábado'][day_of_week + 1] as day_name,
+       ['Enero', 'Febrero', 'Marzo', 'Abril', 'Mayo', 'Junio', 'Julio', 'Agosto', 'Septiembre', 'Octubre',
+        'Noviembre', 'Diciembre'][month] as month_name,
        day_of_week in (0, 6) as is_weekend
 from date_spine""")
 
-MONTH_SHORT = (
-    "case month when 1 then 'Ene' when 2 then 'Feb' when 3 then 'Mar' when 4 then 'Abr' when 5 then 'May' "
-    "when 6 then 'Jun' when 7 then 'Jul' when 8 then 'Ago' when 9 then 'Sep' when 10 then 'Oct' "
-    "when 11 then 'Nov' when 12 then 'Dic' end"
-)
+MONTH_SHORT = "['Ene', 'Feb', 'Mar', 'Abr', 'May', 'Jun', 'Jul', 'Ago', 'Sep', 'Oct', 'Nov', 'Dic'][month]"
 
 COORDINATES = """(values ('antioquia', 6.252::double, -75.564::double), ('bogotá d.c.', 4.711, -74.072),
     ('valle del cauca', 3.452, -76.532), ('bolívar', 10.4, -75.514)) as c(dept_key, clat, clon)"""

@@ -145,13 +145,11 @@ register("flows_by_year_filtered", "Q15 AG10 PF13",
                  {IN_YEARS} and movement_type = 'salida' group by 1, 2""", "fct_migration_flows"),
          lambda spark, sf: reports.flows_by_year(t.migration(spark, sf, YEARS), YEARS, "Salida"))
 register("net_migration", "Q16 AG11",
-         sql(f"""select year, entradas, salidas, entradas - salidas as balance from (
-                     select year,
-                            {big("sum(case when movement_type = 'entrada' then number_of_travelers else 0 end)")}
-                                as entradas,
-                            {big("sum(case when movement_type = 'salida' then number_of_travelers else 0 end)")}
-                                as salidas
-                     from fct_migration_flows group by year)""", "fct_migration_flows"),
+         sql("""select year, coalesce(i, 0) as entradas, coalesce(o, 0) as salidas,
+                       coalesce(i, 0) - coalesce(o, 0) as balance
+                from (select year, cast(sum(number_of_travelers) filter (movement_type = 'entrada') as bigint) as i,
+                             cast(sum(number_of_travelers) filter (movement_type = 'salida') as bigint) as o
+                      from fct_migration_flows group by year)""", "fct_migration_flows"),
          lambda spark, sf: reports.net_migration(t.migration(spark, sf)))
 register("top_nationalities", "Q17 SL1",
          sql(f"""select nationality, movement_type, {_TRAVELERS} as total_travelers from fct_migration_flows
@@ -218,15 +216,12 @@ register("regional_export_share", "Q27",
                  where indicator_code = 'ST.INT.RCPT.XP.ZS'""", "fct_world_bank_comparison"),
          lambda spark, sf: t.rounded(reports.regional_export_share(t.regional(spark, sf)), 8, "pct_exports"))
 register("regional_summary", "Q28 WF2 AG12 PF20",
-         sql(f"""select country_name,
-                        max(case when indicator_code = 'ST.INT.ARVL' then value end) as arrivals,
-                        max(case when indicator_code = 'ST.INT.RCPT.CD'
-                                 then {rnd('value / 1e6', 1)} end) as receipts_usd_m,
-                        max(case when indicator_code = 'ST.INT.RCPT.XP.ZS' then {rnd('value', 1)} end) as pct_exports
-                 from (select *, row_number() over (partition by country_name, indicator_code
-                                                    order by year desc) as rn
-                       from fct_world_bank_comparison)
-                 where rn = 1 group by country_name""", "fct_world_bank_comparison"),
+         sql(f"""select country_name, a as arrivals, {rnd('r / 1e6', 1)} as receipts_usd_m,
+                        {rnd('s', 1)} as pct_exports
+                 from (select country_name, arg_max(value, year) filter (indicator_code = 'ST.INT.ARVL') as a,
+                              arg_max(value, year) filter (indicator_code = 'ST.INT.RCPT.CD') as r,
+                              arg_max(value, year) filter (indicator_code = 'ST.INT.RCPT.XP.ZS') as s
+                       from fct_world_bank_comparison group by country_name)""", "fct_world_bank_comparison"),
          lambda spark, sf: reports.regional_summary(t.regional(spark, sf)))
 
 # --- Second dashboard ------------------------------------------------------------------------------
