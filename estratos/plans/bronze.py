@@ -155,7 +155,7 @@ def _report(table: str, path: str, source: str, rows: DataFrame, metrics: Mappin
 def load(
     spark: SparkSession,
     table: str,
-    landed: str | None,
+    landed: str | Sequence[str] | None,
     fallback: DataFrame,
     path: str,
     archive: str | None = None,
@@ -163,20 +163,27 @@ def load(
     encoding: str = "UTF-8",
     min_year: int | None = None,
 ) -> LoadReport:
-    """IO3, IO4, IO16, IO6, IO21. Load one landed CSV dataset into bronze.
+    """IO1, IO3, IO4, IO16, IO6, IO21. Load one landed CSV dataset into bronze.
 
-    The landed files are archived before they are parsed. The fallback is used when nothing has landed, the
+    `landed` is a path of files with one header, or a list of name patterns for files with several. The
+    landed files are archived before they are parsed. The fallback is used when nothing has landed, the
     files cannot be read, or no valid row is left.
     """
     headers = conform.HeaderReport()
     raw: DataFrame | None = None
 
-    def primary() -> DataFrame:
+    def primary() -> DataFrame | None:
         nonlocal headers, raw
-        raw = readers.read_csv(spark, landed, encoding)
+        files = landed if isinstance(landed, str) else readers.list_files(spark, landed)
+        if isinstance(landed, str):
+            raw = readers.read_csv(spark, landed, encoding)
+        else:
+            raw = readers.read_csv_by_name(spark, landed, encoding)
+        if raw is None:
+            return None
         headers = conform.header_report(raw.columns, HEADERS[table], BRONZE[table].names)
         if archive is not None:
-            sinks.archive_lines(spark, landed, archive, table, on or date.today())
+            sinks.archive_lines(spark, files, archive, table, on or date.today())
         return conformed(table, raw, min_year)
 
     rows, source = readers.choose_source(primary if landed else None, lambda: fallback, LANDED)

@@ -7,7 +7,7 @@ table it was working on.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
@@ -25,15 +25,16 @@ from estratos.sources import readers, sinks
 class RunConfig:
     """Where to read and write, and what to fall back to.
 
-    `landed` names the landed files of a dataset where there are any (CSV; JSON answers for the indicator
-    datasets); `fallbacks` holds a conformed frame for each. `departments` is the seed CSV or a frame. The
-    year limits, by dataset, replace the defaults of the bronze loads and of the cleaned tables.
+    `landed` names the landed files of a dataset where there are any: a CSV path, or a list of name patterns
+    for drops of differing headers, or a path of JSON answers for the indicator datasets; `fallbacks` holds a conformed frame for each. `departments` is the seed CSV or a frame. The
+    year limits, by dataset, replace the defaults of the bronze loads and of the cleaned tables. With
+    `database` the gold tables are also made known to the catalogue there, as in `gold.fct_tourism_arrivals`.
     """
 
     root: str
     fallbacks: Mapping[str, DataFrame]
     departments: str | DataFrame
-    landed: Mapping[str, str] = field(default_factory=dict)
+    landed: Mapping[str, str | Sequence[str]] = field(default_factory=dict)
     loaded_at: datetime | str = gold.NOW
     on: date | None = None
     calendar_start: str = fixed.CALENDAR_START
@@ -41,6 +42,7 @@ class RunConfig:
     bronze_min_years: Mapping[str, int] = field(default_factory=dict)
     min_years: Mapping[str, int] = field(default_factory=dict)
     threads: int = 4
+    database: str | None = None
 
 
 # Facts whose years are worth a directory each, so that a filter on years skips files.
@@ -123,12 +125,15 @@ def gold_plans(spark: SparkSession, config: RunConfig, stg: Mapping[str, DataFra
     }
 
 
-def write_gold(config: RunConfig, plans: Mapping[str, DataFrame]) -> dict[str, int]:
+def write_gold(spark: SparkSession, config: RunConfig, plans: Mapping[str, DataFrame]) -> dict[str, int]:
     """Write the gold tables, a few at a time, and return their numbers of rows."""
+    if config.database is not None:
+        spark.sql(f"create database if not exists `{config.database}`")
 
     def one(table: str) -> int:
         keys = ["year"] if table in YEAR_PARTITIONED else []
-        return int(sinks.write_parquet(plans[table], gold_path(config, table), keys)["num_rows"])
+        name = None if config.database is None else f"`{config.database}`.{table}"
+        return int(sinks.write_parquet(plans[table], gold_path(config, table), keys, name)["num_rows"])
 
     with ThreadPoolExecutor(config.threads) as pool:
         futures = {table: pool.submit(one, table) for table in plans}
@@ -158,7 +163,7 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     loads = load_bronze(spark, config)
     stg = silver_tables(spark, config)
     plans = gold_plans(spark, config, stg)
-    rows = write_gold(config, plans)
+    rows = write_gold(spark, config, plans)
     written = read_gold(spark, config, plans)
     checks = suites.quality_report({**stg, **written}, {**suites.SILVER, **suites.GOLD})
     return RunResult(loads, rows, written, checks)

@@ -22,10 +22,13 @@ def observed(df: DataFrame, year: str | None = None) -> tuple[DataFrame, Observa
     return df.observe(observation, *metrics), observation
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> dict[str, object]:
-    """IO6. Write Parquet, replacing what is there, and return the metrics of the write.
+def write_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), table: str | None = None
+) -> dict[str, object]:
+    """IO6, IO14. Write Parquet, replacing what is there, and return the metrics of the write.
 
-    With partition columns the rows are first rebalanced on them: small partitions are merged, and a value
+    With `table` the files are also made known to the catalogue under that name, as an external table. With
+    partition columns the rows are first rebalanced on them: small partitions are merged, and a value
     that holds very many rows is split over several tasks and files.
     """
     year = "year" if "year" in df.columns else None
@@ -35,17 +38,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if table is None:
+        writer.parquet(path)
+    else:
+        writer.format("parquet").option("path", path).saveAsTable(table)
     return dict(observation.get)
 
 
 def save_as_table(df: DataFrame, name: str, path: str | None = None) -> int:
     """IO8. Create or replace a catalogue table and return its number of rows; `path` makes it external."""
-    df, observation = observed(df)
-    writer = df.write.mode("overwrite").format("parquet")
     if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        return int(write_parquet(df, path, table=name)["num_rows"])
+    df, observation = observed(df)
+    df.write.mode("overwrite").format("parquet").saveAsTable(name)
     return int(observation.get["num_rows"])
 
 

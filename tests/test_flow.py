@@ -12,9 +12,11 @@ def finished(spark, tmp_path_factory):
     """A run on the smallest tables: arrivals and one country's answers have landed, the rest falls back."""
     sf, root = "/root/testdata/sf0.001", tmp_path_factory.mktemp("run")
     raw = bindings.arrivals(spark, sf)
-    raw.withColumnsRenamed({"year": "año", "month": "mes", "number_of_visitors": "llegadas"}).write.option(
-        "header", True
-    ).csv(f"{root}/landed/arrivals")
+    spanish = raw.withColumnsRenamed({"year": "año", "month": "mes", "number_of_visitors": "llegadas"})
+    spanish.where("`año` < 1998").write.option("header", True).csv(f"{root}/landed/llegadas_old")
+    raw.where("year >= 1998").select(*reversed(raw.columns)).write.option("header", True).csv(
+        f"{root}/landed/arrivals_new"
+    )
     bindings.indicator_payloads(spark, sf).repartition(1).select("payload").where(
         F.col("country_code") == "N01"
     ).limit(1).write.text(f"{root}/landed/indicators")
@@ -32,7 +34,8 @@ def finished(spark, tmp_path_factory):
         root=f"{root}/lake",
         fallbacks=fallbacks,
         departments=bindings.departments(spark, sf),
-        landed={"arrivals": f"{root}/landed/arrivals", "indicators": f"{root}/landed/indicators/*.txt",
+        landed={"arrivals": [f"{root}/landed/{p}" for p in ("*arrivals*", "*llegadas*", "*none*")], "gdp": [f"{root}/none*"],
+                "indicators": f"{root}/landed/indicators/*.txt",
                 "balance": f"{root}/landed/never"},
         loaded_at=datetime(2024, 5, 1, 6),
         on=date(2024, 5, 1),
@@ -40,6 +43,7 @@ def finished(spark, tmp_path_factory):
         calendar_end="2001-12-31",
         bronze_min_years={"arrivals": 1996, "indicators": 1990},
         min_years={name: 1995 for name in BRONZE},
+        database="gold",
     )
     return config, flow.run(spark, config)
 
@@ -51,7 +55,7 @@ def test_loads_report_their_source(finished):
     arrivals = loads["arrivals"]
     assert (arrivals.year_min, arrivals.year_max) == (1996, 2001)
     assert arrivals.num_rows + arrivals.rows_dropped == 1500 and arrivals.rows_dropped > 0
-    assert arrivals.headers.renamed["año"] == "year" and arrivals.headers.unmapped == []
+    assert arrivals.headers.merged["year"] == ["year", "año"] and arrivals.headers.unmapped == []
 
 
 def test_gold_is_complete(finished):
@@ -86,9 +90,20 @@ def test_raw_copies_are_kept(finished, spark):
     config = finished[0]
     kept = spark.read.parquet(f"{config.root}/archive/arrivals/ingest_date=2024-05-01")
     assert kept.where(F.col("value").startswith("arrival_date")).count() >= 1
+    assert kept.where(F.col("value").startswith("estimated_spending_usd")).count() >= 1
     assert spark.read.parquet(f"{config.root}/archive/indicators/ingest_date=2024-05-01").count() == 1
 
 
+def test_gold_can_be_asked_in_sql(finished, spark):
+    got = spark.sql(
+        "select year, sum(total_visitors) as v from gold.fct_tourism_arrivals where year between 2000 and 2001 "
+        "group by year order by year"
+    ).collect()
+    assert [tuple(r) for r in got] == [(2000, 56239), (2001, 30536)]
+    for name in GRAIN:
+        assert spark.table(f"gold.{name}").count() == finished[1].rows[name]
+
+
 def test_silver_views_are_there(finished, spark):
     kept = finished[1].loads[0].num_rows
     assert spark.sql("select count(*) as n from stg_tourism_arrivals").first().n == kept
