@@ -26,15 +26,15 @@ def lenient_double(c: Column | str, default: float | None, is_text: bool = True)
     return value if default is None else F.coalesce(value, F.lit(float(default)))
 
 
-def lenient_int(c: Column | str, default: int | None, is_text: bool = True) -> Column:
-    """PF3. As `lenient_double`, then cut towards zero; values outside int become `default`."""
-    value = _parsed(c, is_text).try_cast("int")
-    return value if default is None else F.coalesce(value, F.lit(int(default)))
+def lenient_int(c: Column | str, default: int | None, is_text: bool = True, kind: str = "int") -> Column:
+    """PF3. As `lenient_double`, then cut towards zero; values outside the integer type become `default`."""
+    value = _parsed(c, is_text).try_cast(kind)
+    return value if default is None else F.coalesce(value, F.lit(int(default)).cast(kind))
 
 
-def rounded_int(c: Column | str) -> Column:
-    """PF10. Cast to int rounding halves to the even neighbour, from a number or a numeric text."""
-    return F.rint(_col(c).cast("double")).cast("int")
+def rounded_int(c: Column | str, kind: str = "int") -> Column:
+    """PF10. Cast to an integer rounding halves to the even neighbour, from a number or a numeric text."""
+    return F.rint(_col(c).cast("double")).cast(kind)
 
 
 def clamp(c: Column | str, low: float, high: float, preserve_null: bool = False) -> Column:

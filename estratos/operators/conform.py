@@ -17,7 +17,12 @@ Headers = Mapping[str, Sequence[str]]
 
 
 def header_key(name: str) -> str:
-    """Headers are compared without outer spaces, in lower case, '-' and ' ' written as '_'."""
+    """Headers are compared without outer spaces, in lower case, '-' and ' ' written as '_'.
+
+    A byte order mark before the first header, and the quotes it leaves around it, are dropped.
+    """
+    if name.startswith("\ufeff"):
+        name = name[1:].strip().strip('"')
     return name.strip().lower().replace("-", "_").replace(" ", "_")
 
 
@@ -82,14 +87,20 @@ def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
-def _ints(df: DataFrame, defaults: Mapping[str, int]) -> dict[str, Column]:
+def _ints(df: DataFrame, defaults: Mapping[str, int], kind: str = "int") -> dict[str, Column]:
     """PF3. Lenient integers of the named columns; an absent column is all default."""
     return {
-        name: lenient_int(name, default, _is_text(df, name)) if name in df.columns else F.lit(int(default))
+        name: lenient_int(name, default, _is_text(df, name), kind)
+        if name in df.columns
+        else F.lit(int(default)).cast(kind)
         for name, default in defaults.items()
     }
 
 
+def _counts(df: DataFrame, *names: str) -> dict[str, Column]:
+    return _ints(df, {name: 0 for name in names}, "bigint")
+
+
 def _doubles(df: DataFrame, defaults: Mapping[str, float]) -> dict[str, Column]:
     return {
         name: lenient_double(name, default, _is_text(df, name)) if name in df.columns else F.lit(float(default))
@@ -109,7 +120,7 @@ def sums_to_zero(df: DataFrame, value: Column) -> Column:
     """True when an integer expression sums to zero over all rows, or there are none; no for a stream."""
     if df.isStreaming:
         return F.lit(False)
-    return df.agg(F.coalesce(F.sum(value.cast("bigint")), F.lit(0))).scalar() == 0
+    return df.agg(F.coalesce(F.sum(value), F.lit(0))).scalar() == 0
 
 
 def _in_period(
@@ -155,7 +166,7 @@ def conform_arrivals(
     df = df.withColumns(
         parts
         | {"arrival_date": date}
-        | _ints(df, {"number_of_visitors": 0})
+        | _counts(df, "number_of_visitors")
         | _doubles(df, {"estimated_spending_usd": 0.0})
     )
     return _in_period(df, min_year, "month", 12, read)
@@ -171,10 +182,10 @@ def conform_occupancy(
     df = harmonise_headers(raw, fixed.OCCUPANCY_HEADERS)
     df = add_missing(df, {"department": fixed.UNKNOWN})
     rate = clamp(_doubles(df, {"occupancy_rate": fixed.DEFAULT_OCCUPANCY_RATE})["occupancy_rate"], 0, 100)
-    rooms = _ints(df, {"available_rooms": 0})["available_rooms"]
-    derived = F.coalesce((rooms * rate / 100).try_cast("int"), F.lit(0))
+    rooms = _counts(df, "available_rooms")["available_rooms"]
+    derived = F.coalesce((rooms * rate / 100).try_cast("bigint"), F.lit(0))
     if "occupied_rooms" in df.columns:
-        given = _ints(df, {"occupied_rooms": 0})["occupied_rooms"]
+        given = _counts(df, "occupied_rooms")["occupied_rooms"]
         occupied = F.when(never_set(df, "occupied_rooms"), derived).otherwise(given)
     else:
         occupied = derived
@@ -192,10 +203,10 @@ def conform_air(
     """PF1-PF3, PF8, PF12. Raw air traffic files; the total is derived where it is absent or sums to zero."""
     df = harmonise_headers(raw, fixed.AIR_HEADERS)
     df = add_missing(df, {"airport": fixed.UNKNOWN, "airport_city": fixed.UNKNOWN})
-    numbers = _ints(df, {"year": 0, "month": 0, "domestic_passengers": 0, "international_passengers": 0})
+    numbers = _ints(df, {"year": 0, "month": 0}) | _counts(df, "domestic_passengers", "international_passengers")
     derived = numbers["domestic_passengers"] + numbers["international_passengers"]
     if "total_passengers" in df.columns:
-        given = _ints(df, {"total_passengers": 0})["total_passengers"]
+        given = _counts(df, "total_passengers")["total_passengers"]
         total = F.when(sums_to_zero(df, given), derived).otherwise(given)
     else:
         total = derived
@@ -227,7 +238,8 @@ def conform_gdp(raw: DataFrame) -> DataFrame:
     df = harmonise_headers(raw, fixed.GDP_HEADERS)
     df = add_missing(df, {"source": fixed.SOURCE_GDP})
     return df.withColumns(
-        _ints(df, {"year": 0, "tourism_employment_thousands": 0})
+        _ints(df, {"year": 0})
+        | _counts(df, "tourism_employment_thousands")
         | _doubles(
             df, {"tourism_gdp_billions_cop": 0.0, "pct_of_total_gdp": 0.0, "annual_variation_pct": 0.0}
         )
@@ -238,7 +250,7 @@ def conform_migration(raw: DataFrame) -> DataFrame:
     """PF1-PF3. Raw migration files; no row is dropped here, silver decides which are valid."""
     df = harmonise_headers(raw, fixed.MIGRATION_HEADERS)
     df = add_missing(df, {"source": fixed.SOURCE_MIGRATION})
-    return df.withColumns(_ints(df, {"year": 0, "month": 0, "number_of_travelers": 0}))
+    return df.withColumns(_ints(df, {"year": 0, "month": 0}) | _counts(df, "number_of_travelers"))
 
 
 def with_indicator_name(df: DataFrame, code: str = "indicator_code", alias: str = "indicator_name") -> DataFrame:

@@ -85,7 +85,7 @@ def arrivals(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = N
         F.coalesce(F.try_element_at(F.create_map(*pairs), segment), segment).alias("destination_department"),
         F.col("o_orderpriority").alias("travel_purpose"),
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("entry_point"),
-        F.floor(F.col("o_totalprice") / 1000).cast("int").alias("number_of_visitors"),
+        F.floor(F.col("o_totalprice") / 1000).alias("number_of_visitors"),
         F.col("o_totalprice").alias("estimated_spending_usd"),
     )
 
@@ -107,8 +107,8 @@ def occupancy(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None =
         F.when(~((flag == "N") & (F.col("month") == 2)), F.col("filled") * 100.0 / F.col("rooms")).alias(
             "occupancy_rate"
         ),
-        F.col("rooms").cast("int").alias("available_rooms"),
-        F.when(flag != "R", F.col("filled").cast("int")).alias("occupied_rooms"),
+        F.col("rooms").alias("available_rooms"),
+        F.when(flag != "R", F.col("filled")).alias("occupied_rooms"),
         (_amount(F.col("cents")) / F.col("rooms")).alias("average_rate_cop"),
     )
 
@@ -202,7 +202,7 @@ def gdp(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None)
         "year",
         _amount(F.col("cents"), 1e9).alias("tourism_gdp_billions_cop"),
         (cents * 100 / every).alias("pct_of_total_gdp"),
-        F.col("customers").cast("int").alias("tourism_employment_thousands"),
+        F.col("customers").alias("tourism_employment_thousands"),
         ((cents / F.lag(cents).over(by_year) - 1) * 100).alias("annual_variation_pct"),
         F.lit(None).cast("string").alias("source"),
     )

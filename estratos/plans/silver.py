@@ -11,10 +11,15 @@ from estratos.functions import clamp, first_of_month, rounded_int, title_case, t
 from estratos.operators.filters import valid_rows
 
 
-def _int(df: DataFrame, name: str, default: int | None = None) -> Column:
+def _int(df: DataFrame, name: str, kind: str = "int") -> Column:
     """Integer of a column; only fractional or text input needs rounding."""
-    c = F.col(name).cast("int") if isinstance(df.schema[name].dataType, T.IntegralType) else rounded_int(name)
-    return c if default is None else F.coalesce(c, F.lit(default))
+    whole = isinstance(df.schema[name].dataType, T.IntegralType)
+    return F.col(name).cast(kind) if whole else rounded_int(name, kind)
+
+
+def _count(df: DataFrame, name: str) -> Column:
+    """A 64-bit count, 0 where it is missing."""
+    return F.coalesce(_int(df, name, "bigint"), F.lit(0))
 
 
 def _double(name: str, default: float = 0.0) -> Column:
@@ -40,7 +45,7 @@ def typed_arrivals(raw: DataFrame, min_year: int = fixed.SILVER_ARRIVALS_MIN_YEA
         _int(raw, "year").alias("year"),
         _int(raw, "month").alias("month"),
         *ARRIVAL_TEXTS,
-        _int(raw, "number_of_visitors", 0).alias("number_of_visitors"),
+        _count(raw, "number_of_visitors").alias("number_of_visitors"),
         _double("estimated_spending_usd").alias("estimated_spending_usd"),
     )
 
@@ -66,8 +71,8 @@ def stg_hotel_occupancy(
         first_of_month(_int(raw, "year"), _int(raw, "month")).alias("period_date"),
         title_case("department").alias("department"),
         clamp(F.col("occupancy_rate").cast("double"), 0, 100, preserve_null).alias("occupancy_rate"),
-        _int(raw, "available_rooms", 0).alias("available_rooms"),
-        _int(raw, "occupied_rooms", 0).alias("occupied_rooms"),
+        _count(raw, "available_rooms").alias("available_rooms"),
+        _count(raw, "occupied_rooms").alias("occupied_rooms"),
         _double("average_rate_cop").alias("average_rate_cop"),
     )
 
@@ -84,7 +89,7 @@ def stg_migracion_flows(raw: DataFrame, min_year: int = fixed.SILVER_MIGRATION_M
         trim_spaces("nationality").alias("nationality"),
         F.lower(trim_spaces("movement_type")).alias("movement_type"),
         trim_spaces("control_point").alias("control_point"),
-        _int(raw, "number_of_travelers", 0).alias("number_of_travelers"),
+        _count(raw, "number_of_travelers").alias("number_of_travelers"),
         _source(fixed.SOURCE_MIGRATION).alias("source"),
     )
 
@@ -96,7 +101,7 @@ def stg_dane_tourism_gdp(raw: DataFrame, min_year: int = fixed.SILVER_GDP_MIN_YE
         _int(raw, "year").alias("year"),
         _double("tourism_gdp_billions_cop").alias("tourism_gdp_billions_cop"),
         _double("pct_of_total_gdp").alias("pct_of_total_gdp"),
-        _int(raw, "tourism_employment_thousands", 0).alias("tourism_employment_thousands"),
+        _count(raw, "tourism_employment_thousands").alias("tourism_employment_thousands"),
         _double("annual_variation_pct").alias("annual_variation_pct"),
         _source(fixed.SOURCE_GDP).alias("source"),
     )
@@ -111,9 +116,9 @@ def stg_aerocivil_passengers(raw: DataFrame, min_year: int = fixed.SILVER_AIR_MI
         first_of_month(_int(raw, "year"), _int(raw, "month")).alias("period_date"),
         trim_spaces("airport").alias("airport"),
         trim_spaces("airport_city").alias("airport_city"),
-        _int(raw, "domestic_passengers", 0).alias("domestic_passengers"),
-        _int(raw, "international_passengers", 0).alias("international_passengers"),
-        _int(raw, "total_passengers", 0).alias("total_passengers"),
+        _count(raw, "domestic_passengers").alias("domestic_passengers"),
+        _count(raw, "international_passengers").alias("international_passengers"),
+        _count(raw, "total_passengers").alias("total_passengers"),
     )
 
 

@@ -1,10 +1,13 @@
-"""Canonical tables: one explicit schema and one declared grain each."""
+"""Canonical tables: one explicit schema and one declared grain each.
+
+Periods are 32-bit integers. Counts are 64-bit: a month of a large table passes two thousand million.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {"int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(), "date": T.DateType()}
+_TYPES = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType(), "date": T.DateType()}
 
 
 def _schema(columns: str) -> T.StructType:
@@ -16,23 +19,23 @@ def _schema(columns: str) -> T.StructType:
 BRONZE = {
     "arrivals": _schema(
         "arrival_date date, year int, month int, country_of_origin string, destination_department string, "
-        "travel_purpose string, entry_point string, number_of_visitors int, estimated_spending_usd double"
+        "travel_purpose string, entry_point string, number_of_visitors bigint, estimated_spending_usd double"
     ),
     "occupancy": _schema(
-        "year int, month int, department string, occupancy_rate double, available_rooms int, "
-        "occupied_rooms int, average_rate_cop double"
+        "year int, month int, department string, occupancy_rate double, available_rooms bigint, "
+        "occupied_rooms bigint, average_rate_cop double"
     ),
     "gdp": _schema(
         "year int, tourism_gdp_billions_cop double, pct_of_total_gdp double, "
-        "tourism_employment_thousands int, annual_variation_pct double, source string"
+        "tourism_employment_thousands bigint, annual_variation_pct double, source string"
     ),
     "migration": _schema(
         "year int, month int, nationality string, movement_type string, control_point string, "
-        "number_of_travelers int, source string"
+        "number_of_travelers bigint, source string"
     ),
     "air": _schema(
-        "year int, month int, airport string, airport_city string, domestic_passengers int, "
-        "international_passengers int, total_passengers int"
+        "year int, month int, airport string, airport_city string, domestic_passengers bigint, "
+        "international_passengers bigint, total_passengers bigint"
     ),
     "balance": _schema(
         "year int, quarter int, tourism_income_usd_millions double, tourism_expenditure_usd_millions double, "

@@ -69,7 +69,7 @@ def _bronze_arrivals_files(spark, sf):
         f"""select year, month, department,
                    cast(least(greatest(coalesce(occupancy_rate * 2 - 50, 50), 0), 100) as double) as occupancy_rate,
                    available_rooms,
-                   {whole('trunc(available_rooms * cast(least(greatest(coalesce(occupancy_rate * 2 - 50, 50), 0), 100) as double) / 100)')}
+                   {big('trunc(available_rooms * cast(least(greatest(coalesce(occupancy_rate * 2 - 50, 50), 0), 100) as double) / 100)')}
                        as occupied_rooms,
                    average_rate_cop
             from occupancy""",
@@ -219,7 +219,7 @@ def _bronze_arrivals_csv(spark, sf):
     f"""select cast(o_orderdate as date) as arrival_date, {whole('year(o_orderdate)')} as year,
                {whole('month(o_orderdate)')} as month, 'Desconocido' as country_of_origin,
                'Desconocido' as destination_department, 'Turismo' as travel_purpose, 'Aéreo' as entry_point,
-               0 as number_of_visitors, o_totalprice as estimated_spending_usd
+               cast(0 as bigint) as number_of_visitors, o_totalprice as estimated_spending_usd
         from orders where o_orderpriority <> '3-MEDIUM'""",
 )
 def _arrivals_from_dates(spark, sf):
@@ -284,7 +284,7 @@ def _bronze_gdp_csv(spark, sf):
     "bronze_migration_csv", "B8 IO3 PF2 PF3",
     sql(
         f"""select year, month, nationality, movement_type, control_point,
-                   {whole('number_of_travelers')} as number_of_travelers, cast(null as varchar) as source
+                   {big('number_of_travelers')} as number_of_travelers, cast(null as varchar) as source
             from migration""",
         "migration",
     ),
@@ -296,9 +296,9 @@ def _bronze_migration_csv(spark, sf):
 
 
 _AIR = """select year, month, airport, 'Desconocido' as airport_city,
-    coalesce(cast(domestic_passengers as integer), 0) as domestic_passengers,
-    coalesce(cast(international_passengers as integer), 0) as international_passengers,
-    coalesce(cast(domestic_passengers as integer), 0) + coalesce(cast(international_passengers as integer), 0)
+    coalesce(cast(domestic_passengers as bigint), 0) as domestic_passengers,
+    coalesce(cast(international_passengers as bigint), 0) as international_passengers,
+    coalesce(cast(domestic_passengers as bigint), 0) + coalesce(cast(international_passengers as bigint), 0)
         as total_passengers from air where year >= 1996"""
 
 
@@ -320,7 +320,7 @@ def _bronze_air_csv(spark, sf):
 @register(
     "air_totals_kept", "PF8",
     sql(
-        """select year, month, airport, coalesce(cast(total_passengers as integer), 0) + 1 as total_passengers
+        """select year, month, airport, coalesce(cast(total_passengers as bigint), 0) + 1 as total_passengers
            from air""",
         "air",
     ),

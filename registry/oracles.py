@@ -73,7 +73,7 @@ select cast(o_orderdate as date) as arrival_date, {whole('year(o_orderdate)')} a
             when 'FURNITURE' then 'valle del cauca' when 'HOUSEHOLD' then '  Bolívar '
             else c_mktsegment end as destination_department,
        o_orderpriority as travel_purpose, nullif(o_orderstatus, 'P') as entry_point,
-       {whole('floor(o_totalprice / 1000)')} as number_of_visitors,
+       {big('floor(o_totalprice / 1000)')} as number_of_visitors,
        o_totalprice as estimated_spending_usd
 from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey""")
 
@@ -81,8 +81,8 @@ cte("occupancy")(f"""
 select year, month, ' flag ' || l_returnflag || ' ' as department,
        case when l_returnflag = 'N' and month = 2 then null
             else cast(filled as double) * 100 / rooms end as occupancy_rate,
-       {whole('rooms')} as available_rooms,
-       case when l_returnflag <> 'R' then {whole('filled')} end as occupied_rooms,
+       rooms as available_rooms,
+       case when l_returnflag <> 'R' then filled end as occupied_rooms,
        cast(cents as double) / cast(100 as double) / rooms as average_rate_cop
 from (select {whole('year(l_shipdate)')} as year, {whole('month(l_shipdate)')} as month, l_returnflag,
              count(*) as rooms, count(*) filter (where l_linestatus = 'F') as filled,
@@ -115,7 +115,7 @@ from (select {whole('year(o_orderdate)')} as year, {whole('quarter(o_orderdate)'
 
 cte("gdp")(f"""
 select year, c / 1e11 as tourism_gdp_billions_cop, c * 100 / sum(c) over () as pct_of_total_gdp,
-       {whole('customers')} as tourism_employment_thousands,
+       customers as tourism_employment_thousands,
        (c / lag(c) over (order by year) - 1) * 100 as annual_variation_pct, cast(null as varchar) as source
 from (select {whole('year(o_orderdate)')} as year, cast(sum({cents('o_totalprice')}) as double) as c,
              count(distinct o_custkey) as customers from orders group by 1)""")
@@ -166,7 +166,7 @@ from occupancy where year >= 1995 and month between 1 and 12""")
 cte("stg_migracion_flows", "migration")("""
 select year, month, make_date(year, month, 1) as period_date, trim(nationality) as nationality,
        lower(trim(movement_type)) as movement_type, trim(control_point) as control_point,
-       coalesce(cast(number_of_travelers as integer), 0) as number_of_travelers,
+       coalesce(cast(number_of_travelers as bigint), 0) as number_of_travelers,
        coalesce(trim(source), 'migracion_colombia') as source
 from migration where year >= 1995 and month between 1 and 12 and number_of_travelers > 0""")
 
@@ -180,9 +180,9 @@ from gdp where year >= 1995 and tourism_gdp_billions_cop > 0""")
 cte("stg_aerocivil_passengers", "air")("""
 select year, month, make_date(year, month, 1) as period_date, trim(airport) as airport,
        trim(airport_city) as airport_city,
-       coalesce(cast(domestic_passengers as integer), 0) as domestic_passengers,
-       coalesce(cast(international_passengers as integer), 0) as international_passengers,
-       coalesce(cast(total_passengers as integer), 0) as total_passengers
+       coalesce(cast(domestic_passengers as bigint), 0) as domestic_passengers,
+       coalesce(cast(international_passengers as bigint), 0) as international_passengers,
+       coalesce(cast(total_passengers as bigint), 0) as total_passengers
 from air where year >= 1995 and month between 1 and 12 and total_passengers > 0""")
 
 cte("stg_banrep_tourism_balance", "balance")("""

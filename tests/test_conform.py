@@ -147,6 +147,20 @@ def test_gdp_and_migration(rows):
     assert bronze.migration_csv(flows).first().number_of_travelers == 12
 
 
+@pytest.mark.parametrize("first", ["año", '"año"'])
+def test_byte_order_mark(spark, tmp_path, first):
+    from estratos.sources import readers
+
+    (tmp_path / "bom.csv").write_text(f"\ufeff{first},mes,llegadas\n2020,1,5\n", "utf-8")
+    row = bronze.arrivals_csv(readers.read_csv(spark, f"{tmp_path}/bom.csv")).first()
+    assert (row.year, row.month, row.number_of_visitors) == (2020, 1, 5)
+
+
+def test_counts_are_64_bit(rows):
+    raw = text(rows, "year,month,llegadas", "2020,1,6000000000")
+    assert bronze.arrivals_csv(raw).first().number_of_visitors == 6_000_000_000
+
+
 def test_catalogue(rows):
     df = rows([("ST.INT.ARVL", "PER"), ("nope", "XXX")], "indicator_code string, country_code string")
     got = conform.with_country_name(conform.with_indicator_name(df)).collect()

@@ -45,7 +45,7 @@ def test_validity_filters_are_pushed(spark, tmp_path):
     for pushed in ("GreaterThanOrEqual(number_of_visitors,0)", "GreaterThanOrEqual(year,2015)",
                    "GreaterThanOrEqual(month,1)", "LessThanOrEqual(month,12)"):
         assert pushed in plan
-    assert re.search(r"ReadSchema: struct<year:int,month:int,number_of_visitors:int>", plan)
+    assert re.search(r"ReadSchema: struct<year:int,month:int,number_of_visitors:bigint>", plan)
 
 
 def test_keys_are_not_hashed_when_unused(spark, sf):
