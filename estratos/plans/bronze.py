@@ -21,8 +21,8 @@ from estratos.operators.filters import valid_rows
 from estratos.schemas import BRONZE
 from estratos.sources import readers, sinks
 
-ARRIVALS_PATTERNS = ("*arrivals*", "*llegadas*")
-OCCUPANCY_PATTERNS = ("*ocupacion*", "*occupancy*")
+ARRIVALS_PATTERNS = ("*arrivals*.csv", "*llegadas*.csv")
+OCCUPANCY_PATTERNS = ("*ocupacion*.csv", "*occupancy*.csv")
 
 
 def _canonical(df: DataFrame, table: str) -> DataFrame:

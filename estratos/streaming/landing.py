@@ -19,6 +19,9 @@ from estratos.sources.readers import csv_options, null_tokens_to_null
 
 log = logging.getLogger(__name__)
 
+_REMEMBERED = "spark.sql.streaming.numRecentProgressUpdates"
+_BATCHES_PER_RUN = 100_000
+
 
 def landed_rows(
     spark: SparkSession, folder: str, columns: Sequence[str], encoding: str = "UTF-8",
@@ -59,19 +62,26 @@ def ingest(
 def load_new_files(
     spark: SparkSession, folder: str, columns: Sequence[str], transform: Callable[[DataFrame], DataFrame],
     sink: str, checkpoint: str, partition_by: Sequence[str] = (), encoding: str = "UTF-8",
+    max_files_per_batch: int = 10_000,
 ) -> int:
     """ST1. Load what has landed since the last run and return the number of input rows.
 
-    A folder that cannot be listed is logged and counts as nothing new.
+    A folder that cannot be listed is logged and counts as nothing new. The row count is added up from the
+    progress of the run's batches, so the session is told to remember enough of them meanwhile.
     """
+    remembered = spark.conf.get(_REMEMBERED)
+    spark.conf.set(_REMEMBERED, str(max(int(remembered), _BATCHES_PER_RUN)))
     try:
         query = ingest(
-            landed_rows(spark, folder, columns, encoding), transform, sink, checkpoint, partition_by
+            landed_rows(spark, folder, columns, encoding, max_files_per_batch), transform, sink, checkpoint,
+            partition_by,
         )
+        query.awaitTermination()
+        return sum(progress.numInputRows for progress in query.recentProgress)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("cannot list %s: %s", folder, error)
         return 0
-    query.awaitTermination()
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    finally:
+        spark.conf.set(_REMEMBERED, remembered)

@@ -74,6 +74,17 @@ def test_partitioned_sink_and_cleaning_agree_with_batch(spark, drop):
     assert silver.stg_tourism_arrivals(drop.rows()).where(F.col("year") < 2015).isEmpty()
 
 
+def test_rows_of_all_batches_are_counted(spark, drop):
+    for year in (2020, 2021, 2022, 2023):
+        drop.put(f"{year}.csv", f"{year},1,1", f"{year},2,1")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        assert drop.run(max_files_per_batch=1) == 8
+        assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "1"
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
 def test_two_files_in_small_batches(spark, tmp_path):
     drop = Drop(spark, tmp_path)
     for year in (2020, 2021, 2022):
