@@ -233,24 +233,29 @@ def conform_balance(
     return _in_period(df, min_year, "quarter", 4, read)
 
 
-def conform_gdp(raw: DataFrame) -> DataFrame:
-    """PF1-PF3. Raw yearly GDP files; no row is dropped here, silver decides which are valid."""
-    df = harmonise_headers(raw, fixed.GDP_HEADERS)
-    df = add_missing(df, {"source": fixed.SOURCE_GDP})
-    return df.withColumns(
-        _ints(df, {"year": 0})
-        | _counts(df, "tourism_employment_thousands")
-        | _doubles(
-            df, {"tourism_gdp_billions_cop": 0.0, "pct_of_total_gdp": 0.0, "annual_variation_pct": 0.0}
-        )
-    )
-
+def keep_as_landed(
+    raw: DataFrame, headers: Headers, schema: T.StructType, defaults: Mapping[str, object]
+) -> DataFrame:
+    """PF1, PF2 and types only, for datasets whose rows and gaps are left to the cleaned tables.
 
-def conform_migration(raw: DataFrame) -> DataFrame:
-    """PF1-PF3. Raw migration files; no row is dropped here, silver decides which are valid."""
-    df = harmonise_headers(raw, fixed.MIGRATION_HEADERS)
-    df = add_missing(df, {"source": fixed.SOURCE_MIGRATION})
-    return df.withColumns(_ints(df, {"year": 0, "month": 0}) | _counts(df, "number_of_travelers"))
+    A missing or unreadable cell stays null instead of becoming a default, and fractions of whole numbers
+    are rounded, halves to even, as the cleaned tables do. Only absent columns get a default.
+    """
+    df = add_missing(harmonise_headers(raw, headers), defaults)
+
+    def typed(field: T.StructField) -> Column:
+        if field.name not in df.columns:
+            return F.lit(None).cast(field.dataType)
+        if isinstance(field.dataType, T.IntegralType):
+            number = lenient_double(field.name, None, _is_text(df, field.name))
+            return F.rint(number).try_cast(field.dataType)
+        if isinstance(field.dataType, T.DoubleType):
+            return lenient_double(field.name, None, _is_text(df, field.name))
+        if isinstance(field.dataType, T.DateType):
+            return parse_date(field.name)
+        return F.col(field.name)
+
+    return df.withColumns({field.name: typed(field) for field in schema})
 
 
 def with_indicator_name(df: DataFrame, code: str = "indicator_code", alias: str = "indicator_name") -> DataFrame:

@@ -33,6 +33,34 @@ def _canonical(df: DataFrame, table: str) -> DataFrame:
     return df.select(*typed, *[F.col("`" + name.replace("`", "``") + "`") for name in extra])
 
 
+HEADERS = {
+    "arrivals": fixed.ARRIVALS_HEADERS,
+    "occupancy": fixed.OCCUPANCY_HEADERS,
+    "gdp": fixed.GDP_HEADERS,
+    "migration": fixed.MIGRATION_HEADERS,
+    "air": fixed.AIR_HEADERS,
+    "balance": fixed.BALANCE_HEADERS,
+}
+
+# What an absent column of a dataset kept as landed is filled with.
+ABSENT = {
+    "arrivals": {
+        "country_of_origin": fixed.UNKNOWN,
+        "destination_department": fixed.UNKNOWN,
+        "travel_purpose": fixed.DEFAULT_PURPOSE,
+        "entry_point": fixed.DEFAULT_ENTRY_POINT,
+    },
+    "occupancy": {"department": fixed.UNKNOWN},
+    "gdp": {"source": fixed.SOURCE_GDP},
+    "migration": {"source": fixed.SOURCE_MIGRATION},
+}
+
+
+def as_landed(table: str, raw: DataFrame) -> DataFrame:
+    """B1, B2, B7, B8. Canonical headers and types; every row and every gap stays."""
+    return _canonical(conform.keep_as_landed(raw, HEADERS[table], BRONZE[table], ABSENT[table]), table)
+
+
 def _files(spark: SparkSession, folder: str, patterns: Sequence[str], encoding: str) -> DataFrame | None:
     return readers.read_csv_by_name(spark, [f"{folder}/{pattern}" for pattern in patterns], encoding)
 
@@ -40,13 +68,13 @@ def _files(spark: SparkSession, folder: str, patterns: Sequence[str], encoding:
 def arrivals_files(spark: SparkSession, folder: str, encoding: str = "UTF-8") -> DataFrame | None:
     """B1. Arrivals files of a drop folder, whatever their headers' order."""
     raw = _files(spark, folder, ARRIVALS_PATTERNS, encoding)
-    return None if raw is None else _canonical(conform.conform_arrivals(raw, min_year=0), "arrivals")
+    return None if raw is None else as_landed("arrivals", raw)
 
 
 def occupancy_files(spark: SparkSession, folder: str, encoding: str = "UTF-8") -> DataFrame | None:
     """B2."""
     raw = _files(spark, folder, OCCUPANCY_PATTERNS, encoding)
-    return None if raw is None else _canonical(conform.conform_occupancy(raw, min_year=0), "occupancy")
+    return None if raw is None else as_landed("occupancy", raw)
 
 
 def indicator_files(
@@ -72,12 +100,12 @@ def occupancy_csv(
 
 def gdp_csv(raw: DataFrame) -> DataFrame:
     """B7."""
-    return _canonical(conform.conform_gdp(raw), "gdp")
+    return as_landed("gdp", raw)
 
 
 def migration_csv(raw: DataFrame) -> DataFrame:
     """B8."""
-    return _canonical(conform.conform_migration(raw), "migration")
+    return as_landed("migration", raw)
 
 
 def air_csv(raw: DataFrame, min_year: int = fixed.BRONZE_MIN_YEAR, read: Observation | None = None) -> DataFrame:
@@ -110,15 +138,6 @@ class LoadReport:
 LANDED = "landed"
 
 
-HEADERS = {
-    "arrivals": fixed.ARRIVALS_HEADERS,
-    "occupancy": fixed.OCCUPANCY_HEADERS,
-    "gdp": fixed.GDP_HEADERS,
-    "migration": fixed.MIGRATION_HEADERS,
-    "air": fixed.AIR_HEADERS,
-    "balance": fixed.BALANCE_HEADERS,
-}
-
 # The datasets whose loader drops rows outside the valid periods, with the first year each keeps.
 MIN_YEARS = {
     "arrivals": fixed.BRONZE_MIN_YEAR,
@@ -129,14 +148,6 @@ MIN_YEARS = {
     "regional": fixed.BRONZE_MIN_YEAR,
 }
 FILTERED = {"arrivals": arrivals_csv, "occupancy": occupancy_csv, "air": air_csv, "balance": balance_csv}
-UNFILTERED = {"gdp": gdp_csv, "migration": migration_csv}
-
-
-def conformed(table: str, raw: DataFrame, min_year: int | None = None, read: Observation | None = None) -> DataFrame:
-    """B4, B5, B7-B10 by name of the dataset."""
-    if table in UNFILTERED:
-        return UNFILTERED[table](raw)
-    return FILTERED[table](raw, MIN_YEARS[table] if min_year is None else min_year, read)
 
 
 def _report(table: str, path: str, source: str, rows: DataFrame, metrics: Mapping[str, object], **more) -> LoadReport:
@@ -165,12 +176,19 @@ def load(
 ) -> LoadReport:
     """IO1, IO3, IO4, IO16, IO6, IO21. Load one landed CSV dataset into bronze.
 
-    `landed` is a path of files with one header, or a list of name patterns for files with several. The
+    `landed` is a path of files with one header, or a list of name patterns for files with several. Arrivals
+    and occupancy found by pattern are kept as landed (B1, B2), those at a path are conformed (B4, B5). The
     landed files are archived before they are parsed. The fallback is used when nothing has landed, the
     files cannot be read, or no valid row is left.
     """
     headers = conform.HeaderReport()
     raw: DataFrame | None = None
+    filtered = table in FILTERED and not (table in ABSENT and landed is not None and not isinstance(landed, str))
+
+    def conformed(read: Observation | None = None) -> DataFrame:
+        if not filtered:
+            return as_landed(table, raw)
+        return FILTERED[table](raw, MIN_YEARS[table] if min_year is None else min_year, read)
 
     def primary() -> DataFrame | None:
         nonlocal headers, raw
@@ -184,14 +202,14 @@ def load(
         headers = conform.header_report(raw.columns, HEADERS[table], BRONZE[table].names)
         if archive is not None:
             sinks.archive_lines(spark, files, archive, table, on or date.today())
-        return conformed(table, raw, min_year)
+        return conformed()
 
     rows, source = readers.choose_source(primary if landed else None, lambda: fallback, LANDED)
     read = None
-    if source == LANDED and table in FILTERED:
+    if source == LANDED and filtered:
         # The rows read are counted in the same pass that writes the rows kept.
         read = Observation(f"read-{uuid.uuid4().hex}")
-        rows = conformed(table, raw, min_year, read)
+        rows = conformed(read)
     metrics = sinks.write_parquet(rows, path)
     dropped = int(read.get["rows_read"]) - int(metrics["num_rows"]) if read is not None else 0
     return _report(table, path, source, rows, metrics, headers=headers, rows_dropped=dropped)

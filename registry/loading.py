@@ -64,22 +64,24 @@ def _bronze_arrivals_files(spark, sf):
 
 
 @register(
-    "bronze_occupancy_files", "B2 IO1 PF3 PF6 PF7",
+    "bronze_occupancy_files", "B2 IO1 PF1",
     sql(
-        f"""select year, month, department,
-                   cast(least(greatest(coalesce(occupancy_rate * 2 - 50, 50), 0), 100) as double) as occupancy_rate,
-                   available_rooms,
-                   {big('trunc(available_rooms * cast(least(greatest(coalesce(occupancy_rate * 2 - 50, 50), 0), 100) as double) / 100)')}
-                       as occupied_rooms,
-                   average_rate_cop
-            from occupancy""",
+        f"""select year, month, department, occupancy_rate * 2 - 50 as occupancy_rate,
+                   case when l <> 'N' then {big('round_even(available_rooms + cast(0.5 as double), 0)')}
+                       end as available_rooms,
+                   cast(null as bigint) as occupied_rooms, average_rate_cop
+            from (select *, trim(department)[6:] as l from occupancy)""",
         "occupancy",
     ),
 )
 def _bronze_occupancy_files(spark, sf):
-    """Rates outside 0..100 and missing; the rooms column is there but never filled, so it is derived."""
+    """Gaps, unreadable numbers and rates outside 0..100 stay for the cleaned table; halves are rounded to even."""
+    rooms = F.concat(_text("available_rooms"), F.lit(".5"))
     occupancy = bindings.occupancy(spark, sf).withColumns(
-        {"occupancy_rate": F.col("occupancy_rate") * 2 - 50, "occupied_rooms": F.lit(None).cast("string")}
+        {
+            "occupancy_rate": F.col("occupancy_rate") * 2 - 50, "occupied_rooms": F.lit(None).cast("string"),
+            "available_rooms": F.when(F.col("department").contains("N"), F.lit("s/d")).otherwise(rooms),
+        }
     )
     folder = scratch_path(spark, "drop")
     land(occupancy.where(F.col("year") < 1998), f"{folder}/hotel_occupancy.csv")
@@ -94,6 +96,26 @@ def _bronze_occupancy_files(spark, sf):
     return bronze.occupancy_files(spark, folder).select(BRONZE["occupancy"].names)
 
 
+_CLAMPED = "cast(least(greatest(coalesce(occupancy_rate * 2 - 50, 50), 0), 100) as double)"
+
+
+@register(
+    "occupied_rooms_derived", "B5 PF3 PF6 PF7",
+    sql(
+        f"""select year, month, department, {_CLAMPED} as occupancy_rate, available_rooms,
+                   {big(f'trunc(available_rooms * {_CLAMPED} / 100)')} as occupied_rooms, average_rate_cop
+            from occupancy""",
+        "occupancy",
+    ),
+)
+def _occupied_rooms_derived(spark, sf):
+    """Rates outside 0..100 and missing; the rooms column is there but never filled, so it is derived."""
+    raw = bindings.occupancy(spark, sf).withColumns(
+        {"occupancy_rate": F.col("occupancy_rate") * 2 - 50, "occupied_rooms": F.lit(None).cast("string")}
+    )
+    return bronze.occupancy_csv(raw, min_year=1990).select(BRONZE["occupancy"].names)
+
+
 # --- B3, B6: indicator answers ----------------------------------------------------------------------
 
 _ANSWERED = "where not ends_with(country_code, '5') and year <> 1997"
@@ -268,10 +290,10 @@ def _bronze_occupancy_csv(spark, sf):
 
 
 @register(
-    "bronze_gdp_csv", "B7 IO3 PF2 PF3",
+    "bronze_gdp_csv", "B7 IO3 PF2",
     sql(
         """select year, tourism_gdp_billions_cop, pct_of_total_gdp, tourism_employment_thousands,
-                  coalesce(annual_variation_pct, 0) as annual_variation_pct, 'dane' as source from gdp""",
+                  annual_variation_pct, 'dane' as source from gdp""",
         "gdp",
     ),
 )
@@ -281,7 +303,7 @@ def _bronze_gdp_csv(spark, sf):
 
 
 @register(
-    "bronze_migration_csv", "B8 IO3 PF2 PF3",
+    "bronze_migration_csv", "B8 IO3 PF2",
     sql(
         f"""select year, month, nationality, movement_type, control_point,
                    {big('number_of_travelers')} as number_of_travelers, cast(null as varchar) as source
@@ -491,12 +513,15 @@ def _table_and_export(spark, sf):
     name = "estratos_" + path.rsplit("-", 1)[1]
     rows = sinks.save_as_table(bindings.table(spark, sf, "orders"), name, f"{path}/table")
     sinks.export_table(spark, name, f"{path}/export")
+    spark.sql(f"drop table {name}")
     exported = spark.read.schema(bindings.TABLES["orders"]).parquet(f"{path}/export")
     sinks.publish_view(exported, f"{name}_view")
-    return spark.sql(
+    out = spark.sql(
         f"select o_orderstatus, count(*) as num_rows, sum(o_orderkey) as key_sum, "
         f"cast({rows} as bigint) as rows_loaded from {name}_view group by o_orderstatus"
     )
+    spark.catalog.dropTempView(f"{name}_view")
+    return out
 
 
 @register(

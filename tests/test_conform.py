@@ -140,11 +140,30 @@ def test_given_balance_is_kept(rows):
     assert [r.tourism_balance_usd_millions for r in got] == [99.0, None]
 
 
-def test_gdp_and_migration(rows):
-    gdp = bronze.gdp_csv(text(rows, "anio,tourism_gdp_billions_cop", "2020,1.5")).first()
-    assert (gdp.year, gdp.source, gdp.pct_of_total_gdp) == (2020, "dane", 0.0)
-    flows = text(rows, "anio,mes,nationality,movement_type,control_point,number_of_travelers", "2020,1,X,entrada,P,12.0")
-    assert bronze.migration_csv(flows).first().number_of_travelers == 12
+def test_datasets_kept_as_landed(rows):
+    gdp = bronze.gdp_csv(text(rows, "anio,tourism_gdp_billions_cop,source", "2020,1.5,", "1900,x,y"))
+    assert [(r.year, r.tourism_gdp_billions_cop, r.source, r.pct_of_total_gdp) for r in gdp.collect()] == [
+        (2020, 1.5, None, None), (1900, None, "y", None),
+    ]
+    flows = text(
+        rows, "anio,mes,nationality,movement_type,control_point,number_of_travelers", "2020,1,X,entrada,P,12.0",
+        "2020,1,X,entrada,P,2.5", "2020,1,X,entrada,P,3.5", "2020,1,X,entrada,P,junk",
+    )
+    got = bronze.migration_csv(flows)
+    assert [r.number_of_travelers for r in got.collect()] == [12, 2, 4, None]
+    assert {r.source for r in got.collect()} == {"migracion_colombia"}
+
+
+def test_gaps_of_drops_reach_the_cleaned_tables(rows):
+    """A missing count drops the row and a missing rate counts as 0, where a conformed load would default both."""
+    from estratos.plans import silver
+
+    arrivals = text(rows, "año,mes,pais,llegadas", "2020,1,A,", "2020,1,B,x", "2020,1,C,7")
+    got = silver.stg_tourism_arrivals(bronze.as_landed("arrivals", arrivals)).collect()
+    assert [(r.country_of_origin, r.number_of_visitors, r.entry_point) for r in got] == [("C", 7, "Aéreo")]
+    occupancy = text(rows, "year,month,department,ocupacion", "2020,1,a,", "2020,2,a,30")
+    rates = silver.stg_hotel_occupancy(bronze.as_landed("occupancy", occupancy)).orderBy("month").collect()
+    assert [r.occupancy_rate for r in rates] == [0.0, 30.0]
 
 
 @pytest.mark.parametrize("first", ["año", '"año"'])

@@ -17,6 +17,7 @@ def finished(spark, tmp_path_factory):
     raw.where("year >= 1998").select(*reversed(raw.columns)).write.option("header", True).csv(
         f"{root}/landed/arrivals_new"
     )
+    bindings.air(spark, sf).write.option("header", True).csv(f"{root}/landed/air")
     bindings.indicator_payloads(spark, sf).repartition(1).select("payload").where(
         F.col("country_code") == "N01"
     ).limit(1).write.text(f"{root}/landed/indicators")
@@ -34,14 +35,14 @@ def finished(spark, tmp_path_factory):
         root=f"{root}/lake",
         fallbacks=fallbacks,
         departments=bindings.departments(spark, sf),
-        landed={"arrivals": [f"{root}/landed/{p}" for p in ("*arrivals*", "*llegadas*", "*none*")], "gdp": [f"{root}/none*"],
+        landed={"arrivals": [f"{root}/landed/{p}" for p in ("*arrivals*", "*llegadas*", "*none*")], "gdp": [f"{root}/none*"], "air": f"{root}/landed/air",
                 "indicators": f"{root}/landed/indicators/*.txt",
                 "balance": f"{root}/landed/never"},
         loaded_at=datetime(2024, 5, 1, 6),
         on=date(2024, 5, 1),
         calendar_start="1995-01-01",
         calendar_end="2001-12-31",
-        bronze_min_years={"arrivals": 1996, "indicators": 1990},
+        bronze_min_years={"air": 1996, "indicators": 1990},
         min_years={name: 1995 for name in BRONZE},
         database="gold",
     )
@@ -51,10 +52,12 @@ def finished(spark, tmp_path_factory):
 def test_loads_report_their_source(finished):
     loads = {load.table: load for load in finished[1].loads}
     assert set(loads) == set(BRONZE)
-    assert {name for name, load in loads.items() if load.source_used == "landed"} == {"arrivals", "indicators"}
+    assert {name for name, load in loads.items() if load.source_used == "landed"} == {"arrivals", "air", "indicators"}
     arrivals = loads["arrivals"]
-    assert (arrivals.year_min, arrivals.year_max) == (1996, 2001)
-    assert arrivals.num_rows + arrivals.rows_dropped == 1500 and arrivals.rows_dropped > 0
+    assert (arrivals.num_rows, arrivals.year_min, arrivals.year_max, arrivals.rows_dropped) == (1500, 1995, 2001, 0)
+    air = loads["air"]
+    assert air.source_used == "landed" and air.year_min == 1996
+    assert air.num_rows + air.rows_dropped == 1907 and air.rows_dropped > 0
     assert arrivals.headers.merged["year"] == ["year", "año"] and arrivals.headers.unmapped == []
 
 
@@ -81,7 +84,7 @@ def test_checks_run_on_written_tables(finished):
 def test_reports_on_written_gold(finished, spark):
     fact = finished[1].gold["fct_tourism_arrivals"]
     growth = {r.year: r.total_visitors for r in reports.arrivals_growth(fact).collect()}
-    assert (growth[2000], growth[2001]) == (56239, 30536) and 1995 not in growth
+    assert (growth[1995], growth[2000], growth[2001]) == (61166, 56239, 30536)
     filtered = reports.arrivals_growth(fact, (1996, 1997))
     assert "PartitionFilters: [isnotnull(year" in filtered._jdf.queryExecution().executedPlan().toString()
 
