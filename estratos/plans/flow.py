@@ -26,9 +26,10 @@ class RunConfig:
     """Where to read and write, and what to fall back to.
 
     `landed` names the landed files of a dataset where there are any: a CSV path, or a list of name patterns
-    for drops of differing headers, or a path of JSON answers for the indicator datasets; `fallbacks` holds a conformed frame for each. `departments` is the seed CSV or a frame. The
-    year limits, by dataset, replace the defaults of the bronze loads and of the cleaned tables. With
-    `database` the gold tables are also made known to the catalogue there, as in `gold.fct_tourism_arrivals`.
+    for drops of differing headers, or a path of JSON answers for the indicator datasets. `fallbacks` holds a
+    conformed frame for each dataset. `departments` is the seed CSV or a frame. The year limits, by dataset,
+    replace the defaults of the bronze loads and of the cleaned tables. With `database` the gold tables are
+    also made known to the catalogue there, as in `gold.fct_tourism_arrivals`.
     """
 
     root: str

@@ -7,7 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType(), "date": T.DateType()}
+_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+}
 
 
 def _schema(columns: str) -> T.StructType:

@@ -148,7 +148,8 @@ _NEW = "cast('2000-01-01' as timestamp)"
 def _new_customers(spark, sf):
     orders = bindings.table(spark, sf, "orders")
     since = F.lit("2000-01-01").cast("timestamp_ntz")
-    return sets.unseen(orders.where(F.col("o_orderdate") >= since), orders.where(F.col("o_orderdate") < since), "o_custkey")
+    now, before = orders.where(F.col("o_orderdate") >= since), orders.where(F.col("o_orderdate") < since)
+    return sets.unseen(now, before, "o_custkey")
 
 
 @register(
@@ -158,7 +159,8 @@ def _new_customers(spark, sf):
 def _known_customers(spark, sf):
     orders = bindings.table(spark, sf, "orders")
     since = F.lit("2000-01-01").cast("timestamp_ntz")
-    return sets.all_seen(orders.where(F.col("o_orderdate") >= since), orders.where(F.col("o_orderdate") < since), "o_custkey")
+    now, before = orders.where(F.col("o_orderdate") >= since), orders.where(F.col("o_orderdate") < since)
+    return sets.all_seen(now, before, "o_custkey")
 
 
 @register(
