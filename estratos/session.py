@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -23,6 +24,8 @@ DEFAULTS = {
 }
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
 # Shuffle partitions are planned for this much input each, up to a number a driver can still manage.
 PARTITION_BYTES = 256 * 1024 * 1024
 MAX_PARTITIONS = 50_000
@@ -61,16 +64,16 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in `spark.checkpoint.dir`.
 
-    Only where that is unset (unit tests on one machine) a local temporary folder is made and set.
+    Where that is unset, a session whose executors are threads of this process gets a temporary folder, set as its
+    checkpoint directory; on a cluster executors would not see each other's files there, so an error is raised.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = getattr(spark, "_estratos_scratch", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    root = root or _LOCAL_SCRATCH.get(context.applicationId)
     if not root:
-        root = tempfile.mkdtemp(prefix="estratos-")
-        spark._estratos_scratch = root
+        if not re.fullmatch(r"local(\[[^-]*\])?", context.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {context.master} share")
+        root = _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="estratos-")
     return root.rstrip("/")
 
 
