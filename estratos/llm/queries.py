@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estratos.llm import languages, quality, sharding
+from estratos.llm import hosts, jaccard, languages, quality, sharding, substrings, warc
 
 QUERIES = {
     fn.__name__: fn
@@ -10,7 +10,11 @@ QUERIES = {
         quality.op1_quality_network,
         sharding.op2_hypergeometric_shards,
         languages.op5_mixture_languages,
+        hosts.op6_host_reputation,
+        warc.op7_warc_members,
+        substrings.op8_repeated_passages,
+        jaccard.op10_jaccard_components,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {hosts.op6_host_reputation.__name__: hosts.ORACLE}
