@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from estratos.llm import hosts, jaccard, languages, quality, sharding, substrings, warc
+from estratos.llm import decontamination, hosts, jaccard, languages, mixing, quality, rules, sharding, substrings, warc
 
 QUERIES = {
     fn.__name__: fn
     for fn in (
         quality.op1_quality_network,
         sharding.op2_hypergeometric_shards,
+        decontamination.op3_winnowing,
+        rules.op4_weak_supervision,
         languages.op5_mixture_languages,
         hosts.op6_host_reputation,
         warc.op7_warc_members,
         substrings.op8_repeated_passages,
+        mixing.op9_source_mix,
         jaccard.op10_jaccard_components,
     )
 }
 
-ORACLES: dict[str, str] = {hosts.op6_host_reputation.__name__: hosts.ORACLE}
+ORACLES: dict[str, str] = {
+    decontamination.op3_winnowing.__name__: decontamination.ORACLE,
+    hosts.op6_host_reputation.__name__: hosts.ORACLE,
+    mixing.op9_source_mix.__name__: mixing.ORACLE,
+}
