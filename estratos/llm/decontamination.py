@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estratos.llm.common import read, written
+from estratos.llm.common import read, row_hash, written
 
 SPAN = 10
 GRAM = 5
@@ -154,6 +154,16 @@ def contaminated(
     )
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, of which no word is hit."""
+    marked = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        F.col(f"`{text}`").alias("text"), row_hash(docs, 43).alias("doc_id"),
+    )
+    hit = contaminated(marked, benchmark, span).where("n_hit > 0").select("doc_id").distinct()
+    return marked.join(hit, "doc_id", "left_anti").select("row.*")
+
+
 def op3_winnowing(spark, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items, with windows of 10 words."""
     found = contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

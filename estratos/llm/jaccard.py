@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from estratos.llm.arrow_text import LOWER, chunks, mix, range_hashes, signed, window_hashes, windows, word_hashes, words
-from estratos.llm.common import read, written
+from estratos.llm.common import read, row_hash, written
 from estratos.llm.components import connected_components
 
 BLOCK_SETS = 1024
@@ -284,6 +284,32 @@ def jaccard_components(
     )
 
 
+def deduplicate(
+    docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of `docs`, all columns as they are, with one row left of each component.
+
+    The row with the smallest id stays (null ids last, then the smallest hash of the row); of rows equal in every column
+    one stays. Texts without words are in no group and all stay.
+    """
+    marked = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"),
+        row_hash(docs, 41).alias("mark"),
+    )
+    found = written(jaccard_components(marked, size, percent, "mark", "text"), "components").where("n_shingles > 0")
+    found = found.select(F.col("doc_id").alias("mark"), F.col("component_id").alias("component"))
+    slim = marked.select("mark", F.coalesce(F.col("id").cast("long"), F.lit((1 << 63) - 1)).alias("id"))
+    grouped = slim.join(found.distinct(), "mark")
+    first = grouped.groupBy("component").agg(F.min("id").alias("first"))
+    first = grouped.join(first, "component").where("id = first").groupBy("component").agg(F.min("mark").alias("stays"))
+    dropped = grouped.join(first, "component").where("mark <> stays").select("mark").distinct()
+    worded = F.col("text").rlike("[^\\x20\\x09-\\x0D]")
+    nth = F.row_number().over(Window.partitionBy("mark").orderBy("mark"))
+    once = marked.withColumn("nth", nth).where((F.col("nth") == 1) | ~F.coalesce(worded, F.lit(False)))
+    return once.join(dropped, "mark", "left_anti").select("row.*")
+
+
 def op10_jaccard_components(spark, sf_dir: str) -> DataFrame:
     """Components of all documents under 3-word shingles with a similarity of 0.9 or more."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")

@@ -223,6 +223,18 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network, text: str = "t
     return chosen.mapInArrow(scored, docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add(name, "double"))
 
 
+def accepted(docs: DataFrame, vectors: np.ndarray, network: Network, least: float, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose score is `least` or more."""
+    at = docs.columns.index(text)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = network.probability(pool(batch.column(at), vectors).astype(np.float64))
+            yield batch.filter(pa.array(value >= least))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def op1_quality_network(spark, sf_dir: str) -> DataFrame:
     """The quality of every whole document; labels of fold 0 of 5 are never read."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
