@@ -82,13 +82,16 @@ def _emit(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
             for i in range(len(chunk.bounds) - 1):
                 wanted = shared[chunk.first + i].values.to_numpy()
                 found = np.flatnonzero(np.isin(signed(anchor[own[i] : own[i + 1]]), wanted))
-                hit.append(found + own[i])
-                doc.append(np.full(len(found), ids[chunk.first + i]))
-                place.append(found.astype(np.int32))
+                # A window that a document repeats is one row with all its places.
+                _, first, which = np.unique(grams[own[i] + found], return_index=True, return_inverse=True)
+                hit.append(own[i] + found[first])
+                doc.append(np.full(len(first), ids[chunk.first + i]))
+                order = np.argsort(which, kind="stable")
+                place += [part.astype(np.int32) for part in np.split(found[order], np.cumsum(np.bincount(which))[:-1])] if len(found) else []
             hit = np.concatenate(hit)
             yield pa.record_batch(
-                [pa.array(grams[hit]), pa.array(check[hit]), pa.array(np.concatenate(doc)), pa.array(np.concatenate(place))],
-                names=["window", "check", "doc", "start"],
+                [pa.array(grams[hit]), pa.array(check[hit]), pa.array(np.concatenate(doc)), pa.array(place, pa.list_(pa.int32()))],
+                names=["window", "check", "doc", "starts"],
             )
 
 
@@ -126,7 +129,7 @@ def repeated_passages(docs: DataFrame, length: int = 50, id_column: str = "doc_i
     anchors = profile.select("same", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("same").alias("low"), F.max("same").alias("high"))
     shared = shared.where("low < high").select("anchor")
-    first = profile.groupBy("same").agg(F.min("doc_id").alias("first"))
+    first = written(profile.groupBy("same").agg(F.min("doc_id").alias("first")), "first")
     wanted = anchors.join(shared, "anchor").groupBy("same").agg(F.collect_set("anchor").alias("anchors"))
     wanted = wanted.join(first, "same")
     candidates = written(
@@ -137,11 +140,12 @@ def repeated_passages(docs: DataFrame, length: int = 50, id_column: str = "doc_i
         "candidates",
     )
     found = candidates.select("doc_id", "anchors", "text").mapInArrow(
-        lambda batches: _emit(batches, length), "window bigint, check int, doc bigint, start int"
+        lambda batches: _emit(batches, length), "window bigint, check int, doc bigint, starts array<int>"
     )
     least = found.groupBy("window", "check").agg(F.min("doc").alias("reference"), F.max("doc").alias("largest"))
-    least = least.where("reference < largest").drop("largest")
-    hits = found.join(least, ["window", "check"]).where("reference < doc")
+    # Written, so that the join below is one of two exchanges of their own and a frequent window can be split.
+    least = written(least.where("reference < largest").drop("largest"), "reference")
+    hits = found.join(least, ["window", "check"]).where("reference < doc").select("doc", "reference", F.explode("starts").alias("start"))
     hits = hits.groupBy("doc").agg(F.collect_set(F.struct("start", "reference")).alias("hits"))
     cleaned = candidates.join(hits, candidates["doc_id"] == hits["doc"]).select("same", "hits", "text")
     cleaned = cleaned.mapInArrow(
