@@ -202,3 +202,10 @@ DEPARTMENT_COORDINATES = {
     "Vichada": (4.423, -69.750),
     "Guainía": (3.865, -67.924),
 }
+
+# Date texts that are read besides ISO dates and timestamps, in order of preference.
+DATE_FORMATS = [
+    "yyyyMMdd", "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "d.M.yyyy",
+    "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "d-MMM-yyyy",
+    "yyyy/M/d H:mm:ss", "M/d/yyyy H:mm:ss", "d/M/yyyy H:mm:ss", "M/d/yyyy H:mm", "d/M/yyyy H:mm",
+]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from estratos.fixed_values import DAY_NAMES, MID_MONTH_DAY, MONTH_NAMES, MONTH_SHORT_NAMES
+from estratos.fixed_values import DATE_FORMATS, DAY_NAMES, MID_MONTH_DAY, MONTH_NAMES, MONTH_SHORT_NAMES
 from estratos.functions.text import _col
 
 
@@ -28,9 +30,14 @@ def mid_month(year: Column | str, month: Column | str) -> Column:
     ).cast("date")
 
 
-def parse_date(c: Column | str) -> Column:
-    """PF4. Date of an ISO date or timestamp text; null when it cannot be read."""
-    return _col(c).try_cast("date")
+def parse_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """PF4. Date of a text in ISO form, or else in the first of `formats` that fits; null when none does.
+
+    A text that fits two formats, such as 03/04/2022, is read by the earlier one, which has the month first.
+    """
+    text = F.trim(_col(c).cast("string"))
+    others = [F.try_to_timestamp(text, F.lit(pattern)).cast("date") for pattern in formats]
+    return F.coalesce(_col(c).try_cast("date"), *others)
 
 
 def period_label(year: Column | str, quarter: Column | str) -> Column:

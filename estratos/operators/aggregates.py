@@ -86,13 +86,18 @@ def load_metrics(
 ) -> DataFrame:
     """AG15, IO21. Rows, first and last year, number of distinct values of chosen columns.
 
-    The exact counts go through one reduction per column, side by side as scalar subqueries.
+    One pass: rows are first reduced to the combinations of the counted columns, and only those are counted.
     """
     aggs = [F.count(F.lit(1)).alias("num_rows"), F.min(year).alias("year_min"), F.max(year).alias("year_max")]
     distinct = distinct or {}
     if approximate:
         return df.agg(*aggs, *[F.approx_count_distinct(c).alias(n) for n, c in distinct.items()])
-    out = df.agg(*aggs)
-    for name, column in distinct.items():
-        out = out.withColumn(name, df.select(column).distinct().agg(F.count(column)).scalar())
-    return out
+    if not distinct:
+        return df.agg(*aggs)
+    combinations = df.groupBy(*dict.fromkeys(distinct.values())).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(year).alias("_first"), F.max(year).alias("_last")
+    )
+    return combinations.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("num_rows"), F.min("_first").alias("year_min"),
+        F.max("_last").alias("year_max"), *[F.count_distinct(F.col(c)).alias(n) for n, c in distinct.items()],
+    )

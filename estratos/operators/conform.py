@@ -111,24 +111,23 @@ def _doubles(df: DataFrame, defaults: Mapping[str, float]) -> dict[str, Column]:
 def never_set(df: DataFrame, name: str) -> Column:
     """True when the column is null in every row: a scalar subquery that reads this column only.
 
-    A stream has no last row, so there the answer is no.
+    A stream has no last row; files that land are conformed as the static frame of their run.
     """
-    return F.lit(False) if df.isStreaming else df.agg(F.count(name)).scalar() == 0
+    return df.agg(F.count(name)).scalar() == 0
 
 
 def sums_to_zero(df: DataFrame, value: Column) -> Column:
-    """True when an integer expression sums to zero over all rows, or there are none; no for a stream."""
-    if df.isStreaming:
-        return F.lit(False)
+    """True when an integer expression sums to zero over all rows, or there are none."""
     return df.agg(F.coalesce(F.sum(value), F.lit(0))).scalar() == 0
 
 
 def _in_period(
-    df: DataFrame, min_year: int, part: str, last: int, read: Observation | None
+    df: DataFrame, min_year: int, part: str, last: int, read: Observation | None, unreadable: Column | None = None
 ) -> DataFrame:
-    """PF12. Keep valid periods; `read` counts the rows before the filter while they pass."""
+    """PF12. Keep valid periods; `read` counts the rows before the filter, and unreadable dates, while they pass."""
     if read is not None:
-        df = df.observe(read, F.count(F.lit(1)).alias("rows_read"))
+        bad = F.count_if(F.lit(False) if unreadable is None else F.coalesce(unreadable, F.lit(False)))
+        df = df.observe(read, F.count(F.lit(1)).alias("rows_read"), bad.alias("dates_unreadable"))
     return valid_rows(df, F.col("year") >= min_year, F.col(part).between(1, last))
 
 
@@ -152,6 +151,7 @@ def conform_arrivals(
     )
     has_date = "arrival_date" in df.columns
     date = parse_date("arrival_date") if has_date else F.lit(None).cast("date")
+    unreadable = F.col("arrival_date").isNotNull() & date.isNull() if has_date else F.lit(False)
     # A derived part equals the date's; an unreadable date leaves 0, which the period filter drops.
     parts = _ints(df, {name: 0 for name in ("year", "month") if name in df.columns})
     if "year" not in parts:
@@ -165,11 +165,11 @@ def conform_arrivals(
         date = built
     df = df.withColumns(
         parts
-        | {"arrival_date": date}
+        | {"arrival_date": date, "_date_unreadable": unreadable}
         | _counts(df, "number_of_visitors")
         | _doubles(df, {"estimated_spending_usd": 0.0})
     )
-    return _in_period(df, min_year, "month", 12, read)
+    return _in_period(df, min_year, "month", 12, read, F.col("_date_unreadable")).drop("_date_unreadable")
 
 
 def conform_occupancy(

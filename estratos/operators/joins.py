@@ -54,19 +54,22 @@ def matching_years(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def lookup_or_default(
     df: DataFrame, key: str, table: DataFrame, table_key: str, defaults: Mapping[str, object],
-    fold_case: bool = True, fixed_size: bool = False,
+    fold_case: bool = False, fixed_size: bool = False,
 ) -> DataFrame:
     """J2. Left look-up of the `defaults` columns by a text key; unknown keys get the defaults.
 
-    `table` has one row per key. `fixed_size` states that it is a constant of the library and may be
-    broadcast as it is; otherwise Spark decides by the measured size.
+    Where several keys of `table` are equal, as can happen with folded case, the one that comes first in order of the
+    key counts, so no row of `df` is doubled. `fixed_size` states that it is a constant of the library with
+    one row per folded key, which may be broadcast as it is; otherwise Spark decides by the measured size.
     """
     fold = F.lower if fold_case else (lambda c: c)
-    right = table.select(
-        fold(F.col(table_key)).alias("_lookup_key"), *[F.col(c).alias(f"_found_{c}") for c in defaults]
-    )
+    found = [F.col(c).alias(f"_found_{c}") for c in defaults]
+    right = table.select(fold(F.col(table_key)).alias("_lookup_key"), F.col(table_key).alias("_exact"), *found)
     if fixed_size:
-        right = F.broadcast(right)
+        right = F.broadcast(right.drop("_exact"))
+    else:
+        one = F.min_by(F.struct(*[f"_found_{c}" for c in defaults]), "_exact").alias("_one")
+        right = right.groupBy("_lookup_key").agg(one).select("_lookup_key", "_one.*")
     joined = df.join(right, fold(df[key]) == F.col("_lookup_key"), "left")
     return joined.select(
         *[df[c] for c in df.columns],
@@ -74,15 +77,12 @@ def lookup_or_default(
     )
 
 
-def with_calendar(fact: DataFrame, calendar: DataFrame, columns: Sequence[str], months: int | None = None) -> DataFrame:
+def with_calendar(fact: DataFrame, calendar: DataFrame, columns: Sequence[str]) -> DataFrame:
     """J4. Add calendar attributes of the month to a fact on `period_date`.
 
-    The calendar is daily, so it is first reduced to one row per month. `months` is the number of months
-    the calendar is known to hold; it is broadcast only when that is given and within the limit.
+    The calendar is daily, so it is first reduced to one row per month; Spark broadcasts it by its measured size.
     """
     monthly = calendar.groupBy("period_date").agg(*[F.min(c).alias(c) for c in columns])
-    if months is not None and months <= BROADCAST_ROWS:
-        monthly = F.broadcast(monthly)
     return fact.join(monthly, "period_date", "inner")
 
 

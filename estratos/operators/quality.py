@@ -36,16 +36,18 @@ class RowCheck:
 
 @dataclass(frozen=True)
 class UniqueCheck:
-    """No key value may occur twice; keys with a null are ignored.
+    """No key value may occur twice.
 
-    `column` is the name to report. A surrogate key is checked on the columns it is made of (`keys`), which
-    saves computing the hash and groups narrower rows.
+    `column` is the name to report. A plain column is checked on itself, and nulls are ignored. A surrogate key is
+    checked on the columns it is made of (`keys`), which saves computing the hash and groups narrower rows; it is
+    never null, so there nulls are values like others (`null_safe`).
     """
 
     column: str
     keys: tuple[str, ...]
     severity: str = "warn"
     kind: str = "unique"
+    null_safe: bool = False
 
 
 Check = RowCheck | UniqueCheck
@@ -62,8 +64,8 @@ def not_blank(column: str, severity: str = "warn") -> RowCheck:
 
 
 def unique(column: str, keys: Sequence[str] | None = None, severity: str = "warn") -> UniqueCheck:
-    """DQ2."""
-    return UniqueCheck(column, tuple(keys or [column]), severity)
+    """DQ2. `keys` are the columns a surrogate key is made of."""
+    return UniqueCheck(column, tuple(keys or [column]), severity, null_safe=bool(keys))
 
 
 def accepted_values(column: str, values: Sequence[object], severity: str = "warn") -> RowCheck:
@@ -119,10 +121,9 @@ def require_rows(df: DataFrame) -> DataFrame:
 
 
 def _duplicated(df: DataFrame, check: UniqueCheck) -> DataFrame:
-    filled = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in check.keys])
-    return (
-        df.where(filled).groupBy(*check.keys).agg(F.count(F.lit(1)).alias("num_rows")).where(F.col("num_rows") > 1)
-    )
+    if not check.null_safe:
+        df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in check.keys]))
+    return df.groupBy(*check.keys).agg(F.count(F.lit(1)).alias("num_rows")).where(F.col("num_rows") > 1)
 
 
 def failing_rows(df: DataFrame, check: Check) -> DataFrame:

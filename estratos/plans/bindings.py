@@ -211,8 +211,7 @@ def gdp(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None)
 def regional(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
     """Orders by year and nation as three indicators in long form.
 
-    Nations of region 0 lack the year 2001, so the latest year differs between countries; the third
-    indicator, the nation's share of the year, exists for nations of regions 0 and 1 only.
+    The third indicator, the nation's share of the year, exists for nations of regions 0 and 1 only.
     """
     grouped = (
         orders_by_nation(spark, sf_dir, years)
@@ -220,9 +219,7 @@ def regional(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = N
         .agg(F.count(F.lit(1)).alias("orders"), F.sum(_cents("o_totalprice")).alias("cents"))
     )
     year_cents = F.sum("cents").over(Window.partitionBy("year")).cast("double")
-    wide = grouped.withColumn("share", F.col("cents").cast("double") * 100 / year_cents).where(
-        ~((F.col("year") == 2001) & (F.col("n_regionkey") == 0))
-    )
+    wide = grouped.withColumn("share", F.col("cents").cast("double") * 100 / year_cents)
 
     def entry(code: str, value: Column) -> Column:
         return F.struct(
@@ -259,21 +256,28 @@ def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def indicator_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Service answers as text, one per country and indicator: `[metadata, [records]]`.
 
-    Countries whose code ends in 5 answer `[{}, null]`; the year 1997 has a null value. A group holds one
-    record per year, so its list is short.
+    The service's ids have two letters and its names of indicators are long, so both differ from what was asked for
+    (`country_code`, `indicator_code`). Besides the real records each answer has one of the year 1900 without a value,
+    and each country an answer `[{}, null]` to an indicator that is not in the catalogue. A group holds one record per
+    year, so its list is short.
     """
-    record = F.struct(
-        F.struct(F.col("indicator_code").alias("id"), F.col("indicator_name").alias("value")).alias("indicator"),
-        F.struct(F.col("country_code").alias("id"), F.col("country_name").alias("value")).alias("country"),
-        F.col("year").cast("string").alias("date"),
-        F.when(F.col("year") != 1997, F.col("value")).alias("value"),
-    )
+    long_name = F.concat(F.lit("International tourism, "), F.col("indicator_name"))
+
+    def record(year: Column, value: Column) -> Column:
+        return F.struct(
+            F.struct(F.lower("indicator_code").alias("id"), long_name.alias("value")).alias("indicator"),
+            F.struct(F.substring("country_code", 2, 2).alias("id"), F.col("country_name").alias("value")).alias("country"),
+            year.cast("string").alias("date"),
+            value.alias("value"),
+        )
+
     grouped = regional(spark, sf_dir).groupBy("country_code", "indicator_code").agg(
-        F.to_json(F.collect_list(record), {"ignoreNullFields": "false"}).alias("records")
+        F.collect_list(record(F.col("year"), F.col("value"))).alias("given"),
+        F.first(record(F.lit(1900), F.lit(None).cast("double"))).alias("gap"),
     )
-    answer = F.concat(F.lit('[{"page":1,"pages":1},'), F.col("records"), F.lit("]"))
-    return grouped.select(
-        "country_code",
-        "indicator_code",
-        F.when(F.col("country_code").endswith("5"), F.lit("[{}, null]")).otherwise(answer).alias("payload"),
+    records = F.to_json(F.array_append("given", F.col("gap")), {"ignoreNullFields": "false"})
+    answers = grouped.select(
+        "country_code", "indicator_code", F.concat(F.lit('[{"page":1,"pages":1},'), records, F.lit("]")).alias("payload")
     )
+    nothing = grouped.select("country_code", F.lit("XX.NONE").alias("indicator_code"), F.lit("[{}, null]").alias("payload"))
+    return answers.unionAll(nothing.distinct())

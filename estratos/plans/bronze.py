@@ -7,20 +7,25 @@ and a fallback frame to use instead.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from estratos import fixed_values as fixed
-from estratos.operators import conform, windows
+from estratos.operators import aggregates, conform, windows
 from estratos.operators.filters import valid_rows
 from estratos.schemas import BRONZE
 from estratos.sources import readers, sinks
 
+log = logging.getLogger(__name__)
+
 ARRIVALS_PATTERNS = ("*arrivals*.csv", "*llegadas*.csv")
 OCCUPANCY_PATTERNS = ("*ocupacion*.csv", "*occupancy*.csv")
 
@@ -122,7 +127,12 @@ def balance_csv(
 
 @dataclass
 class LoadReport:
-    """IO21. Outcome of one load."""
+    """IO21. Outcome of one load.
+
+    `rows_broken` are lines that are only part of a row (a line break in a quoted cell, read without `multiline`),
+    `dates_unreadable` date texts in no known format; both are counted in the pass that writes. `distinct` holds
+    numbers of distinct keys, `latest` the last row by year, `preview` the first rows as they were written.
+    """
 
     table: str
     path: str
@@ -133,6 +143,11 @@ class LoadReport:
     year_max: int | None
     headers: conform.HeaderReport = field(default_factory=conform.HeaderReport)
     rows_dropped: int = 0
+    rows_broken: int = 0
+    dates_unreadable: int = 0
+    distinct: dict[str, int] = field(default_factory=dict)
+    latest: dict[str, object] | None = None
+    preview: list[dict[str, object]] = field(default_factory=list)
 
 
 LANDED = "landed"
@@ -150,7 +165,33 @@ MIN_YEARS = {
 FILTERED = {"arrivals": arrivals_csv, "occupancy": occupancy_csv, "air": air_csv, "balance": balance_csv}
 
 
-def _report(table: str, path: str, source: str, rows: DataFrame, metrics: Mapping[str, object], **more) -> LoadReport:
+# The keys of which a load reports the number of distinct values.
+KEYS = {
+    "arrivals": ("country_of_origin", "destination_department"), "occupancy": ("department",),
+    "migration": ("nationality", "control_point"), "air": ("airport",), "gdp": (), "balance": (),
+    "indicators": ("indicator_code",), "regional": ("country_code", "indicator_code"),
+}
+PREVIEW_ROWS = 5
+
+
+def _seen(spark: SparkSession, table: str, path: str) -> dict[str, object]:
+    """Distinct keys, last row and first rows of a written table: narrow passes over its files."""
+    rows = readers.read_table(spark, path, BRONZE[table])
+    keys = {f"{name}_count": name for name in KEYS[table]}
+    counted = aggregates.load_metrics(rows, distinct=keys).first().asDict() if keys else {}
+    order = ["year", *[name for name in ("month", "quarter", "value") if name in rows.columns]]
+    last = windows.last_by(rows, *order, *[name for name in rows.columns if name not in order]).first()
+    return {
+        "distinct": {name: counted[name] for name in keys},
+        "latest": None if last is None else last.asDict(),
+        "preview": [row.asDict() for row in rows.take(PREVIEW_ROWS)],
+    }
+
+
+def _report(
+    spark: SparkSession, table: str, path: str, source: str, rows: DataFrame, metrics: Mapping[str, object], **more
+) -> LoadReport:
+    more = _seen(spark, table, path) | more
     return LoadReport(
         table=table,
         path=path,
@@ -173,46 +214,64 @@ def load(
     on: date | None = None,
     encoding: str = "UTF-8",
     min_year: int | None = None,
+    multiline: bool = False,
 ) -> LoadReport:
     """IO1, IO3, IO4, IO16, IO6, IO21. Load one landed CSV dataset into bronze.
 
     `landed` is a path of files with one header, or a list of name patterns for files with several. Arrivals
     and occupancy found by pattern are kept as landed (B1, B2), those at a path are conformed (B4, B5). The
-    landed files are archived before they are parsed. The fallback is used when nothing has landed, the
-    files cannot be read, or no valid row is left.
+    landed files are archived before they are parsed; a failure to archive is raised. The fallback is used when
+    nothing has landed, the files cannot be read, or no valid row is left. Cells with line breaks need `multiline`;
+    without it the lines of such rows are left out and counted.
     """
     headers = conform.HeaderReport()
     raw: DataFrame | None = None
     filtered = table in FILTERED and not (table in ABSENT and landed is not None and not isinstance(landed, str))
 
-    def conformed(read: Observation | None = None) -> DataFrame:
+    def conformed(broken: Observation | None = None, read: Observation | None = None) -> DataFrame:
+        whole = raw
+        if not multiline:
+            if broken is not None:
+                whole = whole.observe(broken, F.count_if(readers.BROKEN).alias("rows_broken"))
+            whole = whole.where(~F.col(readers.BROKEN)).drop(readers.BROKEN)
         if not filtered:
-            return as_landed(table, raw)
-        return FILTERED[table](raw, MIN_YEARS[table] if min_year is None else min_year, read)
+            return as_landed(table, whole)
+        return FILTERED[table](whole, MIN_YEARS[table] if min_year is None else min_year, read)
 
     def primary() -> DataFrame | None:
         nonlocal headers, raw
-        files = landed if isinstance(landed, str) else readers.list_files(spark, landed)
-        if isinstance(landed, str):
-            raw = readers.read_csv(spark, landed, encoding)
-        else:
-            raw = readers.read_csv_by_name(spark, landed, encoding)
+        read = readers.read_csv if isinstance(landed, str) else readers.read_csv_by_name
+        raw = read(spark, landed, encoding, multiline, flag_broken=not multiline)
         if raw is None:
             return None
-        headers = conform.header_report(raw.columns, HEADERS[table], BRONZE[table].names)
-        if archive is not None:
-            sinks.archive_lines(spark, files, archive, table, on or date.today())
+        columns = [name for name in raw.columns if name != readers.BROKEN]
+        headers = conform.header_report(columns, HEADERS[table], BRONZE[table].names)
         return conformed()
 
+    if landed and archive is not None:
+        files = readers.list_files(spark, [landed] if isinstance(landed, str) else landed)
+        if files:
+            sinks.archive_lines(spark, landed if isinstance(landed, str) else files, archive, table, on or date.today())
     rows, source = readers.choose_source(primary if landed else None, lambda: fallback, LANDED)
-    read = None
-    if source == LANDED and filtered:
-        # The rows read are counted in the same pass that writes the rows kept.
-        read = Observation(f"read-{uuid.uuid4().hex}")
-        rows = conformed(read)
-    metrics = sinks.write_parquet(rows, path)
-    dropped = int(read.get["rows_read"]) - int(metrics["num_rows"]) if read is not None else 0
-    return _report(table, path, source, rows, metrics, headers=headers, rows_dropped=dropped)
+    broken = read = None
+    if source == LANDED:
+        # What is read, broken or unreadable is counted in the same pass that writes the rows kept.
+        broken = None if multiline else Observation(f"broken-{uuid.uuid4().hex}")
+        read = Observation(f"read-{uuid.uuid4().hex}") if filtered else None
+        rows = conformed(broken, read)
+    try:
+        metrics = sinks.write_parquet(rows, path)
+    except (PySparkException, Py4JJavaError) as error:
+        if source != LANDED or not readers.is_source_error(error):
+            raise
+        log.warning("the landed files of %s failed while they were loaded, using the fallback: %s", table, error)
+        rows, source, broken, read = fallback, "fallback", None, None
+        metrics = sinks.write_parquet(rows, path)
+    counts = {"rows_broken": int(broken.get["rows_broken"])} if broken is not None else {}
+    if read is not None:
+        counts["rows_dropped"] = int(read.get["rows_read"]) - int(metrics["num_rows"])
+        counts["dates_unreadable"] = int(read.get["dates_unreadable"])
+    return _report(spark, table, path, source, rows, metrics, headers=headers, **counts)
 
 
 INDICATOR_TABLES = ("indicators", "regional")
@@ -228,16 +287,17 @@ def load_indicators(
     on: date | None = None,
     min_year: int | None = None,
 ) -> LoadReport:
-    """B3, B6. As `load`, for landed indicator answers."""
+    """B3, B6, IO20. As `load`, for landed indicator answers; the table is written in order of country, code and year."""
 
     def primary() -> DataFrame:
-        if archive is not None:
-            sinks.archive_payloads(spark, landed, archive, table, on or date.today())
         return indicator_files(spark, landed, MIN_YEARS[table] if min_year is None else min_year)
 
+    if landed and archive is not None and readers.list_files(spark, [landed]):
+        sinks.archive_payloads(spark, landed, archive, table, on or date.today())
     rows, source = readers.choose_source(primary if landed else None, lambda: fallback, LANDED)
     rows = rows.select(*BRONZE[table].names)
-    return _report(table, path, source, rows, sinks.write_parquet(rows, path))
+    metrics = sinks.write_sorted(rows, path, ["country_code", "indicator_code", "year"])
+    return _report(spark, table, path, source, rows, metrics)
 
 
 def latest_indicator(rows: DataFrame, code: str = fixed.ARRIVALS_CODE) -> DataFrame:

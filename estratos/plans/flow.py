@@ -28,7 +28,8 @@ class RunConfig:
     `landed` names the landed files of a dataset where there are any: a CSV path, or a list of name patterns
     for drops of differing headers, or a path of JSON answers for the indicator datasets. `fallbacks` holds a
     conformed frame for each dataset. `departments` is the seed CSV or a frame. The year limits, by dataset,
-    replace the defaults of the bronze loads and of the cleaned tables. With `database` the gold tables are
+    replace the defaults of the bronze loads and of the cleaned tables. `encoding` names the encoding of the landed
+    files of a dataset where it is not UTF-8, `multiline` the datasets whose cells may hold line breaks. With `database` the gold tables are
     also made known to the catalogue there, as in `gold.fct_tourism_arrivals`.
     """
 
@@ -40,6 +41,8 @@ class RunConfig:
     on: date | None = None
     calendar_start: str = fixed.CALENDAR_START
     calendar_end: str = fixed.CALENDAR_END
+    encoding: Mapping[str, str] = field(default_factory=dict)
+    multiline: Sequence[str] = ()
     bronze_min_years: Mapping[str, int] = field(default_factory=dict)
     min_years: Mapping[str, int] = field(default_factory=dict)
     threads: int = 4
@@ -65,11 +68,12 @@ def load_bronze(spark: SparkSession, config: RunConfig) -> list[bronze.LoadRepor
     """All bronze loads, a few at a time."""
 
     def one(table: str) -> bronze.LoadReport:
-        loader = bronze.load_indicators if table in bronze.INDICATOR_TABLES else bronze.load
-        return loader(
-            spark, table, config.landed.get(table), config.fallbacks[table], bronze_path(config, table),
-            archive=f"{config.root}/archive", on=config.on,
-            min_year=config.bronze_min_years.get(table),
+        common = {"archive": f"{config.root}/archive", "on": config.on, "min_year": config.bronze_min_years.get(table)}
+        source = spark, table, config.landed.get(table), config.fallbacks[table], bronze_path(config, table)
+        if table in bronze.INDICATOR_TABLES:
+            return bronze.load_indicators(*source, **common)
+        return bronze.load(
+            *source, **common, encoding=config.encoding.get(table, "UTF-8"), multiline=table in config.multiline
         )
 
     with ThreadPoolExecutor(config.threads) as pool:

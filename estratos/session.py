@@ -26,20 +26,20 @@ DEFAULTS = {
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
-# Shuffle partitions are planned for this much input each, up to a number a driver can still manage.
+# Shuffle partitions are planned for this much input each.
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 50_000
 
 
-def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+def sized_for(input_bytes: int, cores: int, max_partitions: int = 400_000) -> dict[str, str]:
     """Settings for an input of a given size on a cluster with a given number of cores.
 
     The number of shuffle partitions is where AQE starts; it merges small ones afterwards, so planning for
-    the largest table costs little on the small ones. 100 TB give 50 000 partitions of about 2 GB, which
-    spill in sorts but fit an executor's disk; a partition far above the others is split by the skew rules.
+    the largest table costs little on the small ones. `max_partitions` is what the driver can manage; it bounds
+    parallelism and drops nothing. 100 TB give some 373 000 partitions of 256 MB; a driver that can only manage
+    50 000 gets partitions of 2 GB, which spill. A partition far above the others is split by the skew rules.
     """
     wanted = math.ceil(input_bytes / PARTITION_BYTES)
-    partitions = min(max(wanted, 2 * cores), MAX_PARTITIONS)
+    partitions = min(max(wanted, 2 * cores), max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),

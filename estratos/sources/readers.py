@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estratos.fixed_values import NULL_TOKENS
-from estratos.operators.quality import require_columns
+from estratos.operators.conform import with_country_name, with_indicator_name
+from estratos.operators.quality import MissingColumns, require_columns
 from estratos.operators.sets import concat_by_name
 from estratos.schemas import DEPARTMENT_SEED, INDICATOR_RECORDS
 
@@ -35,23 +37,54 @@ def csv_options(encoding: str = "UTF-8", multiline: bool = False) -> dict[str, s
     }
 
 
-def null_tokens_to_null(df: DataFrame) -> DataFrame:
-    """Cells holding one of the usual words for 'missing' become null."""
+def null_tokens_to_null(df: DataFrame, but: Sequence[str] = ()) -> DataFrame:
+    """Cells holding one of the usual words for 'missing' become null, in all columns but the named ones."""
 
     def cleaned(name: str) -> Column:
         c = F.col("`" + name.replace("`", "``") + "`")
         return F.when(~c.isin(NULL_TOKENS), c).alias(name)
 
-    return df.select(*[cleaned(name) for name in df.columns])
+    return df.select(*[F.col(name) if name in but else cleaned(name) for name in df.columns])
+
+
+#: Column of `read_csv` and `read_csv_by_name` that is true for a line that is only part of a row.
+BROKEN = "_broken_row"
+
+
+def _rows(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], options: dict[str, str], flag: bool) -> DataFrame:
+    """All columns as text. A line is part of a row if it lacks cells and holds a quote that is not closed.
+
+    Where the last cell of a row is the broken one, its first line lacks nothing; it stays, with the cell cut off, and
+    the lines after it are flagged.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    if not flag:
+        return null_tokens_to_null(spark.read.schema(schema).options(**options).csv(paths))
+    raw = spark.read.schema(schema.add("_line", T.StringType())).options(**options)
+    raw = raw.option("columnNameOfCorruptRecord", "_line").csv(paths)
+    quotes = F.length("_line") - F.length(F.translate("_line", '"', ""))
+    broken = F.coalesce(quotes % 2 == 1, F.lit(False))
+    # Spark only sees that cells are lacking when it has to read them all, so the flag depends on every column.
+    cells = F.length(F.concat_ws("", *["`" + c.replace("`", "``") + "`" for c in columns]))
+    flagged = raw.withColumn(BROKEN, broken & (cells >= 0))
+    return null_tokens_to_null(flagged.drop("_line"), [BROKEN])
 
 
 def read_csv(
-    spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8", multiline: bool = False
+    spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8", multiline: bool = False,
+    flag_broken: bool = False,
 ) -> DataFrame:
-    """IO2, IO3, IO19. CSV files that share one header, every column text."""
+    """IO2, IO3, IO19. CSV files that share one header, every column text.
+
+    A cell with a line break is read whole with `multiline` only. Without it each of its lines is a row of its own;
+    `flag_broken` adds the column `BROKEN`, which tells them.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.options(**csv_options(encoding, multiline)).csv(paths)
-    return null_tokens_to_null(raw)
+    options = csv_options(encoding, multiline)
+    raw = spark.read.options(**options).csv(paths)
+    if not flag_broken:
+        return null_tokens_to_null(raw)
+    return _rows(spark, paths, raw.columns, options, True)
 
 
 def list_files(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
@@ -71,37 +104,38 @@ def list_files(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
     return list(found)
 
 
+def files_by_header(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> dict[str, list[str]]:
+    """IO1. The files of each header line, found in one job however many files there are; empty files are left out."""
+    lines = spark.read.option("lineSep", "\n").text(list(files)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), F.col("value").cast("binary").alias("value"),
+    )
+    first = lines.where("block = 0").groupBy("path").agg(F.min_by("value", "line").alias("value"))
+    first = first.select("path", F.rtrim(F.decode("value", encoding), F.lit("\r")).alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in first.orderBy("path").toLocalIterator():
+        groups.setdefault(row["header"], []).append(unquote(row["path"]))
+    return groups
+
+
 def read_csv_by_name(
     spark: SparkSession, patterns: Sequence[str], encoding: str = "UTF-8", multiline: bool = False,
-    probes: int = 16,
+    flag_broken: bool = False,
 ) -> DataFrame | None:
     """IO1. All CSV files matching any pattern, concatenated by column name; None if there is no file.
 
-    Spark reads the columns of several files by position, so files are read in groups of equal header. The
-    headers are probed file by file, several at a time; only first lines are read for that.
+    Spark reads the columns of several files by position, so files are read in groups of equal header. One job finds
+    the header lines; each different one is then looked at once.
     """
     files = list_files(spark, patterns)
     if not files:
         return None
     options = csv_options(encoding, multiline)
-
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.options(**options).csv(path).columns)
-
-    with ThreadPoolExecutor(probes) as pool:
-        headers = list(pool.map(header, files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, columns in zip(files, headers):
-        groups.setdefault(columns, []).append(path)
-    frames = [
-        null_tokens_to_null(
-            spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-            .options(**options)
-            .csv(paths)
-        )
-        for columns, paths in groups.items()
-        if columns
-    ]
+    frames = []
+    for paths in files_by_header(spark, files, encoding).values():
+        columns = spark.read.options(**options).csv(paths[0]).columns
+        if columns:
+            frames.append(_rows(spark, paths, columns, options, flag_broken))
     return concat_by_name(frames) if frames else None
 
 
@@ -111,36 +145,90 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType = DEPARTMENT_SEED) -> DataFrame:
-    """IO11. A catalogue in CSV; codes stay text, so '05' keeps its zero."""
-    return spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").csv(path)
+    """IO11. A catalogue in CSV, its columns found by header; codes stay text, so '05' keeps its zero."""
+    raw = spark.read.options(**csv_options()).csv(path)
+    return require_columns(raw, schema.names).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def parse_indicator_payloads(
     df: DataFrame, payload: str = "payload", source: str = "world_bank", code: str | None = None,
     country_code: str | None = None,
 ) -> DataFrame:
-    """IO5. Rows of the records in service answers `[metadata, [record, ...]]`.
+    """IO5, PF22. Rows of the records in service answers `[metadata, [record, ...]]`.
 
-    Answers of another shape and records without a value yield no rows. `code` and `country_code` name
-    columns of `df` that say what was asked for; without them the record's own ids are used.
+    Answers of another shape and records without a value yield no rows. `code` and `country_code` name columns of
+    `df` that say what was asked for; a service answers with ids and names of its own, so the asked codes are kept and
+    the names come from the catalogue. Where a code was not asked for (or the column is null) or is not in the
+    catalogue, the record's own id or name is used.
     """
     records = F.from_json(F.get_json_object(F.col(payload), "$[1]"), INDICATOR_RECORDS)
     rows = df.withColumn("_record", F.explode(records)).where(F.col("_record.value").isNotNull())
-    return rows.select(
+
+    def asked(column: str | None, own: str) -> Column:
+        return F.col(own) if column is None else F.coalesce(F.col(column), F.col(own))
+
+    rows = rows.select(
         F.col("_record.date").try_cast("int").alias("year"),
-        F.col(code or "_record.indicator.id").alias("indicator_code"),
-        F.col("_record.indicator.value").alias("indicator_name"),
+        asked(code, "_record.indicator.id").alias("indicator_code"),
+        F.col("_record.indicator.value").alias("_indicator"),
         F.col("_record.value").alias("value"),
-        F.col(country_code or "_record.country.id").alias("country_code"),
-        F.col("_record.country.value").alias("country_name"),
+        asked(country_code, "_record.country.id").alias("country_code"),
+        F.col("_record.country.value").alias("_country"),
         F.lit(source).alias("source"),
     )
+    named = with_country_name(with_indicator_name(rows, alias="_known"), alias="_home")
+    return named.select(
+        "year", "indicator_code", F.coalesce("_known", "_indicator").alias("indicator_name"), "value",
+        "country_code", F.coalesce("_home", "_country").alias("country_name"), "source",
+    )
+
+
+#: Where the path of a landed answer says what was asked for: folders `country_code=COL/indicator_code=ST.INT.ARVL/`,
+#: or a name such as `COL_ST.INT.ARVL.json`.
+COUNTRY_IN_PATH = ("country_code=([^/]+)/", "(?:^|/)([A-Z]{3})_[A-Z][A-Z0-9.]*[.][a-z]+$")
+CODE_IN_PATH = ("indicator_code=([^/]+)/", "(?:^|/)[A-Z]{3}_([A-Z][A-Z0-9.]*)[.][a-z]+$")
 
 
 def read_indicator_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """IO5. Landed answers, one per file: each is a single page of the service, so a row holds a whole file."""
+    """IO5. Landed answers, one per file: each is a single page of the service, so a row holds a whole file.
+
+    What was asked for is taken from the path of the file, as `COUNTRY_IN_PATH` and `CODE_IN_PATH` find it.
+    """
     text = spark.read.text([paths] if isinstance(paths, str) else list(paths), wholetext=True)
-    return parse_indicator_payloads(text.withColumnRenamed("value", "payload"))
+
+    def found(patterns: Sequence[str]) -> Column:
+        return F.coalesce(*[F.nullif(F.regexp_extract("_metadata.file_path", p, 1), F.lit("")) for p in patterns])
+
+    answers = text.select(
+        F.col("value").alias("payload"), found(CODE_IN_PATH).alias("_code"), found(COUNTRY_IN_PATH).alias("_from")
+    )
+    return parse_indicator_payloads(answers, code="_code", country_code="_from")
+
+
+#: Error conditions that say that a source is not there or cannot be read as what it should be.
+SOURCE_ERRORS = (
+    "PATH_NOT_FOUND", "FAILED_READ_FILE", "UNABLE_TO_INFER_SCHEMA", "MALFORMED_CSV_RECORD", "MALFORMED_RECORD_IN_PARSING",
+    "UNSUPPORTED_DATASOURCE_FOR_DIRECT_QUERY",
+)
+
+
+def is_source_error(error: Exception) -> bool:
+    """True if a source is missing or unreadable; false for a lost executor, a fault in a plan, or anything else."""
+    if isinstance(error, MissingColumns):
+        return True
+    if isinstance(error, PySparkException) and (error.getCondition() or "").startswith(SOURCE_ERRORS):
+        return True
+    cause, seen = getattr(error, "java_exception", None) or getattr(error, "_origin", None), 0
+    while cause is not None and seen < 20:
+        condition = cause.getCondition() if hasattr(cause, "getCondition") and _has(cause, "getCondition") else None
+        if condition and condition.startswith(SOURCE_ERRORS):
+            return True
+        cause, seen = cause.getCause(), seen + 1
+    return False
+
+
+def _has(java_object, method: str) -> bool:
+    return any(m.getName() == method for m in java_object.getClass().getMethods())
 
 
 def choose_source(
@@ -151,14 +239,18 @@ def choose_source(
 ) -> tuple[DataFrame, str]:
     """IO16. The primary source, or the fallback when it is not configured, cannot be read, or is empty.
 
-    Reads at most one row to decide.
+    Reads at most one row to decide. Only errors of the source itself lead to the fallback (`is_source_error`); a lost
+    executor or a fault in a plan is raised, so that it never replaces real data.
     """
     if primary is not None:
         try:
             df = primary()
-            if df is not None and not df.isEmpty():
+            # A whole row is read, and not just counted: only then does a file that cannot be read show itself.
+            if df is not None and df.take(1):
                 return df, primary_name
-        except PySparkException as error:
+        except (PySparkException, Py4JJavaError, MissingColumns) as error:
+            if not is_source_error(error):
+                raise
             log.warning("source %s failed, using %s: %s", primary_name, fallback_name, error)
     return fallback(), fallback_name
 

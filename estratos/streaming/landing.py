@@ -1,17 +1,20 @@
-"""New-file loads (ST1): every file that lands in a folder is read once.
+"""New-file loads (ST1): every file that lands in a folder is read once, and conformed as a batch load would.
 
-The file source keeps the names it has seen in the checkpoint and the Parquet sink keeps a log of finished
-batches, so a run that is repeated, or that lost executors half-way, neither skips nor repeats a file. All
-transformations are row by row, so there is no state besides the list of files.
+The file source keeps the names it has seen in the checkpoint. The new files of a run are one static frame, so that
+decisions about whole columns ("the date is never filled") are made over all of them, and the result replaces the
+folder of the run's number under the sink: a run that is repeated, or that lost executors half-way, neither skips nor
+repeats a row.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,69 +22,73 @@ from estratos.sources.readers import csv_options, null_tokens_to_null
 
 log = logging.getLogger(__name__)
 
-_REMEMBERED = "spark.sql.streaming.numRecentProgressUpdates"
-_BATCHES_PER_RUN = 100_000
+RUN = "run"
 
 
 def landed_rows(
-    spark: SparkSession, folder: str, columns: Sequence[str], encoding: str = "UTF-8",
-    max_files_per_batch: int = 10_000, glob: str = "*.csv",
+    spark: SparkSession, folder: str, columns: Sequence[str], encoding: str = "UTF-8", multiline: bool = False,
+    glob: str = "*.csv",
 ) -> DataFrame:
     """ST1, IO3. The stream of rows of CSV files in a folder, every column text.
 
     All files of the folder have the header `columns`; a file with another header fails the run instead of
-    having its values put under wrong names. A long backlog is loaded in batches of `max_files_per_batch`
-    files within one run, so that a failure repeats one batch at most.
+    having its values put under wrong names.
     """
     reader = (
         spark.readStream.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-        .options(**csv_options(encoding))
+        .options(**csv_options(encoding, multiline))
         .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", max_files_per_batch)
     )
     return null_tokens_to_null(reader.csv(folder))
 
 
 def ingest(
     rows: DataFrame, transform: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str,
-    partition_by: Sequence[str] = (), every: str | None = None,
+    partition_by: Sequence[str] = (), every: str | None = None, count: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """ST1. Append the transformed rows of a stream to Parquet.
+    """ST1. Write the transformed rows of each run to Parquet under `sink`, in a folder of the run's own.
 
-    Without `every` all files present are loaded and the query ends; with it (such as '60 seconds') the
-    query goes on and looks for new files at that interval.
+    Without `every` all files present are one run and the query ends; with it (such as '60 seconds') the query goes
+    on, and what is new at each interval is a run. `count` is told the input rows of each run.
     """
-    writer = transform(rows).writeStream.format("parquet").outputMode("append")
-    writer = writer.option("path", sink).option("checkpointLocation", checkpoint)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+
+    def write(batch: DataFrame, run: int) -> None:
+        observation = Observation(f"run-{uuid.uuid4().hex}")
+        # Written before it is conformed, so that the files are read once however often the columns are looked at.
+        staged = f"{checkpoint}/staged"
+        batch.observe(observation, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(staged)
+        session = batch.sparkSession
+        out = transform(session.read.schema(batch.schema).parquet(staged)).write.mode("overwrite")
+        if partition_by:
+            out = out.partitionBy(*partition_by)
+        out.parquet(f"{sink}/{RUN}={run}")
+        if count is not None:
+            count(int(observation.get["rows"]))
+
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/log")
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def loaded_rows(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
+    """ST1. What all runs have written."""
+    return spark.read.schema(schema).parquet(sink).select(*schema.names)
+
+
 def load_new_files(
     spark: SparkSession, folder: str, columns: Sequence[str], transform: Callable[[DataFrame], DataFrame],
-    sink: str, checkpoint: str, partition_by: Sequence[str] = (), encoding: str = "UTF-8",
-    max_files_per_batch: int = 10_000,
+    sink: str, checkpoint: str, partition_by: Sequence[str] = (), encoding: str = "UTF-8", multiline: bool = False,
 ) -> int:
     """ST1. Load what has landed since the last run and return the number of input rows.
 
-    A folder that cannot be listed is logged and counts as nothing new. The row count is added up from the
-    progress of the run's batches, so the session is told to remember enough of them meanwhile.
+    A folder that cannot be listed is logged and counts as nothing new.
     """
-    remembered = spark.conf.get(_REMEMBERED)
-    spark.conf.set(_REMEMBERED, str(max(int(remembered), _BATCHES_PER_RUN)))
+    counted: list[int] = []
     try:
-        query = ingest(
-            landed_rows(spark, folder, columns, encoding, max_files_per_batch), transform, sink, checkpoint,
-            partition_by,
-        )
-        query.awaitTermination()
-        return sum(progress.numInputRows for progress in query.recentProgress)
+        rows = landed_rows(spark, folder, columns, encoding, multiline)
+        ingest(rows, transform, sink, checkpoint, partition_by, count=counted.append).awaitTermination()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("cannot list %s: %s", folder, error)
-        return 0
-    finally:
-        spark.conf.set(_REMEMBERED, remembered)
+    return sum(counted)

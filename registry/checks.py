@@ -18,14 +18,18 @@ def _count(kind: str, column: str, table: str, fails: str) -> str:
     )
 
 
-def _repeated(column: str, keys: str, table: str) -> str:
-    filled = " and ".join(f"{k.strip()} is not null" for k in keys.split(","))
+def _repeated(column: str, key: str, table: str) -> str:
+    """Repeated values of the key column itself."""
     return (
         f"""select 'unique' as "check", '{column}' as "column", 'warn' as severity, count(*) as n_failed """
-        f"from (select {keys} from {table} where {filled} group by {keys} having count(*) > 1) as d"
+        f"from (select k from (select {key} as k from {table}) as s where k is not null group by k having count(*) > 1) as d"
     )
 
 
+def _surrogate(*parts: str) -> str:
+    return "md5(" + " || '-' || ".join(f"coalesce(cast({part} as varchar), '_null_')" for part in parts) + ")"
+
+
 # Line items with one column nulled where the flag is N, as the checked table.
 _ITEMS = "(select *, nullif(l_returnflag, 'N') as flag, l_extendedprice - 50000 as margin from lineitem) as items"
 
@@ -105,12 +109,13 @@ def _check_occupancy_agrees(spark, sf):
         _count("between", "l_tax", _ITEMS, "l_tax > 0.05"),
         _count("positive_values", "margin", _ITEMS, "margin < 0"),
         _count("not_above_l_tax", "l_discount", _ITEMS, "l_discount > l_tax"),
-        _repeated("line_id", "l_orderkey, l_linenumber", "lineitem"),
+        _repeated("line_id", _surrogate("l_orderkey", "l_linenumber"), "lineitem"),
+        _repeated("flag_id", _surrogate("l_partkey", "flag"), _ITEMS),
         _repeated("flag", "flag", _ITEMS),
     ]),
 )
 def _item_quality_report(spark, sf):
-    """Seven row checks in one pass and two uniqueness checks."""
+    """Seven row checks in one pass and three uniqueness checks, one on a key with null parts."""
     items = q.require_columns(_items(spark, sf), ["l_orderkey", "flag", "margin"])
     return q.report(
         items,
@@ -123,6 +128,7 @@ def _item_quality_report(spark, sf):
             q.not_negative("margin"),
             q.not_above("l_discount", "l_tax"),
             q.unique("line_id", ["l_orderkey", "l_linenumber"]),
+            q.unique("flag_id", ["l_partkey", "flag"]),
             q.unique("flag"),
         ],
     )
@@ -135,7 +141,7 @@ def _item_quality_report(spark, sf):
         + "\nunion all ".join([
             "select 'fct_hotel_occupancy' as \"table\", * from ("
             + "\nunion all ".join([
-                _repeated("occupancy_id", "year, month, department", "fct_hotel_occupancy"),
+                _repeated("occupancy_id", "occupancy_id", "fct_hotel_occupancy"),
                 _count("not_null", "occupancy_id", "fct_hotel_occupancy", "occupancy_id is null"),
                 _count("between", "occupancy_rate", "fct_hotel_occupancy",
                        "occupancy_rate < 0 or occupancy_rate > 100"),
@@ -144,7 +150,7 @@ def _item_quality_report(spark, sf):
             ]) + ") as a",
             "select 'fct_tourism_balance' as \"table\", * from ("
             + "\nunion all ".join([
-                _repeated("balance_id", "year, quarter", "fct_tourism_balance"),
+                _repeated("balance_id", "balance_id", "fct_tourism_balance"),
                 _count("not_null", "balance_id", "fct_tourism_balance", "balance_id is null"),
                 _count("not_null", "year", "fct_tourism_balance", "year is null"),
                 _count("not_null", "quarter", "fct_tourism_balance", "quarter is null"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from estratos.functions import lenient_double, lenient_int, title_case
 from estratos.operators import conform
+from estratos.operators.quality import require_rows
 from estratos.plans import bindings, bronze, gold, reports
 from estratos.schemas import BRONZE
 from estratos.session import scratch_path
@@ -118,10 +119,9 @@ def _occupied_rooms_derived(spark, sf):
 
 # --- B3, B6: indicator answers ----------------------------------------------------------------------
 
-_ANSWERED = "where not ends_with(country_code, '5') and year <> 1997"
 _INDICATORS = (
     "select year, indicator_code, indicator_name, value, country_code, country_name, 'world_bank' as source "
-    f"from regional {_ANSWERED}"
+    "from regional"
 )
 
 
@@ -130,8 +130,9 @@ _INDICATORS = (
     sql(_INDICATORS, "regional"),
 )
 def _indicator_payloads(spark, sf):
-    """Parsing alone: answers with a null value in one year, and `[{}, null]` for some countries."""
-    return readers.parse_indicator_payloads(bindings.indicator_payloads(spark, sf))
+    """Parsing alone: answers with the service's own ids and names, a record without value, and `[{}, null]`."""
+    answers = bindings.indicator_payloads(spark, sf)
+    return readers.parse_indicator_payloads(answers, code="indicator_code", country_code="country_code")
 
 
 def _answer_files(spark, sf):
@@ -150,7 +151,7 @@ def _bronze_indicators(spark, sf):
     return bronze.indicator_files(spark, _answer_files(spark, sf), min_year=1995)
 
 
-@register("bronze_regional", "B6 IO5 PF12", sql(_INDICATORS + " and year >= 1996", "regional"))
+@register("bronze_regional", "B6 IO5 PF12", sql(_INDICATORS + " where year >= 1996", "regional"))
 def _bronze_regional(spark, sf):
     return bronze.indicator_files(spark, _answer_files(spark, sf), min_year=1996)
 
@@ -406,15 +407,23 @@ def _lenient_numbers(spark, sf):
     """select 'filled' as landing, 'landed' as source_used, count(*) as num_rows from orders
        union all select 'empty', 'fallback', count(*) from orders
        union all select 'missing', 'fallback', count(*) from orders
+       union all select 'unreadable', 'fallback', count(*) from orders
+       union all select 'two headers', 'fallback', count(*) from orders
        union all select 'unset', 'fallback', count(*) from orders""",
 )
 def _source_choice(spark, sf):
     orders = bindings.table(spark, sf, "orders")
-    missing = scratch_path(spark, "nothing-here")
+    missing, mixed, broken = (scratch_path(spark, name) for name in ("nothing-here", "mixed", "broken"))
+    land(orders.select("o_orderkey", "o_orderpriority").where("o_orderkey % 2 = 0"), f"{mixed}/a")
+    land(orders.select("o_orderpriority", "o_orderkey").where("o_orderkey % 2 = 1"), f"{mixed}/b")
+    orders.select(_text("o_orderkey")).write.text(broken)
+    schema = "o_orderkey string, o_orderpriority string"
     cases = {
         "filled": lambda: orders,
         "empty": lambda: orders.where(F.col("o_totalprice") < 0),
         "missing": lambda: readers.read_csv(spark, missing),
+        "unreadable": lambda: spark.read.schema(schema).option("pathGlobFilter", "*.txt").parquet(broken),
+        "two headers": lambda: spark.read.schema(schema).options(**readers.csv_options()).csv(f"{mixed}/b"),
         "unset": None,
     }
     parts = []
@@ -465,13 +474,13 @@ def _archived_lines(spark, sf):
 @register(
     "archived_payloads", "IO4 IO5",
     sql(
-        """select country_code, indicator_code, count(*) as num_rows from regional
-           where not ends_with(country_code, '5') and year <> 1997 group by 1, 2""",
+        """select country_code[2:] as country_code, lower(indicator_code) as indicator_code, count(*) as num_rows
+           from regional group by 1, 2""",
         "regional",
     ),
 )
 def _archived_payloads(spark, sf):
-    """The dated copy of answer files keeps their bytes: parsing the copy gives the records."""
+    """The dated copy of answer files keeps their bytes: parsing the copy gives the records, with their own ids."""
     archive = scratch_path(spark, "archive")
     sinks.archive_payloads(spark, _answer_files(spark, sf), archive, "answers", date(2024, 5, 1))
     kept = spark.read.schema("path string, length bigint, content binary").parquet(
@@ -529,7 +538,9 @@ def _table_and_export(spark, sf):
     sql("select * from departments", "departments"),
 )
 def _seed_departments(spark, sf):
-    seed = readers.read_seed(spark, landed(spark, bindings.departments(spark, sf), "seed"))
+    """The seed has its columns in another order, and one more."""
+    mixed = bindings.departments(spark, sf).select("region", F.lit("x").alias("nota"), "department", "dane_code", "capital")
+    seed = readers.read_seed(spark, landed(spark, mixed, "seed"))
     return gold.dim_departments(seed, None)
 
 
@@ -619,7 +630,7 @@ def _new_files_stream(spark, sf):
     third = load()
     runs = {"first_run": first, "second_run": second, "third_run": third}
     schema = "event_id bigint, event_date date, event_type string, value double, k int"
-    out = spark.read.schema(schema).parquet(f"{root}/sink")
+    out = spark.read.schema(schema).parquet(f"{root}/sink").drop(landing.RUN)
     return out.withColumns({name: F.lit(n).cast("bigint") for name, n in runs.items()})
 
 
@@ -643,7 +654,146 @@ def _new_arrivals_stream(spark, sf):
         spark, f"{root}/landing", raw.columns, lambda rows: bronze.arrivals_csv(rows, min_year=1990),
         f"{root}/sink", f"{root}/checkpoint", partition_by=["year"],
     )
-    out = spark.read.schema(BRONZE["arrivals"]).parquet(f"{root}/sink")
+    out = landing.loaded_rows(spark, f"{root}/sink", BRONZE["arrivals"])
     return out.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("num_rows"), F.sum("number_of_visitors").alias("visitors")
     )
+
+
+_LANDED_ALIKE = """
+select 'batch' as way, * from rows union all select 'stream' as way, * from rows"""
+
+
+@register(
+    "stream_equals_batch", "ST1 PF5 PF7 PF8",
+    "with rows as (" + sql(
+        """select 'arrivals' as landed, year, month, make_date(year, month, 15) as arrival_date,
+                  cast(count(*) as bigint) as num_rows, cast(null as bigint) as derived
+           from arrivals group by all
+           union all
+           select 'air', year, month, null, cast(count(*) as bigint),
+                  cast(sum(coalesce(cast(domestic_passengers as bigint), 0)
+                           + coalesce(cast(international_passengers as bigint), 0)) as bigint)
+           from air group by all
+           union all
+           select 'occupancy', year, month, null, cast(count(*) as bigint),
+                  cast(sum(cast(trunc(available_rooms * coalesce(occupancy_rate, 50) / 100) as bigint)) as bigint)
+           from occupancy group by all""",
+        "arrivals", "air", "occupancy",
+    ) + ")" + _LANDED_ALIKE,
+)
+def _stream_equals_batch(spark, sf):
+    """One set of files, loaded by batch and as it lands: dates and rooms never filled, totals that sum to zero."""
+    nothing = F.lit(None).cast("string")
+    sets = {
+        "arrivals": (bindings.arrivals(spark, sf).withColumn("arrival_date", nothing), bronze.arrivals_csv, None),
+        "air": (bindings.air(spark, sf).withColumn("total_passengers", F.lit(0)), bronze.air_csv, "total_passengers"),
+        "occupancy": (
+            bindings.occupancy(spark, sf).withColumn("occupied_rooms", nothing), bronze.occupancy_csv, "occupied_rooms",
+        ),
+    }
+    parts = []
+    for name, (raw, conformed, derived) in sets.items():
+        root = scratch_path(spark, f"alike-{name}")
+        land(raw, f"{root}/in")
+        for _ in range(2):  # a repeated run adds nothing
+            landing.load_new_files(
+                spark, f"{root}/in", raw.columns, lambda rows, c=conformed: c(rows, min_year=1990), f"{root}/out", f"{root}/check"
+            )
+        ways = {
+            "batch": conformed(readers.read_csv(spark, f"{root}/in"), min_year=1990),
+            "stream": landing.loaded_rows(spark, f"{root}/out", BRONZE[name]),
+        }
+        for way, rows in ways.items():
+            day = F.col("arrival_date").cast("date") if "arrival_date" in rows.columns else F.lit(None).cast("date")
+            total = F.sum(derived) if derived else F.max(F.lit(None).cast("bigint"))
+            parts.append(
+                rows.groupBy("year", "month", day.alias("arrival_date")).agg(
+                    F.count(F.lit(1)).alias("num_rows"), total.alias("derived")
+                ).select(F.lit(way).alias("way"), F.lit(name).alias("landed"), "*")
+            )
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@register(
+    "mixed_date_texts", "PF4",
+    f"""select cast(o_orderdate as date) as arrival_date, {whole('year(o_orderdate)')} as year,
+               {whole('month(o_orderdate)')} as month, cast(count(*) as bigint) as num_rows
+        from orders where o_orderkey % 7 <> 6 group by all""",
+)
+def _mixed_date_texts(spark, sf):
+    """Order dates as texts of six kinds; a seventh of the texts is no date. Days up to 12 stand after the month."""
+    orders, kind = bindings.table(spark, sf, "orders"), F.col("o_orderkey") % 7
+    patterns = ["yyyy-MM-dd", "yyyyMMdd", "yyyy/MM/dd", "MM/dd/yyyy", "MMMM d, yyyy", "d MMM yyyy"]
+    text = F.lit("s/f")
+    for number, pattern in enumerate(patterns):
+        text = F.when(kind == number, F.date_format("o_orderdate", pattern)).otherwise(text)
+    loaded = bronze.arrivals_csv(orders.select(text.alias("fecha_llegada")), min_year=1990)
+    return loaded.groupBy("arrival_date", "year", "month").agg(F.count(F.lit(1)).alias("num_rows"))
+
+
+@register(
+    "quoted_line_breaks", "IO3",
+    f"""select 'whole' as way, o_orderpriority || chr(10) || 'x' as country_of_origin, cast(count(*) as bigint) as num_rows,
+               cast(sum(o_orderkey) as bigint) as visitors, cast(0 as bigint) as rows_broken
+        from orders group by all
+        union all
+        select 'lines', o_orderpriority, cast(count(*) as bigint), cast(sum(o_orderkey) as bigint),
+               (select cast(2 * count(*) as bigint) from orders where o_orderkey % 4 = 0)
+        from orders where o_orderkey % 4 <> 0 group by all""",
+)
+def _quoted_line_breaks(spark, sf):
+    """Cells with line breaks through a whole load: kept with `multiline`; else their lines are left out and counted."""
+    orders = bindings.table(spark, sf, "orders")
+    fallback = bindings.arrivals(spark, sf)
+    parts = []
+    for way, cell in (
+        ("whole", F.concat("o_orderpriority", F.lit("\nx"))),
+        ("lines", F.when(F.col("o_orderkey") % 4 == 0, F.concat("o_orderpriority", F.lit("\nx"))).otherwise(F.col("o_orderpriority"))),
+    ):
+        raw = orders.select(
+            F.year("o_orderdate").alias("anio"), cell.alias("pais"), F.month("o_orderdate").alias("mes"),
+            F.col("o_orderkey").alias("llegadas"),
+        )
+        root = scratch_path(spark, "breaks")
+        land(raw, f"{root}/in")
+        report = bronze.load(
+            spark, "arrivals", f"{root}/in", fallback, f"{root}/out", min_year=1990, multiline=way == "whole"
+        )
+        rows = readers.read_table(spark, f"{root}/out", BRONZE["arrivals"])
+        parts.append(rows.groupBy("country_of_origin").agg(
+            F.count(F.lit(1)).alias("num_rows"), F.sum("number_of_visitors").alias("visitors"),
+        ).select(F.lit(way).alias("way"), "*", F.lit(report.rows_broken).cast("bigint").alias("rows_broken")))
+    return parts[0].unionByName(parts[1])
+
+
+@register(
+    "load_report", "IO21 AG15 DQ7",
+    sql(
+        """select cast(count(*) as bigint) as num_rows, cast(min(year) as integer) as year_min,
+                  cast(max(year) as integer) as year_max,
+                  cast(count(distinct country_code) as bigint) as country_code_count,
+                  cast(count(distinct indicator_code) as bigint) as indicator_code_count,
+                  cast(max(year) as integer) as latest_year, cast(5 as bigint) as previewed
+           from regional""",
+        "regional",
+    ),
+)
+def _load_report(spark, sf):
+    """What a load of indicator answers reports, of a table that may not be empty."""
+    path = scratch_path(spark, "reported")
+    report = bronze.load_indicators(
+        spark, "regional", _answer_files(spark, sf), bindings.regional(spark, sf), path, min_year=1900
+    )
+    require_rows(readers.read_table(spark, path, BRONZE["regional"]))
+    return spark.createDataFrame(
+        [(
+            report.num_rows, report.year_min, report.year_max, report.distinct["country_code_count"],
+            report.distinct["indicator_code_count"], report.latest["year"], len(report.preview),
+        )],
+        "num_rows bigint, year_min int, year_max int, country_code_count bigint, indicator_code_count bigint, "
+        "latest_year int, previewed bigint",
+    )

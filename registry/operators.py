@@ -66,12 +66,12 @@ def _arrivals_with_calendar(spark, sf):
         group by 1, 2""",
 )
 def _orders_in_named_calendar(spark, sf):
-    """A calendar between two stated days has a known number of months and is broadcast."""
+    """A calendar between two stated days."""
     start, end = "1995-01-01", "2001-12-31"
     orders = bindings.table(spark, sf, "orders")
     fact = orders.select(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("period_date"))
     days = calendar.calendar(calendar.date_spine(spark, start, end))
-    joined = joins.with_calendar(fact, days, ["year", "month"], calendar.months_spanned(start, end))
+    joined = joins.with_calendar(fact, days, ["year", "month"])
     return joined.groupBy("year", "month").agg(F.count(F.lit(1)).alias("num_rows"))
 
 
@@ -94,27 +94,32 @@ def _months_without_orders(spark, sf):
     return joins.missing_periods(calendar.month_starts(bounds, "first", "last"), fact)
 
 
-_SMALL_PARTS = "(select p_partkey from part where p_size <= 40)"
+# Every tenth part is named by a key that no part has.
+_ITEMS = """(select *, case when l_partkey % 10 = 3 then -l_partkey else l_partkey end as part from lineitem) as items"""
+
+
+def _items_of_parts(spark, sf):
+    part = F.when(F.col("l_partkey") % 10 == 3, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
+    return bindings.table(spark, sf, "lineitem").withColumn("part", part)
 
 
 @register(
     "orphan_part_keys", "J6",
-    f"""select l_partkey, count(*) as num_rows from lineitem
-        where l_partkey not in {_SMALL_PARTS} group by 1""",
+    f"""select part, count(*) as num_rows from {_ITEMS}
+        where part not in (select p_partkey from part) group by 1""",
 )
 def _orphan_part_keys(spark, sf):
-    parts = bindings.table(spark, sf, "part").where(F.col("p_size") <= 40)
-    return joins.orphan_keys(bindings.table(spark, sf, "lineitem"), "l_partkey", parts, "p_partkey")
+    return joins.orphan_keys(_items_of_parts(spark, sf), "part", bindings.table(spark, sf, "part"), "p_partkey")
 
 
 @register(
     "orphan_part_rows", "J6",
-    f"""select l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem
-        where l_partkey not in {_SMALL_PARTS}""",
+    f"""select l_orderkey, l_linenumber, l_partkey, l_quantity from {_ITEMS}
+        where part not in (select p_partkey from part)""",
 )
 def _orphan_part_rows(spark, sf):
-    parts = bindings.table(spark, sf, "part").where(F.col("p_size") <= 40)
-    rows = joins.orphan_rows(bindings.table(spark, sf, "lineitem"), "l_partkey", parts, "p_partkey")
+    parts = bindings.table(spark, sf, "part")
+    rows = joins.orphan_rows(_items_of_parts(spark, sf), "part", parts, "p_partkey")
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
@@ -123,15 +128,14 @@ def _orphan_part_rows(spark, sf):
     """select o_orderpriority, coalesce(r_name, 'none') as r_name, count(*) as num_rows
        from orders left join customer on o_custkey = c_custkey
        left join nation on c_nationkey = n_nationkey
-       left join (select r_regionkey, r_name from region where r_name <> 'ASIA') on n_regionkey = r_regionkey
+       left join region on n_regionkey = r_regionkey and n_nationkey % 7 <> 0
        group by 1, 2""",
 )
 def _orders_by_priority_and_region(spark, sf):
-    """Look-up with default against a table: regions with one left out on purpose."""
-    orders = bindings.orders_by_nation(spark, sf).select(
-        "o_orderpriority", F.col("n_regionkey").cast("string").alias("region_text")
-    )
-    region = bindings.table(spark, sf, "region").where(F.col("r_name") != "ASIA")
+    """Look-up with default against a table: some nations name a region that is not in it."""
+    key = F.when(F.col("n_nationkey") % 7 == 0, F.lit("?")).otherwise(F.col("n_regionkey").cast("string"))
+    orders = bindings.orders_by_nation(spark, sf).select("o_orderpriority", key.alias("region_text"))
+    region = bindings.table(spark, sf, "region")
     region = region.select(F.col("r_regionkey").cast("string").alias("region_text_key"), "r_name")
     named = joins.lookup_or_default(orders, "region_text", region, "region_text_key", {"r_name": "none"})
     return named.groupBy("o_orderpriority", "r_name").agg(F.count(F.lit(1)).alias("num_rows"))
@@ -211,6 +215,27 @@ def _load_metrics_approximate(spark, sf):
     return aggregates.load_metrics(orders, distinct={"customers": "o_custkey"}, approximate=True)
 
 
+@register(
+    "approximate_counts_hold", "AG15 AG2 IO21",
+    f"""select count(*) as num_rows, {whole('min(year(o_orderdate))')} as year_min,
+               {whole('max(year(o_orderdate))')} as year_max, true as customers_within_10_percent,
+               true as orders_within_10_percent from orders""",
+)
+def _approximate_counts_hold(spark, sf):
+    """The form with sketches: exact columns as they are, estimates held against the exact counts."""
+    orders = bindings.table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    counted = {"customers": "o_custkey", "orders": "o_orderkey"}
+    rough = aggregates.load_metrics(orders, distinct=counted, approximate=True)
+    exact = aggregates.load_metrics(orders, distinct=counted).select(
+        F.col("num_rows").alias("_rows"), *[F.col(n).alias(f"exact_{n}") for n in counted]
+    )
+    near = [
+        (F.abs(F.col(n) - F.col(f"exact_{n}")) <= 0.1 * F.col(f"exact_{n}")).alias(f"{n}_within_10_percent") for n in counted
+    ]
+    both = rough.join(exact, F.col("num_rows") == F.col("_rows"))
+    return both.select("num_rows", "year_min", "year_max", *near)
+
+
 @register(
     "growth_after_zero", "WF3",
     f"""select year, total,

@@ -141,7 +141,7 @@ from (select year, n_nationkey, n_name, n_regionkey, 'ST.INT.ARVL' as indicator_
       union all
       select year, n_nationkey, n_name, n_regionkey, 'ST.INT.RCPT.XP.ZS', 'tourism_pct_of_exports', share
       from regional_wide)
-where not (year = 2001 and n_regionkey = 0) and value is not null""")
+where value is not null""")
 
 cte("departments")("""
 select lpad(cast(n_nationkey as varchar), 2, '0') as dane_code, n_name as department,

@@ -114,6 +114,8 @@ register("occupancy_ranking", "Q12 AG9 SL2",
 
 register("gdp_by_year", "Q13", sql(f"select * from fct_tourism_gdp {IN_YEARS}", "fct_tourism_gdp"),
          lambda spark, sf: reports.gdp_by_year(t.gdp(spark, sf), YEARS))
+register("gdp_of_all_years", "Q13", sql("select * from fct_tourism_gdp", "fct_tourism_gdp"),
+         lambda spark, sf: reports.gdp_by_year(t.gdp(spark, sf)))
 register("gdp_latest", "Q13 WF4",
          sql("select * from fct_tourism_gdp order by year desc limit 1", "fct_tourism_gdp"),
          lambda spark, sf: reports.gdp_latest(t.gdp(spark, sf)))
@@ -183,11 +185,12 @@ register("air_seasonality", "Q22 AG5 J3",
                  from fct_air_passengers group by month""", "fct_air_passengers"),
          lambda spark, sf: reports.air_seasonality(t.air(spark, sf)))
 
-register("balance_by_quarter", "Q23 PF13 PF19",
-         sql(f"""select * replace ({rnd('ytd_income', 6)} as ytd_income,
-                                   {rnd('ytd_expenditure', 6)} as ytd_expenditure),
-                        cast(year as varchar) || '-Q' || cast(quarter as varchar) as periodo
-                 from fct_tourism_balance {IN_YEARS}""", "fct_tourism_balance"),
+_QUARTERS = f"""select * replace ({rnd('ytd_income', 6)} as ytd_income, {rnd('ytd_expenditure', 6)} as ytd_expenditure),
+    cast(year as varchar) || '-Q' || cast(quarter as varchar) as periodo from fct_tourism_balance """
+register("balance_of_all_quarters", "Q23 PF19", sql(_QUARTERS, "fct_tourism_balance"),
+         lambda spark, sf: t.rounded(
+             reports.balance_by_quarter(t.balance(spark, sf)), 6, "ytd_income", "ytd_expenditure"))
+register("balance_by_quarter", "Q23 PF13 PF19", sql(_QUARTERS + IN_YEARS, "fct_tourism_balance"),
          lambda spark, sf: t.rounded(
              reports.balance_by_quarter(t.balance(spark, sf, YEARS), YEARS), 6, "ytd_income", "ytd_expenditure"))
 

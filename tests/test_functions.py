@@ -122,7 +122,7 @@ def test_season_quarter(spark):
 
 
 def test_parse_date(spark):
-    values = ["2022-01-15", "2022-01-15 10:00:00", "15/01/2022", "", None]
+    values = ["2022-01-15", "2022-01-15 10:00:00", "15th of May", "", None]
     assert column(spark, values, "string", fn.parse_date("v")) == [date(2022, 1, 15), date(2022, 1, 15), None, None, None]
 
 
@@ -131,3 +131,16 @@ def test_surrogate_key(spark, parts):
     df = spark.createDataFrame([parts], "a int, b int, c string")
     text = "-".join(fixed.KEY_NULL if p is None else str(p) for p in parts)
     assert df.select(fn.surrogate_key("a", "b", "c")).first()[0] == hashlib.md5(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize(
+    ("text", "day"),
+    [
+        ("2022-03-15", (2022, 3, 15)), ("2022-03-15 10:11:12", (2022, 3, 15)), ("15/03/2022", (2022, 3, 15)), ("03/04/2022", (2022, 3, 4)),
+        ("2022/03/15", (2022, 3, 15)), ("20220315", (2022, 3, 15)), ("March 15, 2022", (2022, 3, 15)), (" 5 Mar 2022 ", (2022, 3, 5)),
+        ("15.3.2022", (2022, 3, 15)), ("31/02/2022", None), ("sin fecha", None), ("", None), (None, None),
+    ],
+)
+def test_date_texts(spark, text, day):
+    got = spark.createDataFrame([(text,)], "t string").select(fn.parse_date("t").alias("d")).first().d
+    assert got == (None if day is None else date(*day))

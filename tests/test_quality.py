@@ -80,3 +80,10 @@ def test_suites_cover_every_gold_table():
     assert kinds.count("accepted_values") == 10
     assert kinds.count("between") == 19
     assert sum(k.startswith("agrees_with") for k in kinds) == 1
+
+
+def test_surrogate_keys_with_null_parts_are_compared_as_the_key_is(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, None), (None, "a"), (None, "a"), (None, "a")], "id int, t string")
+    repeated = {(r.id, r.t): r.num_rows for r in q.failing_rows(df, q.unique("key", ["id", "t"])).collect()}
+    assert repeated == {(1, None): 2, (None, "a"): 3}
+    assert {r.id for r in q.failing_rows(df, q.unique("id")).collect()} == {1}

@@ -127,4 +127,5 @@ def test_a_hot_year_is_written_as_several_files(spark, tmp_path, splitting):
 def test_sizes():
     tiny, huge = sized_for(10**6, 8), sized_for(100 * 10**12, 8000)
     assert tiny["spark.sql.shuffle.partitions"] == "16"
-    assert huge["spark.sql.shuffle.partitions"] == "50000"
+    assert huge["spark.sql.shuffle.partitions"] == "372530"
+    assert sized_for(100 * 10**12, 8000, max_partitions=50_000)["spark.sql.shuffle.partitions"] == "50000"

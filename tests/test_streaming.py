@@ -3,6 +3,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from estratos.plans import bronze, silver
+from estratos.schemas import BRONZE
 from estratos.streaming import landing
 
 
@@ -23,7 +24,7 @@ class Drop:
         )
 
     def rows(self):
-        return self.spark.read.parquet(f"{self.root}/out")
+        return landing.loaded_rows(self.spark, f"{self.root}/out", BRONZE["arrivals"])
 
 
 @pytest.fixture
@@ -68,30 +69,76 @@ def test_partitioned_sink_and_cleaning_agree_with_batch(spark, drop):
     drop.put("x.csv", *[f"{2010 + i % 9},{i % 14},{i}" for i in range(300)])
     drop.run(partition_by=["year"])
     batch = bronze.arrivals_csv(spark.read.option("header", True).csv(f"{drop.root}/in"))
-    columns = batch.columns
-    assert drop.rows().select(columns).exceptAll(batch).isEmpty()
+    columns = drop.rows().columns
+    assert drop.rows().exceptAll(batch.select(columns)).isEmpty()
     assert drop.rows().count() == batch.count()
     assert silver.stg_tourism_arrivals(drop.rows()).where(F.col("year") < 2015).isEmpty()
 
 
-def test_rows_of_all_batches_are_counted(spark, drop):
+def test_rows_of_many_files_are_one_run(spark, drop):
     for year in (2020, 2021, 2022, 2023):
         drop.put(f"{year}.csv", f"{year},1,1", f"{year},2,1")
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
-    try:
-        assert drop.run(max_files_per_batch=1) == 8
-        assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "1"
-    finally:
-        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert drop.run() == 8 and drop.rows().count() == 8
+    assert [p.name for p in (drop.root / "out").iterdir() if p.is_dir()] == ["run=0"]
 
 
-def test_two_files_in_small_batches(spark, tmp_path):
+def test_whole_columns_are_judged_over_all_files_of_a_run(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    header = "year,month,llegadas,fecha_llegada"
+    (tmp_path / "in" / "a.csv").write_text(f"{header}\n2020,1,5,\n")
+    (tmp_path / "in" / "b.csv").write_text(f"{header}\n2020,2,5,2020-02-03\n")
+
+    def run():
+        return landing.load_new_files(
+            spark, f"{tmp_path}/in", header.split(","), lambda rows: bronze.arrivals_csv(rows), f"{tmp_path}/out", f"{tmp_path}/check"
+        )
+
+    def dates():
+        rows = landing.loaded_rows(spark, f"{tmp_path}/out", BRONZE["arrivals"]).collect()
+        return sorted((r.month, str(r.arrival_date)[:10]) for r in rows)
+
+    assert run() == 2 and dates() == [(1, "None"), (2, "2020-02-03")]
+    (tmp_path / "in" / "c.csv").write_text(f"{header}\n2020,3,5,\n")
+    assert run() == 1 and dates()[2] == (3, "2020-03-15")
+    assert run() == 0 and len(dates()) == 3
+
+
+def test_a_run_that_broke_off_is_repeated_and_adds_nothing_twice(spark, drop):
+    drop.put("x.csv", "2020,1,1")
+    fail = [True]
+
+    def transform(rows):
+        if fail:
+            raise RuntimeError(fail.pop())
+        return bronze.arrivals_csv(rows)
+
+    def run():
+        return landing.load_new_files(
+            spark, f"{drop.root}/in", ["year", "month", "llegadas"], transform, f"{drop.root}/out", f"{drop.root}/check"
+        )
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert run() == 1 and run() == 0 and drop.rows().count() == 1
+
+
+def test_line_breaks_in_cells(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('year,month,pais\n2020,1,"Estados\nUnidos"\n')
+    landing.load_new_files(
+        spark, f"{tmp_path}/in", ["year", "month", "pais"], lambda rows: bronze.arrivals_csv(rows),
+        f"{tmp_path}/out", f"{tmp_path}/check", multiline=True,
+    )
+    (row,) = landing.loaded_rows(spark, f"{tmp_path}/out", BRONZE["arrivals"]).collect()
+    assert row.country_of_origin == "Estados\nUnidos"
+
+
+def test_a_query_can_be_started_on_its_own(spark, tmp_path):
     drop = Drop(spark, tmp_path)
     for year in (2020, 2021, 2022):
         drop.put(f"{year}.csv", f"{year},1,1")
-    rows = landing.landed_rows(spark, f"{tmp_path}/in", ["year", "month", "llegadas"], max_files_per_batch=1)
-    query = landing.ingest(rows, lambda r: r.select("year"), f"{tmp_path}/out", f"{tmp_path}/check")
-    query.awaitTermination()
+    rows = landing.landed_rows(spark, f"{tmp_path}/in", ["year", "month", "llegadas"])
+    landing.ingest(rows, lambda r: r.select("year"), f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
     assert sorted(r.year for r in spark.read.schema("year string").parquet(f"{tmp_path}/out").collect()) == [
         "2020", "2021", "2022",
     ]
