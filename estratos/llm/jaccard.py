@@ -2,18 +2,21 @@
 
 Documents with the same set of shingles form a class; only classes are compared, so copies never meet as pairs.
 
-Bringing candidates together. Two sets of sizes m and n with similarity s or more differ in at most
-(1 - s) / (1 + s) * (m + n) shingles, and their sizes lie in the same or in adjacent bands of ratio 1 / s. For each
-pair of adjacent bands the shingles are dealt by hash into more parts than there can be differences, so two similar
-sets have a part with equal content. Sets that share the content of a part are chained, and the components of these
-chains are the neighbourhoods within which links can exist.
+Bringing candidates together, in two steps that lose no link. First, a prefix: of a set of n shingles in hash order
+the first n - s * n + k hold at least k that a similar set has in its own prefix too, so a set stays a candidate only
+if k shingles of its prefix occur in other sets. That drops sets which merely share a passage with others. Second,
+parts: two sets of sizes m and n with similarity s or more differ in at most (1 - s) / (1 + s) * (m + n) shingles, and
+their sizes lie in the same or in adjacent bands of ratio 1 / s. For each pair of adjacent bands the shingles are
+dealt by hash into more parts than there can be differences, so two similar sets have a part with equal content. Sets
+that share the content of a part are tied, and the components of these ties are the neighbourhoods within which links
+can exist.
 
 Search. Within a neighbourhood each set is a query against an inverted index of the others. A similar set must occur
 in T of the query's lists. DivideSkip puts the longest lists aside, merges the short ones, keeps those sets that occur
 often enough to still reach T, and looks these up in the long lists by binary search.
 
-A neighbourhood that is too large for one task is cut into blocks and each pair of blocks is searched on its own.
-Search results are the links of a spanning forest, which is all that components need; they never hold all pairs.
+A neighbourhood is searched by pairs of adjacent bands; one that is too large for one task is cut into blocks, and each
+pair of blocks is searched on its own. Search results are the links of a spanning forest, which is all that components need; they never hold all pairs.
 """
 
 from __future__ import annotations
@@ -112,6 +115,14 @@ class Parts:
         return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
+    def prefix(self, shingles: np.ndarray) -> tuple[np.ndarray, int]:
+        """The prefix of a sorted set, and how many of its shingles have to occur in other sets."""
+        n = len(shingles)
+        shared = -(-self.percent * n // 100)  # the least a similar set has in common with it
+        wanted = max(1, min(shared, -(-n * (100 - self.percent) * 3 // 400)))
+        return shingles[: n - shared + wanted], wanted
+
+
 class Forest:
     """Union-find over positions."""
 
@@ -130,19 +141,27 @@ class Forest:
         return a != b
 
 
-def divide_skip(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest over `sets`; where `side` has both values, only links between the sides count."""
+def divide_skip(
+    sets: list[np.ndarray], side: np.ndarray, percent: int, lower: np.ndarray | None = None
+) -> list[tuple[int, int]]:
+    """Links of a spanning forest over `sets`.
+
+    Where `side` has both values, only links between the sides count. Links between two sets that are both `lower` are
+    left to another call.
+    """
     order = np.argsort([len(s) for s in sets], kind="stable")
     sets, across = [sets[i] for i in order], len(set(side.tolist())) > 1
     side, sizes = side[order], np.array([len(s) for s in sets])
+    lower = np.zeros(len(sets), dtype=bool) if lower is None else lower[order]
     tokens, token = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
     by_token = np.argsort(token, kind="stable")
     postings = owner[by_token]  # the list of a token holds positions in ascending order
     begin = np.searchsorted(token[by_token], np.arange(len(tokens) + 1))
     first = np.concatenate(([0], np.cumsum(sizes)))
+    frequent = np.add.reduceat((np.diff(begin)[token] > 1).astype(np.int64), first[:-1])
     forest, links = Forest(len(sets)), []
-    for x in range(1, len(sets)):
+    for x in np.flatnonzero((100 * frequent >= percent * sizes) & ~lower).tolist():
         own = token[first[x] : first[x + 1]]
         low = int(np.searchsorted(sizes, -(-percent * sizes[x] // 100)))
         if low >= x:
@@ -193,72 +212,122 @@ def classes(docs: DataFrame, size: int, id_column: str = "doc_id", text: str = "
     return chosen.mapInArrow(of_batch, "doc_id bigint, n_shingles bigint, class bigint")
 
 
-def neighbourhoods(docs: DataFrame, size: int, percent: int, text: str = "text") -> DataFrame:
-    """`node` (a class) and `component`, its neighbourhood, for the classes that share a part with another one."""
+def candidates(docs: DataFrame, size: int, percent: int, text: str = "text") -> DataFrame:
+    """`class` of the sets whose prefix occurs in other sets as often as that of a similar one has to."""
     parts = Parts(percent)
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, owners = [], []
+            tokens, owners, wanted = [], [], []
             for _, shingles in shingle_sets(batch.column(0), size):
-                own = parts.keys(shingles)
-                if len(own):
-                    keys.append(own)
+                if len(shingles):
+                    own, least = parts.prefix(shingles)
+                    tokens.append(own)
                     owners.append(np.full(len(own), set_hash(shingles), dtype=np.int64))
-            if keys:
+                    wanted.append(np.full(len(own), least, dtype=np.int32))
+            if tokens:
                 yield pa.record_batch(
-                    [pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(owners))], names=["key", "class"]
+                    [pa.array(signed(np.concatenate(tokens))), pa.array(np.concatenate(owners)), pa.array(np.concatenate(wanted))],
+                    names=["token", "class", "wanted"],
                 )
 
-    keyed = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(of_batch, "key bigint, class bigint")
-    chain = Window.partitionBy("key").orderBy("class")
-    edges = keyed.select("class", F.lag("class").over(chain).alias("other")).where("other <> class")
-    return connected_components(edges.select(F.col("class").alias("a"), F.col("other").alias("b")))
+    prefixes = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
+        of_batch, "token bigint, class bigint, wanted int"
+    )
+    # A token is shared if its list begins with one class and ends with another. Copies of a document repeat its rows,
+    # so only the first row of a class in a list counts.
+    listed = Window.partitionBy("token").orderBy("class")
+    whole = listed.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = prefixes.select(
+        "class", "wanted", F.lag("class").over(listed).alias("before"), F.first("class").over(whole).alias("low"),
+        F.last("class").over(whole).alias("high"),
+    )
+    shared = placed.where("low <> high and (before is null or before <> class)")
+    counted = shared.groupBy("class").agg(F.count("*").alias("n"), F.max("wanted").alias("wanted"))
+    return counted.where("n >= wanted").select("class")
 
 
-def links(docs: DataFrame, of_class: DataFrame, size: int, percent: int) -> DataFrame:
-    """Verified links `a`, `b` between classes; with the classes as nodes they have the components of the full join."""
-    near = neighbourhoods(docs, size, percent).select(F.col("node").alias("class"), F.col("component").alias("near"))
+def candidate_sets(docs: DataFrame, of_class: DataFrame, size: int, percent: int) -> DataFrame:
+    """`class` and `shingles` of each candidate, from one document of its class."""
     first = of_class.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    wanted = near.join(first, "class")
+    wanted = candidates(docs, size, percent).join(first, "class")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [s for _, s in shingle_sets(batch.column(2), size)]
-            same = np.array([len(s) > 0 and set_hash(s) == c for s, c in zip(found, batch.column(0).to_pylist(), strict=True)], dtype=bool)
-            kept = np.flatnonzero(same)
+            found = [s for _, s in shingle_sets(batch.column(1), size)]
+            hashes = [set_hash(s) if len(s) else None for s in found]
+            # An id that is repeated brings other texts along; those have another class.
+            kept = [i for i, (h, c) in enumerate(zip(hashes, batch.column(0).to_pylist(), strict=True)) if h == c]
             yield pa.record_batch(
-                [
-                    batch.column(0).take(pa.array(kept)),
-                    batch.column(1).take(pa.array(kept)),
-                    pa.array([signed(found[i]) for i in kept], pa.list_(pa.int64())),
-                ],
-                names=["class", "near", "shingles"],
+                [batch.column(0).take(pa.array(kept, pa.int64())), pa.array([signed(found[i]) for i in kept], pa.list_(pa.int64()))],
+                names=["class", "shingles"],
             )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    matched = texts.join(wanted, texts["id"].eqNullSafe(wanted["doc_id"])).select("class", "near", "text")
-    schema = "class bigint, near bigint, shingles array<bigint>"
-    # An id that is repeated brings other texts along; those have another class and are left out above.
-    sets = written(matched.mapInArrow(sets_of, schema).dropDuplicates(["class"]), "sets")
-    total = sets.groupBy("near").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("size"))
-    cut = total.where("n > 1").select(
-        "near",
+    matched = texts.join(wanted, texts["id"].eqNullSafe(wanted["doc_id"])).select("class", "text")
+    return matched.mapInArrow(sets_of, "class bigint, shingles array<bigint>").dropDuplicates(["class"])
+
+
+def neighbourhoods(sets: DataFrame, percent: int) -> DataFrame:
+    """`node` (a class) and `component`, its neighbourhood, for the sets that share a part with another one."""
+    parts = Parts(percent)
+
+    def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [parts.keys(s.values.to_numpy().view(np.uint64)) for s in batch.column(1)]
+            owners = np.repeat(batch.column(0).to_numpy(), [len(k) for k in found])
+            keys = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+            yield pa.record_batch([pa.array(signed(keys), pa.int64()), pa.array(owners, pa.int64())], names=["key", "class"])
+
+    keyed = sets.select("class", "shingles").mapInArrow(of_batch, "key bigint, class bigint")
+    least = F.min("class").over(Window.partitionBy("key"))
+    ties = keyed.select("class", least.alias("other")).where("other <> class")
+    return connected_components(ties.select(F.col("class").alias("a"), F.col("other").alias("b")))
+
+
+def links(docs: DataFrame, of_class: DataFrame, size: int, percent: int) -> DataFrame:
+    """Verified links `a`, `b` between classes; with the classes as nodes they have the components of the full join."""
+    sets = written(candidate_sets(docs, of_class, size, percent), "sets")
+    near = neighbourhoods(sets, percent).select(F.col("node").alias("class"), F.col("component").alias("near"))
+    parts = Parts(percent)
+
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.diff(batch.column(2).offsets.to_numpy())
+            band = pa.array([parts.band(n) for n in sizes.tolist()], pa.int32())
+            yield pa.record_batch([*batch.columns, band], names=["class", "near", "shingles", "band"])
+
+    schema = "class bigint, near bigint, shingles array<bigint>, band int"
+    placed = written(sets.join(near, "class").select("class", "near", "shingles").mapInArrow(banded, schema), "placed")
+    # A set is searched with those of its own band and of the bands next to it.
+    paired = placed.select(
+        "class", "near", "shingles",
+        F.explode(F.array(F.struct("band", F.lit(False).alias("lower")), F.struct((F.col("band") + 1).alias("band"), F.lit(True).alias("lower")))).alias("at"),
+    ).select("class", "near", "shingles", "at.*")
+    total = paired.groupBy("near", "band").agg(
+        F.count("*").alias("n"), F.count_if(~F.col("lower")).alias("upper"), F.sum(F.size("shingles")).alias("size")
+    )
+    cut = total.where("n > 1 and upper > 0").select(
+        "near", "band",
         F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
     )
-    placed = sets.join(cut, "near").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    met = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "near", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).alias("side"), "class", "shingles",
+    dealt = paired.join(cut, ["near", "band"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    met = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "near", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).alias("side"), "lower", "class", "shingles",
     )
 
     def search(table: pa.Table) -> pa.Table:
         sets = [s.values.to_numpy().view(np.uint64) for s in table.column("shingles").combine_chunks()]
-        nodes, side = table.column("class").to_pylist(), table.column("side").to_numpy(zero_copy_only=False)
-        found = divide_skip(sets, side, percent)
+        nodes = table.column("class").to_pylist()
+        side, lower = (table.column(name).to_numpy(zero_copy_only=False) for name in ("side", "lower"))
+        found = divide_skip(sets, side, percent, lower)
         return pa.table({"a": pa.array([nodes[i] for i, _ in found], pa.int64()), "b": pa.array([nodes[j] for _, j in found], pa.int64())})
 
-    return met.groupBy("near", "i", "j").applyInArrow(search, "a bigint, b bigint")
+    # The work of a group has little to do with its bytes, so groups are dealt to a fixed number of tasks.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = "near", "band", "i", "j"
+    return met.repartition(4 * tasks, *group).groupBy(*group).applyInArrow(search, "a bigint, b bigint")
 
 
 def jaccard_components(
@@ -277,7 +346,8 @@ def jaccard_components(
     joined = of_class.join(component, of_class["class"] == component["node"], "left").select(
         "doc_id", "n_shingles", "class", F.coalesce("component", "class").alias("label")
     )
-    lowest = joined.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("lowest"))
+    # Written, so that the join is one of two exchanges of their own and a large component can be split.
+    lowest = written(joined.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("lowest")), "lowest")
     return joined.join(lowest, "label", "left").select(
         "doc_id", "n_shingles", "class",
         F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from estratos.llm import decontamination, hosts, jaccard, languages, mixing, quality, rules, sharding, substrings, warc
+from estratos.llm import decontamination, hosts, jaccard, languages, mixing, oracles, quality, rules, sharding, substrings, warc
 
 QUERIES = {
     fn.__name__: fn
@@ -24,4 +24,7 @@ ORACLES: dict[str, str] = {
     decontamination.op3_winnowing.__name__: decontamination.ORACLE,
     hosts.op6_host_reputation.__name__: hosts.ORACLE,
     mixing.op9_source_mix.__name__: mixing.ORACLE,
+    warc.op7_warc_members.__name__: oracles.WARC,
+    substrings.op8_repeated_passages.__name__: oracles.PASSAGES,
+    jaccard.op10_jaccard_components.__name__: oracles.COMPONENTS,
 }
