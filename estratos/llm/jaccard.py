@@ -116,11 +116,18 @@ class Parts:
 
 
     def prefix(self, shingles: np.ndarray) -> tuple[np.ndarray, int]:
-        """The prefix of a sorted set, and how many of its shingles have to occur in other sets."""
+        """The prefix of a sorted set, and how many of its shingles have to occur in other sets' prefixes.
+
+        A set of n shingles has at least `shared` in common with a similar one, so its first n - shared + k hold the
+        first k of those. The k of a smaller set is smaller; `shared` is also the least size a similar set can have, so
+        the k of that size is what any similar set has to show.
+        """
         n = len(shingles)
-        shared = -(-self.percent * n // 100)  # the least a similar set has in common with it
-        wanted = max(1, min(shared, -(-n * (100 - self.percent) * 3 // 400)))
-        return shingles[: n - shared + wanted], wanted
+        shared = -(-self.percent * n // 100)
+        return shingles[: n - shared + self._margin(n)], self._margin(shared)
+
+    def _margin(self, n: int) -> int:
+        return max(1, n * (100 - self.percent) // 200)
 
 
 class Forest:
@@ -374,9 +381,9 @@ def deduplicate(
     first = grouped.groupBy("component").agg(F.min("id").alias("first"))
     first = grouped.join(first, "component").where("id = first").groupBy("component").agg(F.min("mark").alias("stays"))
     dropped = grouped.join(first, "component").where("mark <> stays").select("mark").distinct()
-    worded = F.col("text").rlike("[^\\x20\\x09-\\x0D]")
+    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
     nth = F.row_number().over(Window.partitionBy("mark").orderBy("mark"))
-    once = marked.withColumn("nth", nth).where((F.col("nth") == 1) | ~F.coalesce(worded, F.lit(False)))
+    once = marked.select("row", "mark", worded.alias("worded")).withColumn("nth", nth).where("nth = 1 or not worded")
     return once.join(dropped, "mark", "left_anti").select("row.*")
 
 

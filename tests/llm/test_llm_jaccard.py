@@ -78,12 +78,14 @@ def test_similar_sets_share_a_part(percent):
         n = rng.randrange(1, 300)
         base = [rng.getrandbits(64) for _ in range(n)]
         differ = rng.randrange(0, parts.differences(n, n) + 1)
-        gone = rng.randrange(0, differ + 1)
+        gone = rng.choice([0, differ, rng.randrange(0, differ + 1)])
         other = base[gone:] + [rng.getrandbits(64) for _ in range(differ - gone)]
         a, b = (np.unique(np.array(x, dtype=np.uint64)) for x in (base, other))
         both = len(np.intersect1d(a, b))
         if 100 * both >= percent * (len(a) + len(b) - both) and len(a) and differ:
             assert set(parts.keys(a).tolist()) & set(parts.keys(b).tolist())
+            (first, least), (second, fewest) = parts.prefix(a), parts.prefix(b)
+            assert len(np.intersect1d(first, second)) >= max(least, fewest)
 
 
 def test_divide_skip_finds_a_spanning_forest():
