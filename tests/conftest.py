@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,7 @@ def spark():
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="4g",
-        spark__sql__maxMetadataStringLength="4000",
+        spark__sql__maxMetadataStringLength="4000", spark__checkpoint__dir=tempfile.mkdtemp(prefix="estratos-tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
