@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estratos.llm.arrow_text import LOWER, chunks, mix, range_hashes, signed, window_hashes, windows, word_hashes, words
@@ -219,45 +219,47 @@ def classes(docs: DataFrame, size: int, id_column: str = "doc_id", text: str = "
     return chosen.mapInArrow(of_batch, "doc_id bigint, n_shingles bigint, class bigint")
 
 
-def candidates(docs: DataFrame, size: int, percent: int, text: str = "text") -> DataFrame:
-    """`class` of the sets whose prefix occurs in other sets as often as that of a similar one has to."""
+def candidates(docs: DataFrame, of_class: DataFrame, size: int, percent: int, text: str = "text") -> DataFrame:
+    """`class` of the sets whose prefix occurs in other sets as often as that of a similar one has to.
+
+    Only the shingles that no other class has in its prefix are counted, and what is left of a prefix is shared: the
+    smallest and the largest class of a shingle tell, and both have a partial step, so that a shingle which a third
+    of all documents have leaves each map task as one row.
+    """
     parts = Parts(percent)
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, owners, wanted = [], [], []
+            tokens, owners = [], []
             for _, shingles in shingle_sets(batch.column(0), size):
                 if len(shingles):
-                    own, least = parts.prefix(shingles)
+                    own, _ = parts.prefix(shingles)
                     tokens.append(own)
                     owners.append(np.full(len(own), set_hash(shingles), dtype=np.int64))
-                    wanted.append(np.full(len(own), least, dtype=np.int32))
             if tokens:
                 yield pa.record_batch(
-                    [pa.array(signed(np.concatenate(tokens))), pa.array(np.concatenate(owners)), pa.array(np.concatenate(wanted))],
-                    names=["token", "class", "wanted"],
+                    [pa.array(signed(np.concatenate(tokens))), pa.array(np.concatenate(owners))], names=["token", "class"]
                 )
 
-    prefixes = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
-        of_batch, "token bigint, class bigint, wanted int"
-    )
-    # A token is shared if its list begins with one class and ends with another. Copies of a document repeat its rows,
-    # so only the first row of a class in a list counts.
-    listed = Window.partitionBy("token").orderBy("class")
-    whole = listed.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    placed = prefixes.select(
-        "class", "wanted", F.lag("class").over(listed).alias("before"), F.first("class").over(whole).alias("low"),
-        F.last("class").over(whole).alias("high"),
-    )
-    shared = placed.where("low <> high and (before is null or before <> class)")
-    counted = shared.groupBy("class").agg(F.count("*").alias("n"), F.max("wanted").alias("wanted"))
-    return counted.where("n >= wanted").select("class")
+    prefixes = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(of_batch, "token bigint, class bigint")
+    lists = prefixes.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    alone = lists.where("low = high").groupBy(F.col("low").alias("owner")).agg(F.count("*").alias("alone"))
+
+    def margin(n: Column) -> Column:
+        return F.greatest(F.lit(1), F.floor(n * (100 - percent) / 200)).cast("long")
+
+    n = F.col("n_shingles")
+    shared = F.ceil(n * percent / 100).cast("long")
+    sized = of_class.where("class is not null").groupBy("class").agg(F.max("n_shingles").alias("n_shingles"))
+    sized = sized.select("class", F.least(n, n - shared + margin(n)).alias("prefix"), margin(shared).alias("wanted"))
+    counted = sized.join(alone, F.col("class") == F.col("owner"), "left")
+    return counted.where(F.col("prefix") - F.coalesce("alone", F.lit(0)) >= F.col("wanted")).select("class")
 
 
 def candidate_sets(docs: DataFrame, of_class: DataFrame, size: int, percent: int) -> DataFrame:
     """`class` and `shingles` of each candidate, from one document of its class."""
     first = of_class.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    wanted = candidates(docs, size, percent).join(first, "class")
+    wanted = candidates(docs, of_class, size, percent).join(first, "class")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
