@@ -225,9 +225,12 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     keyed = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("digest"))
-    first = keyed.groupBy("digest").agg(F.min("page_id").alias("first"))
+    # Only payloads that occur twice are looked up. Written, so that the join is one of two exchanges of their own and a
+    # payload that very many pages have can be split.
+    often = keyed.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = written(often.select("digest", "first"), "digests")
     later = (F.length("payload") >= least_bytes) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return keyed.join(first, "digest").select(
+    return keyed.join(first, "digest", "left").select(
         "page_id", "url", "payload", F.when(later, F.col("first")).alias("refers_to"), later.alias("revisit")
     )
 
