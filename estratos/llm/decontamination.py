@@ -114,8 +114,8 @@ def contaminated(
     seen = prints[0]
     for more in prints[1:]:
         seen = seen.unionAll(more)
-    fingerprints = index.select("least").distinct()
-    found = seen.join(fingerprints, "least").groupBy("doc_id", "mark").agg(F.collect_set("least").alias("matched"))
+    # A semi-join of two exchanges of their own, so that a fingerprint very many documents have can be split.
+    found = seen.join(index.select("least"), "least", "left_semi").groupBy("doc_id", "mark").agg(F.collect_set("least").alias("matched"))
     found = found.withColumnRenamed("doc_id", "id").withColumnRenamed("mark", "same")
 
     # Extension: the windows around each hit, as text.
