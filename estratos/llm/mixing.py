@@ -2,7 +2,8 @@
 
 Every source has a target in words. Its rows are dealt by hash into blocks, the blocks are permuted, and the mix draws
 whole passes over all blocks and then blocks from the front until the target is met; only the last block is taken row
-by row. So each source has an exact quota of block draws. A binary tree splits the quotas among the output shards: a
+by row. Where a long row in that block ends the draw far from the target, rows that fit are drawn from the rest of it
+and from the blocks behind it. So each source has an exact quota of block draws. A binary tree splits the quotas among the output shards: a
 node sends an exact number of its draws to the left, and how many of them belong to which source follows the
 multivariate hypergeometric law. Each shard then owns disjoint runs of the permuted block draws, and its rows have a
 random key by which they are shuffled within the shard.
@@ -25,6 +26,8 @@ from estratos.llm.sharding import hypergeometric
 WEIGHTS = (5, 2, 1)
 ROWS_PER_BLOCK = 1024
 MOST_REPEATS = 3
+#: Words by which a source may miss its target before rows of this size and less are drawn past a longer one.
+NEAR = 1024
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -77,6 +80,96 @@ def _number(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
+def _first_draw(rows: DataFrame) -> DataFrame:
+    """Adds `again`, rows of the last pass in order of digests up to `needs` words of their block, `missing`, and
+    `fills`: in the block that is drawn in part, the one row whose size comes closest to what is missing goes in too."""
+    whole = Window.partitionBy("source", "block")
+    within = whole.orderBy("digest").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.sum("size").over(within))
+    rows = rows.withColumn("again", (F.col("needs") > 0) & (F.col("upto") <= F.col("needs")))
+    missing = F.col("needs") - F.coalesce(F.max(F.when(F.col("again"), F.col("upto"))).over(whole), F.lit(0))
+    rows = rows.withColumn("missing", missing).withColumn("off", F.abs(F.col("size") - F.col("missing")))
+    closest = F.row_number().over(whole.orderBy(F.col("again"), "off", "digest")) == 1
+    return rows.withColumn("fills", ~F.col("again") & closest & (F.col("off") < F.col("missing")))
+
+
+def _second_draw(rows: DataFrame) -> DataFrame:
+    """Adds `more`: of the rows the first draw left and that fit, all of lower levels than `level`, those of this level
+    in order of digests up to `carry` words of their block, and the row that comes closest to what is then missing."""
+    whole = Window.partitionBy("source", "block")
+    within = whole.orderBy("digest").rowsBetween(Window.unboundedPreceding, 0)
+    fits = _fits(F.col("short"))
+    lower, level = fits & (_level() < F.col("level")), fits & (_level() == F.col("level"))
+    rows = rows.withColumn("lower", F.coalesce(lower, F.lit(False))).withColumn("on_level", F.coalesce(level, F.lit(False)))
+    rows = rows.withColumn("upto_level", F.sum(F.when(F.col("on_level"), F.col("size"))).over(within))
+    rows = rows.withColumn("walked", F.col("on_level") & (F.col("upto_level") <= F.col("carry")))
+    rows = rows.withColumn("gap", F.col("carry") - F.coalesce(F.max(F.when(F.col("walked"), F.col("upto_level"))).over(whole), F.lit(0)))
+    rows = rows.withColumn("taken_so_far", F.col("again") | F.col("lower") | F.col("walked"))
+    rows = rows.withColumn("beside", F.abs(F.col("size") - F.col("gap")))
+    closest = F.row_number().over(whole.orderBy(F.col("taken_so_far"), "beside", "digest")) == 1
+    partly = (F.col("carry") > 0) & (F.col("carry") < F.col("level_words"))
+    closes = partly & ~F.col("taken_so_far") & closest & (F.col("beside") < F.col("gap"))
+    return rows.withColumn("more", F.col("lower") | F.col("walked") | F.coalesce(closes, F.lit(False)))
+
+
+def _fits(short: Column) -> Column:
+    """Rows the first draw left, in its last block and behind it, that are not longer than what is missing."""
+    return ~F.col("again") & (F.col("needs") < F.col("words")) & (F.col("size") > 0) & (F.col("size") <= short)
+
+
+def _level() -> Column:
+    """0 up to `NEAR` words, then one more for each doubling."""
+    doubled = F.floor((F.col("size") - 1) / NEAR).cast("long")
+    return F.when(doubled < 1, 0).otherwise(F.length(F.bin(doubled)))
+
+
+def _further(sizes: DataFrame, ordered: DataFrame) -> DataFrame | None:
+    """What the second draw needs, for each block of the sources whose first draw ends more than `NEAR` words off.
+
+    `from`, `in_block`, `short` (words missing without the row that fills), `level`, `carry`, `level_words` and
+    `visited`. None if all sources are near their targets. Sources that the second draw brings no nearer are left out.
+    """
+    slim = ordered.select(F.col("source").alias("from"), F.col("block").alias("in_block"), "words", "at", "needs")
+    same = F.col("source").eqNullSafe(F.col("from")) & (F.col("block") == F.col("in_block"))
+    part = slim.where((F.col("needs") > 0) & (F.col("needs") < F.col("words")))
+    first = _first_draw(sizes.join(part, same)).groupBy("source").agg(
+        F.max("missing").alias("short"),
+        F.abs(F.max("missing") - F.sum(F.when(F.col("fills"), F.col("size")).otherwise(0))).alias("miss"),
+    )
+    far = written(first.where(F.col("miss") > NEAR).withColumnRenamed("source", "of"), "far")
+    if far.isEmpty():
+        return None
+    open_blocks = slim.where(F.col("needs") < F.col("words")).join(far, F.col("from").eqNullSafe(F.col("of"))).drop("of")
+    rows = _first_draw(sizes.join(open_blocks, same))
+    left = written(rows.where(_fits(F.col("short"))).select("from", "in_block", "at", "short", "size", _level().alias("on")), "left")
+
+    # The lowest level that fills the gap together with those below it; where none does, one above all.
+    by_level = Window.partitionBy("from").orderBy("on")
+    levels = left.groupBy("from", "short", "on").agg(F.sum("size").alias("n")).withColumn("upto", F.sum("n").over(by_level))
+    enough = F.col("upto") >= F.col("short")
+    chosen = levels.groupBy("from").agg(
+        F.coalesce(F.min(F.when(enough, F.col("on"))), F.max("on") + 1).alias("level"),
+        F.coalesce(F.max(F.when(~enough, F.col("upto"))), F.lit(0)).alias("base"),
+    ).withColumnRenamed("from", "of")
+    dealt = left.join(chosen, F.col("from").eqNullSafe(F.col("of"))).where("on = level")
+    cells = dealt.groupBy("from", "in_block", "at", "short", "base").agg(F.sum("size").alias("level_words"))
+    before = F.sum("level_words").over(Window.partitionBy("from").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    carry = F.col("short") - F.col("base") - F.coalesce(before, F.lit(0))
+    cells = cells.select(F.col("from").alias("c_from"), F.col("in_block").alias("c_block"), "level_words", carry.alias("carry"))
+    key = F.col("from").eqNullSafe(F.col("c_from")) & (F.col("in_block") == F.col("c_block"))
+    known = open_blocks.join(chosen, F.col("from").eqNullSafe(F.col("of"))).drop("of").join(cells, key, "left").drop("c_from", "c_block")
+    last = F.max(F.when((F.col("level") > 0) | (F.col("carry") > 0), F.col("at"))).over(Window.partitionBy("from"))
+    known = written(known.withColumn("visited", F.col("at") <= last), "known")
+
+    reached = _second_draw(_first_draw(sizes.join(known, same))).groupBy("from").agg(
+        F.abs(F.max("short") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("still"), F.max("miss").alias("was")
+    )
+    nearer = reached.where("still < was").select(F.col("from").alias("of"))
+    return known.join(nearer, F.col("from").eqNullSafe(F.col("of"))).select(
+        "from", "in_block", "short", "level", "carry", "level_words", "visited"
+    )
+
+
 def draws(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, shards: int = 16, seed: int = 23,
     id_column: str = "doc_id", text: str = "text", source: str = "source",
@@ -85,9 +178,12 @@ def draws(
 
     `size` is the number of words, `taken` the words the mix takes of the row, `copies` an array with `shard` and
     `shuffle_key` for each time it is taken, at most `MOST_REPEATS` times. A null text has size 0; a null source is a
-    source of its own. Rows equal in every column are interchangeable. The sum of `taken` over a source misses
-    its target by no more than the least that one row more or less of its last block can achieve. The same input always gives the same draws, in any order of
-    partitions. An empty table gives an empty result.
+    source of its own. Rows equal in every column are interchangeable. The sum of `taken` over a source misses its
+    target by `NEAR` words at most, if the rows of `NEAR` words and less that the last pass has left can fill the gap.
+    Otherwise all rows are taken that are shorter than half the longest that is needed to fill it, and the miss is at
+    most half a row of that length; where the rows that fit cannot fill it, all of them are taken, or one longer row
+    that comes closer. The same input always gives the same draws, in any order of partitions. An empty table gives an
+    empty result.
     """
     digest = F.md5(F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit("|"), F.coalesce(F.col(text), F.lit(""))))
     sized = docs.select(
@@ -96,24 +192,36 @@ def draws(
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         digest.alias("digest"),
     )
-    plan = written(targets(sized, weights), "targets").withColumn("blocks", F.ceil(F.col("rows") / ROWS_PER_BLOCK))
+    slim = written(sized.select("source", "size", "digest"), "sizes")
+    plan = written(targets(slim, weights), "targets").withColumn("blocks", F.ceil(F.col("rows") / ROWS_PER_BLOCK))
     plan = plan.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     plan = plan.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")).withColumnRenamed("source", "from")
-    keyed = sized.join(plan.select("from", "blocks"), F.col("source").eqNullSafe(F.col("from"))).drop("from")
-    keyed = keyed.withColumn("block", _number(F.col("digest")) % F.col("blocks")).drop("blocks")
+
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        keyed = rows.join(plan.select("from", "blocks"), F.col("source").eqNullSafe(F.col("from"))).drop("from")
+        return keyed.withColumn("block", _number(F.col("digest")) % F.col("blocks")).drop("blocks")
+
+    keyed, keyed_sizes = in_blocks(sized), in_blocks(slim)
 
     # Blocks in permuted order, and how many words of each the last pass still needs.
-    blocks = keyed.groupBy("source", "block").agg(F.sum("size").alias("words"))
+    blocks = keyed_sizes.groupBy("source", "block").agg(F.sum("size").alias("words"))
     place = F.md5(F.concat(F.coalesce("source", F.lit("")), F.lit("|"), F.col("block").cast("string")))
     order = Window.partitionBy("source").orderBy(place, "block")
     before = F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ordered = blocks.select("source", "block", (F.row_number().over(order) - 1).alias("at"), before.alias("before"))
+    ordered = blocks.select("source", "block", "words", (F.row_number().over(order) - 1).alias("at"), before.alias("before"))
     ordered = ordered.join(plan, F.col("source").eqNullSafe(F.col("from"))).drop("from", "rows")
     ordered = ordered.withColumn("needs", F.col("rest") - F.col("before"))
     ordered = written(ordered, "blocks")
+    further = _further(keyed_sizes, ordered)
+    if further is not None:
+        key = F.col("source").eqNullSafe(F.col("from")) & (F.col("block") == F.col("in_block"))
+        ordered = written(ordered.join(further, key, "left").drop("from", "in_block"), "further")
+    visited = F.col("needs") > 0
+    if further is not None:
+        visited = visited | F.coalesce(F.col("visited"), F.lit(False))
 
     # The tree: quotas per source, counted in block draws, cut into runs for the shards.
-    quota = F.max(F.col("passes") * F.col("blocks")) + F.count(F.when(F.col("needs") > 0, 1))
+    quota = F.max(F.col("passes") * F.col("blocks")) + F.count(F.when(visited, 1))
     counted = ordered.groupBy("source").agg(quota.cast("long").alias("quota")).orderBy(F.col("source").asc_nulls_last()).collect()
     split = split_quotas([r["quota"] for r in counted], shards, seed) if counted else []
     runs = docs.sparkSession.createDataFrame(
@@ -124,17 +232,11 @@ def draws(
     dealt = dealt.withColumnRenamed("source", "from").withColumnRenamed("block", "in_block")
 
     same = F.col("source").eqNullSafe(F.col("from")) & (F.col("block") == F.col("in_block"))
-    within = Window.partitionBy("source", "block").orderBy("digest").rowsBetween(Window.unboundedPreceding, 0)
-    joined = keyed.join(dealt, same).withColumn("upto", F.sum("size").over(within))
-    joined = joined.withColumn("again", (F.col("needs") > 0) & (F.col("upto") <= F.col("needs")))
-    # In the block that is drawn in part, the one row whose size comes closest to what is still missing goes in too.
-    whole = Window.partitionBy("source", "block")
-    missing = F.col("needs") - F.coalesce(F.max(F.when(F.col("again"), F.col("upto"))).over(whole), F.lit(0))
-    joined = joined.withColumn("missing", missing)
-    joined = joined.withColumn("off", F.abs(F.col("size") - F.col("missing")))
-    closest = F.row_number().over(whole.orderBy(F.col("again"), "off", "digest")) == 1
-    fills = ~F.col("again") & closest & (F.col("off") < F.col("missing"))
-    joined = joined.withColumn("times", (F.col("passes") + F.when(F.col("again") | fills, 1).otherwise(0)).cast("int"))
+    joined, once = _first_draw(keyed.join(dealt, same)), F.col("again") | F.col("fills")
+    if further is not None:
+        joined = _second_draw(joined)
+        once = F.col("again") | F.when(F.col("short").isNull(), F.col("fills")).otherwise(F.col("more"))
+    joined = joined.withColumn("times", (F.col("passes") + F.when(once, 1).otherwise(0)).cast("int"))
 
     def copy(k: Column) -> Column:
         drawn = k * F.col("blocks") + F.col("at")

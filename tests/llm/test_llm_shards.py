@@ -1,5 +1,6 @@
 """Shard shuffle and source mix."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -98,6 +99,37 @@ def test_sources_come_near_their_targets(spark, monkeypatch, per_block):
     assert set(shards) <= set(range(16)) and all(0 <= s < 16 for s in shards)
 
 
+@pytest.mark.parametrize("per_block", [40, 1024])
+def test_a_very_long_row_does_not_end_the_draw(spark, monkeypatch, per_block):
+    monkeypatch.setattr(mixing, "ROWS_PER_BLOCK", per_block)
+    rng = random.Random(6)
+    rows = [(i, corpora.sentence(rng, rng.randrange(1, 400), 99), ["a", "b", "c", None][i % 4]) for i in range(1200)]
+    long = corpora.sentence(rng, 30_000, 99)
+    for source in ("a", "b", "c", None):  # early in the order of digests
+        early = min(range(10_000, 10_400), key=lambda i: hashlib.md5(f"{i}|{long}".encode()).hexdigest())
+        rows.append((early, long, source))
+    drawn = mixing.draws(sourced(spark, rows)).select("row.*", "size", "target", "taken", "copies").collect()
+    assert Counter(r["doc_id"] for r in drawn) == Counter(r[0] for r in rows)
+    for source in ("a", "b", "c", None):
+        own = [r for r in drawn if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= mixing.NEAR
+        assert all(r["taken"] == len(r["copies"]) * r["size"] <= 3 * r["size"] for r in own)
+    assert all(0 <= c["shard"] < 16 for r in drawn for c in r["copies"])
+
+
+def test_rows_that_fit_are_drawn_before_long_ones_are_left(spark):
+    """Ordinary rows cannot fill the gap by themselves, so one level of longer rows is drawn up to it."""
+    rng = random.Random(8)
+    sizes = [*[3_000] * 12, *[200] * 20, 9]
+    rows = [(i, corpora.sentence(rng, n, 99), source) for source in ("a", "b", "c") for i, n in enumerate(sizes)]
+    long = corpora.sentence(rng, 30_000, 99)
+    early = min(range(10_000, 10_400), key=lambda i: hashlib.md5(f"{i}|{long}".encode()).hexdigest())
+    rows += [(early, long, source) for source in ("a", "b", "c")]
+    drawn = mixing.draws(sourced(spark, rows)).where("source = 'c'").select("size", "target", "taken").collect()
+    assert abs(sum(r["taken"] for r in drawn) - drawn[0]["target"]) <= 1_500
+    assert all(r["taken"] == r["size"] for r in drawn if r["size"] <= 200)
+
+
 def test_quotas_are_split_exactly():
     split = np.array(mixing.split_quotas([7, 0, 100, 31], 16, 3))
     assert split.sum(axis=1).tolist() == [7, 0, 100, 31]
