@@ -1,9 +1,10 @@
-"""Operator 8: removal of repeated passages by relative Lempel-Ziv parsing.
+"""Operator 8: removal of repeated passages, by a join on windows that takes the place of relative Lempel-Ziv parsing.
 
 The reference is the whole corpus, indexed by its windows of `length` words in blocks, one per partition of the window
 hashes. A document is factored against every block: all its windows that can occur elsewhere are looked up, and a
-factor is a maximal run of successive windows found in documents with smaller ids, taken greedily from the left. Each
-factor holds at least `length` words. Windows across the boundary of two factors are looked up like the others, so a
+factor is a run of successive windows whose first places in one document with a smaller id advance together, so that it
+occurs there as it stands. Each factor holds at least `length` words; it need not be the longest there is, since each
+window goes to the smallest id that has it. A greedy parsing would need the whole reference in one place. Windows across the boundary of two factors are looked up like the others, so a
 passage that continues in another reference document is found whole.
 
 To look up few windows, each has an anchor: the least hash of the `GRAM`-word runs in it. Equal windows have equal
@@ -95,11 +96,15 @@ def _emit(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
             )
 
 
-def factors(starts: np.ndarray, references: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """Greedy factors (first word, number of words, reference document) from the windows that were found."""
+def factors(starts: np.ndarray, references: np.ndarray, length: int, places: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+    """Factors (first word, number of words, reference document) from the windows found and their places there.
+
+    Without places, windows advance in their reference as they do in the document.
+    """
+    places = starts if places is None else places
     order = np.argsort(starts, kind="stable")
-    starts, references = starts[order], references[order]
-    cut = np.flatnonzero((np.diff(starts) != 1) | (np.diff(references) != 0)) + 1
+    starts, references, places = starts[order], references[order], places[order]
+    cut = np.flatnonzero((np.diff(starts) != 1) | (np.diff(references) != 0) | (np.diff(places) != 1)) + 1
     return [
         (int(run[0]), int(run[-1] - run[0]) + length, int(reference[0]))
         for run, reference in zip(np.split(starts, cut), np.split(references, cut), strict=True)
@@ -142,11 +147,13 @@ def repeated_passages(docs: DataFrame, length: int = 50, id_column: str = "doc_i
     found = candidates.select("doc_id", "anchors", "text").mapInArrow(
         lambda batches: _emit(batches, length), "window bigint, check int, doc bigint, starts array<int>"
     )
-    least = found.groupBy("window", "check").agg(F.min("doc").alias("reference"), F.max("doc").alias("largest"))
+    least = found.groupBy("window", "check").agg(
+        F.min("doc").alias("reference"), F.max("doc").alias("largest"), F.min_by(F.col("starts")[0], "doc").alias("place")
+    )
     # Written, so that the join below is one of two exchanges of their own and a frequent window can be split.
     least = written(least.where("reference < largest").drop("largest"), "reference")
-    hits = found.join(least, ["window", "check"]).where("reference < doc").select("doc", "reference", F.explode("starts").alias("start"))
-    hits = hits.groupBy("doc").agg(F.collect_set(F.struct("start", "reference")).alias("hits"))
+    hits = found.join(least, ["window", "check"]).where("reference < doc").select("doc", "reference", "place", F.explode("starts").alias("start"))
+    hits = hits.groupBy("doc").agg(F.collect_set(F.struct("start", "reference", "place")).alias("hits"))
     cleaned = candidates.join(hits, candidates["doc_id"] == hits["doc"]).select("same", "hits", "text")
     cleaned = cleaned.mapInArrow(
         lambda batches: _remove(batches, length),
@@ -182,7 +189,8 @@ def _remove(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         rows = []
         for i in range(batch.num_rows):
             hits = batch.column(1)[i].values
-            spans = factors(hits.field("start").to_numpy().astype(np.int64), hits.field("reference").to_numpy(), length)
+            start, reference, place = (hits.field(name).to_numpy().astype(np.int64) for name in ("start", "reference", "place"))
+            spans = factors(start, reference, length, place)
             parts = batch.column(2)[i].as_py().encode().split()
             gone = np.zeros(len(parts), dtype=bool)
             for start, size, _ in spans:

@@ -65,3 +65,14 @@ def test_factors_are_runs_with_one_reference():
 
     spans = substrings.factors(np.array([3, 4, 5, 9, 6]), np.array([1, 1, 1, 2, 7]), 10)
     assert spans == [(3, 12, 1), (6, 10, 7), (9, 10, 2)]
+
+
+def test_factors_occur_in_their_references(spark):
+    x = [f"x{i}" for i in range(1, 52)]
+    rows = [(1, " ".join([*x[:50], "y", *x[1:]])), (2, " ".join(x)), (3, " ".join(["z", *x[:50]]))]
+    got = substrings.repeated_passages(corpora.documents(spark, rows), 50).collect()
+    text = dict(rows)
+    spans = {r["doc_id"]: [tuple(f) for f in r["factors"]] for r in got}
+    assert spans[2] == [(0, 50, 1), (1, 50, 1)] and spans[3] == [(1, 50, 1)]
+    for d, own in spans.items():
+        assert all(" ".join(text[d].split()[start : start + n]) in text[reference] for start, n, reference in own)
