@@ -201,7 +201,7 @@ def divide_skip(
 
 
 def classes(docs: DataFrame, size: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """`doc_id`, `n_shingles` and `class` of each row; the class of a text without words is null."""
+    """`doc_id`, `n_shingles`, `class` and `row_key` of each row; the class of a text without words is null."""
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,12 +211,19 @@ def classes(docs: DataFrame, size: int, id_column: str = "doc_id", text: str = "
                     batch.column(0),
                     pa.array([n for n, _ in found], pa.int64()),
                     pa.array([c for _, c in found], pa.int64()),
+                    batch.column(2),
                 ],
-                names=["doc_id", "n_shingles", "class"],
+                names=["doc_id", "n_shingles", "class", "row_key"],
             )
 
     chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInArrow(of_batch, "doc_id bigint, n_shingles bigint, class bigint")
+    chosen = chosen.withColumn("row_key", _row_key())
+    return chosen.mapInArrow(of_batch, "doc_id bigint, n_shingles bigint, class bigint, row_key bigint")
+
+
+def _row_key() -> Column:
+    """A hash of id and text. By the id alone, rows that share one, or have none, would each meet the classes of all."""
+    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
 
 
 def candidates(docs: DataFrame, of_class: DataFrame, size: int, percent: int, text: str = "text") -> DataFrame:
@@ -258,25 +265,30 @@ def candidates(docs: DataFrame, of_class: DataFrame, size: int, percent: int, te
 
 def candidate_sets(docs: DataFrame, of_class: DataFrame, size: int, percent: int) -> DataFrame:
     """`class` and `shingles` of each candidate, from one document of its class."""
-    first = of_class.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    first = of_class.where("class is not null").groupBy("class").agg(F.min("row_key").alias("row_key"))
     wanted = candidates(docs, of_class, size, percent).join(first, "class")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [s for _, s in shingle_sets(batch.column(1), size)]
             hashes = [set_hash(s) if len(s) else None for s in found]
-            # An id that is repeated brings other texts along; those have another class.
+            # A key that two rows share by chance brings another text along; that one has another class.
             kept = [i for i, (h, c) in enumerate(zip(hashes, batch.column(0).to_pylist(), strict=True)) if h == c]
             yield pa.record_batch(
                 [batch.column(0).take(pa.array(kept, pa.int64())), pa.array([signed(found[i]) for i in kept], pa.list_(pa.int64()))],
                 names=["class", "shingles"],
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    matched = texts.join(wanted, texts["id"].eqNullSafe(wanted["doc_id"])).select("class", "text")
+    matched = _texts_of(docs, wanted)
     return matched.mapInArrow(sets_of, "class bigint, shingles array<bigint>").dropDuplicates(["class"])
 
 
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`class` and `text` of the rows whose keys are wanted."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.withColumn("row_key", _row_key()).join(wanted, "row_key").select("class", "text")
+
+
 def neighbourhoods(sets: DataFrame, percent: int) -> DataFrame:
     """`node` (a class) and `component`, its neighbourhood, for the sets that share a part with another one."""
     parts = Parts(percent)

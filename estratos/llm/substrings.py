@@ -67,8 +67,9 @@ def _profile(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
                 pa.array(signed(np.concatenate(same)) if same else [], pa.int64()),
                 pa.array(digests, pa.string()),
                 pa.array(anchors, pa.list_(pa.int64())),
+                batch.column(2),
             ],
-            names=["doc_id", "n_words", "same", "digest", "anchors"],
+            names=["doc_id", "n_words", "same", "digest", "anchors", "text_key"],
         )
 
 
@@ -124,21 +125,24 @@ def repeated_passages(docs: DataFrame, length: int = 50, id_column: str = "doc_i
     docs = docs.select(
         F.coalesce(F.col(id_column).cast("long"), last).alias("doc_id"), F.col(text).cast("string").alias("text")
     )
+    docs = docs.withColumn("text_key", F.xxhash64("text"))
     profile = written(
         docs.mapInArrow(
             lambda batches: _profile(batches, length),
-            "doc_id bigint, n_words bigint, same bigint, digest string, anchors array<bigint>",
+            "doc_id bigint, n_words bigint, same bigint, digest string, anchors array<bigint>, text_key bigint",
         ),
         "profile",
     )
     anchors = profile.select("same", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("same").alias("low"), F.max("same").alias("high"))
     shared = shared.where("low < high").select("anchor")
-    first = written(profile.groupBy("same").agg(F.min("doc_id").alias("first")), "first")
+    first = written(
+        profile.groupBy("same").agg(F.min("doc_id").alias("first"), F.min_by("text_key", "doc_id").alias("first_key")), "first"
+    )
     wanted = anchors.join(shared, "anchor").groupBy("same").agg(F.collect_set("anchor").alias("anchors"))
     wanted = wanted.join(first, "same")
     candidates = written(
-        docs.join(wanted, docs["doc_id"] == wanted["first"])
+        _texts_of(docs, wanted)
         .select("doc_id", "same", "anchors", "text")
         .mapInArrow(_same_only, "doc_id bigint, anchors array<bigint>, same bigint, text string")
         .dropDuplicates(["same"]),
@@ -159,11 +163,11 @@ def repeated_passages(docs: DataFrame, length: int = 50, id_column: str = "doc_i
         lambda batches: _remove(batches, length),
         "same bigint, n_removed bigint, kept_sha256 string, factors array<struct<start:int,n_words:int,reference:bigint>>",
     )
-    known = first.join(cleaned, "same", "left")
+    known = first.drop("first_key").join(cleaned, "same", "left")
     repeats = F.col("doc_id") > F.col("first")
     whole = repeats & (F.col("n_words") >= length)
     empty = F.lit(hashlib.sha256(b"").hexdigest())
-    return profile.drop("anchors").join(known, "same").select(
+    return profile.drop("anchors", "text_key").join(known, "same").select(
         F.when(F.col("doc_id") != last, F.col("doc_id")).alias("doc_id"),
         "n_words",
         F.when(whole, F.col("n_words")).when(repeats, 0).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
@@ -172,6 +176,11 @@ def repeated_passages(docs: DataFrame, length: int = 50, id_column: str = "doc_i
     )
 
 
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The row of each wanted text. By id alone, all rows of a frequent id (or without one) would meet all its texts."""
+    return docs.join(wanted, (docs["doc_id"] == wanted["first"]) & (docs["text_key"] == wanted["first_key"]))
+
+
 def _same_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Drop texts that only share the id with the text that was looked for."""
     for batch in batches:

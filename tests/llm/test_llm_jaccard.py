@@ -125,3 +125,13 @@ def test_components_of_random_graphs(spark):
 
 def test_components_without_edges(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_without_id_meet_their_own_class_only(spark, monkeypatch):
+    counts, join = [], jaccard._texts_of
+    monkeypatch.setattr(jaccard, "_texts_of", lambda *a: (counts.append(join(*a).count()), join(*a))[1])
+    rng = random.Random(9)
+    base = corpora.sentence(rng, 120, 10**6)
+    rows = [(None, f"{base} e{i}") for i in range(40)] + [(1, f"{base} f")]
+    assert found(corpora.documents(spark, rows), 3, 90) == sorted(brute(rows, 3, 90), key=repr)
+    assert counts == [41]

@@ -76,3 +76,13 @@ def test_factors_occur_in_their_references(spark):
     assert spans[2] == [(0, 50, 1), (1, 50, 1)] and spans[3] == [(1, 50, 1)]
     for d, own in spans.items():
         assert all(" ".join(text[d].split()[start : start + n]) in text[reference] for start, n, reference in own)
+
+
+def test_rows_without_id_meet_their_own_text_only(spark, monkeypatch):
+    counts, join = [], substrings._texts_of
+    monkeypatch.setattr(substrings, "_texts_of", lambda *a: (counts.append(join(*a).count()), join(*a))[1])
+    rng = random.Random(9)
+    shared = corpora.sentence(rng, 60, 10**6)
+    rows = [(None, f"{corpora.sentence(rng, 5, 10**6)} {shared}") for _ in range(40)] + [(1, shared)]
+    assert found(corpora.documents(spark, rows), 50) == brute(rows, 50)
+    assert counts == [41]
