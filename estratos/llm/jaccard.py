@@ -301,8 +301,10 @@ def neighbourhoods(sets: DataFrame, percent: int) -> DataFrame:
             yield pa.record_batch([pa.array(signed(keys), pa.int64()), pa.array(owners, pa.int64())], names=["key", "class"])
 
     keyed = sets.select("class", "shingles").mapInArrow(of_batch, "key bigint, class bigint")
-    least = F.min("class").over(Window.partitionBy("key"))
-    ties = keyed.select("class", least.alias("other")).where("other <> class")
+    # Pre-aggregated, and written, so that the join is one of two exchanges of their own and a frequent key can be split.
+    least = keyed.groupBy("key").agg(F.min("class").alias("other"), F.max("class").alias("high"))
+    least = written(least.where("other < high").select("key", "other"), "ties")
+    ties = keyed.join(least, "key").where("other <> class")
     return connected_components(ties.select(F.col("class").alias("a"), F.col("other").alias("b")))
 
 

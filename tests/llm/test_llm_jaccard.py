@@ -135,3 +135,16 @@ def test_rows_without_id_meet_their_own_class_only(spark, monkeypatch):
     rows = [(None, f"{base} e{i}") for i in range(40)] + [(1, f"{base} f")]
     assert found(corpora.documents(spark, rows), 3, 90) == sorted(brute(rows, 3, 90), key=repr)
     assert counts == [41]
+
+
+def test_ties_are_found_with_a_partial_step(spark, monkeypatch):
+    """A part that most sets share: no window gathers its rows, and the neighbourhoods are those of all pairs."""
+    plans = []
+    keep = lambda edges: (plans.append(edges._jdf.queryExecution().toString()), connected_components(edges))[1]
+    monkeypatch.setattr(jaccard, "connected_components", keep)
+    rng = random.Random(10)
+    base = rng.sample(range(1, 2**62), 200)
+    sets = [(i, sorted(set(base[: 200 - i % 3] + [i + 1]))) for i in range(60)]
+    near = jaccard.neighbourhoods(spark.createDataFrame(sets, "class bigint, shingles array<bigint>"), 90).collect()
+    assert {r["node"] for r in near} == set(range(60)) and {r["component"] for r in near} == {0}
+    assert "Window" not in plans[0] and "Join" in plans[0]
