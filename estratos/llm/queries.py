@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from estratos.llm import decontamination, hosts, jaccard, languages, mixing, oracles, quality, rules, sharding, substrings, warc
+from estratos.llm import (
+    decontamination, hosts, jaccard, languages, lexical, merkle, mixing, oracles, quality, rules, sharding, substrings,
+    vectors, warc,
+)
 
 QUERIES = {
     fn.__name__: fn
@@ -17,6 +20,9 @@ QUERIES = {
         substrings.op8_repeated_passages,
         mixing.op9_source_mix,
         jaccard.op10_jaccard_components,
+        lexical.op11_block_max_search,
+        vectors.op12_kd_tree_search,
+        merkle.op13_merkle_manifest,
     )
 }
 
@@ -27,4 +33,7 @@ ORACLES: dict[str, str] = {
     warc.op7_warc_members.__name__: oracles.WARC,
     substrings.op8_repeated_passages.__name__: oracles.PASSAGES,
     jaccard.op10_jaccard_components.__name__: oracles.COMPONENTS,
+    lexical.op11_block_max_search.__name__: lexical.ORACLE,
+    vectors.op12_kd_tree_search.__name__: vectors.ORACLE,
+    merkle.op13_merkle_manifest.__name__: merkle.ORACLE,
 }

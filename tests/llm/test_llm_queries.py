@@ -32,12 +32,15 @@ COLUMNS = {
     8: {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
     9: {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
     10: {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    11: {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+    12: {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
+    13: {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
 }
 
 
 def test_one_query_per_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
@@ -46,6 +49,10 @@ def test_columns_and_one_row_per_row(spark, sf, name):
     df = QUERIES[name](spark, sf)
     wanted = COLUMNS[int(re.match(r"op(\d+)_", name)[1])]
     assert wanted.items() <= dict(df.dtypes).items()
+    if "rank" in wanted:  # ten results for each query: here every query has that many
+        queries = read(spark, sf, "benchmark") if "item_id" in wanted else read(spark, sf, "embeddings").where("vec_id % 100 = 0")
+        assert df.count() == 10 * queries.count()
+        return
     table = "pages" if "page_id" in wanted else "documents"
     assert df.count() == read(spark, sf, table).count()
 
