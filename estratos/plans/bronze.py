@@ -67,7 +67,8 @@ def as_landed(table: str, raw: DataFrame) -> DataFrame:
 
 
 def _files(spark: SparkSession, folder: str, patterns: Sequence[str], encoding: str) -> DataFrame | None:
-    return readers.read_csv_by_name(spark, [f"{folder}/{pattern}" for pattern in patterns], encoding)
+    raw = readers.read_csv_by_name(spark, [f"{folder}/{pattern}" for pattern in patterns], encoding, flag_broken=True)
+    return None if raw is None else raw.where(~F.col(readers.BROKEN)).drop(readers.BROKEN)
 
 
 def arrivals_files(spark: SparkSession, folder: str, encoding: str = "UTF-8") -> DataFrame | None:
@@ -129,8 +130,8 @@ def balance_csv(
 class LoadReport:
     """IO21. Outcome of one load.
 
-    `rows_broken` are lines that are only part of a row (a line break in a quoted cell, read without `multiline`),
-    `dates_unreadable` date texts in no known format; both are counted in the pass that writes. `distinct` holds
+    `rows_broken` are lines that are only part of a row (a quoted cell that is never closed, or, read with
+    `multiline=False`, the lines of one with a break), `dates_unreadable` date texts in no known format; both are counted in the pass that writes. `distinct` holds
     numbers of distinct keys, `latest` the last row by year, `preview` the first rows as they were written.
     """
 
@@ -214,15 +215,15 @@ def load(
     on: date | None = None,
     encoding: str = "UTF-8",
     min_year: int | None = None,
-    multiline: bool = False,
+    multiline: bool = True,
 ) -> LoadReport:
     """IO1, IO3, IO4, IO16, IO6, IO21. Load one landed CSV dataset into bronze.
 
     `landed` is a path of files with one header, or a list of name patterns for files with several. Arrivals
     and occupancy found by pattern are kept as landed (B1, B2), those at a path are conformed (B4, B5). The
     landed files are archived before they are parsed; a failure to archive is raised. The fallback is used when
-    nothing has landed, the files cannot be read, or no valid row is left. Cells with line breaks need `multiline`;
-    without it the lines of such rows are left out and counted.
+    nothing has landed, the files cannot be read, or no valid row is left. Cells may hold line breaks.
+    `multiline=False` says that none does, which saves a pass; the lines of one that does are left out and counted.
     """
     headers = conform.HeaderReport()
     raw: DataFrame | None = None
@@ -230,10 +231,9 @@ def load(
 
     def conformed(broken: Observation | None = None, read: Observation | None = None) -> DataFrame:
         whole = raw
-        if not multiline:
-            if broken is not None:
-                whole = whole.observe(broken, F.count_if(readers.BROKEN).alias("rows_broken"))
-            whole = whole.where(~F.col(readers.BROKEN)).drop(readers.BROKEN)
+        if broken is not None:
+            whole = whole.observe(broken, F.count_if(readers.BROKEN).alias("rows_broken"))
+        whole = whole.where(~F.col(readers.BROKEN)).drop(readers.BROKEN)
         if not filtered:
             return as_landed(table, whole)
         return FILTERED[table](whole, MIN_YEARS[table] if min_year is None else min_year, read)
@@ -241,7 +241,7 @@ def load(
     def primary() -> DataFrame | None:
         nonlocal headers, raw
         read = readers.read_csv if isinstance(landed, str) else readers.read_csv_by_name
-        raw = read(spark, landed, encoding, multiline, flag_broken=not multiline)
+        raw = read(spark, landed, encoding, multiline, flag_broken=True)
         if raw is None:
             return None
         columns = [name for name in raw.columns if name != readers.BROKEN]
@@ -256,7 +256,7 @@ def load(
     broken = read = None
     if source == LANDED:
         # What is read, broken or unreadable is counted in the same pass that writes the rows kept.
-        broken = None if multiline else Observation(f"broken-{uuid.uuid4().hex}")
+        broken = Observation(f"broken-{uuid.uuid4().hex}")
         read = Observation(f"read-{uuid.uuid4().hex}") if filtered else None
         rows = conformed(broken, read)
     try:

@@ -29,8 +29,9 @@ class RunConfig:
     for drops of differing headers, or a path of JSON answers for the indicator datasets. `fallbacks` holds a
     conformed frame for each dataset. `departments` is the seed CSV or a frame. The year limits, by dataset,
     replace the defaults of the bronze loads and of the cleaned tables. `encoding` names the encoding of the landed
-    files of a dataset where it is not UTF-8, `multiline` the datasets whose cells may hold line breaks. With `database` the gold tables are
-    also made known to the catalogue there, as in `gold.fct_tourism_arrivals`.
+    files of a dataset where it is not UTF-8, `one_line` the datasets in whose cells there are no line
+    breaks, which saves a pass over their files. With `database` the gold tables are also made known to the catalogue
+    there, as in `gold.fct_tourism_arrivals`.
     """
 
     root: str
@@ -42,7 +43,7 @@ class RunConfig:
     calendar_start: str = fixed.CALENDAR_START
     calendar_end: str = fixed.CALENDAR_END
     encoding: Mapping[str, str] = field(default_factory=dict)
-    multiline: Sequence[str] = ()
+    one_line: Sequence[str] = ()
     bronze_min_years: Mapping[str, int] = field(default_factory=dict)
     min_years: Mapping[str, int] = field(default_factory=dict)
     threads: int = 4
@@ -73,7 +74,7 @@ def load_bronze(spark: SparkSession, config: RunConfig) -> list[bronze.LoadRepor
         if table in bronze.INDICATOR_TABLES:
             return bronze.load_indicators(*source, **common)
         return bronze.load(
-            *source, **common, encoding=config.encoding.get(table, "UTF-8"), multiline=table in config.multiline
+            *source, **common, encoding=config.encoding.get(table, "UTF-8"), multiline=table not in config.one_line
         )
 
     with ThreadPoolExecutor(config.threads) as pool:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import logging
 from collections.abc import Callable, Sequence
 from urllib.parse import unquote
@@ -17,6 +19,8 @@ from estratos.operators.conform import with_country_name, with_indicator_name
 from estratos.operators.quality import MissingColumns, require_columns
 from estratos.operators.sets import concat_by_name
 from estratos.schemas import DEPARTMENT_SEED, INDICATOR_RECORDS
+from estratos.session import scratch_path
+from estratos.sources import records
 
 log = logging.getLogger(__name__)
 
@@ -24,7 +28,7 @@ log = logging.getLogger(__name__)
 def csv_options(encoding: str = "UTF-8", multiline: bool = False) -> dict[str, str]:
     """Options shared by batch and streaming: header, quotes doubled inside quotes, bad bytes replaced.
 
-    With `multiline` a quoted cell may hold line breaks, but a file can then not be split between tasks.
+    `multiline` is Spark's own way to read line breaks in quoted cells, in which a file is one task.
     """
     return {
         "header": "true",
@@ -52,11 +56,7 @@ BROKEN = "_broken_row"
 
 
 def _rows(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], options: dict[str, str], flag: bool) -> DataFrame:
-    """All columns as text. A line is part of a row if it lacks cells and holds a quote that is not closed.
-
-    Where the last cell of a row is the broken one, its first line lacks nothing; it stays, with the cell cut off, and
-    the lines after it are flagged.
-    """
+    """All columns as text. A line is part of a row if it lacks cells and holds a quote that is not closed."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     if not flag:
         return null_tokens_to_null(spark.read.schema(schema).options(**options).csv(paths))
@@ -70,18 +70,65 @@ def _rows(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], opt
     return null_tokens_to_null(flagged.drop("_line"), [BROKEN])
 
 
+def record_rows(found: DataFrame, columns: Sequence[str], flag: bool) -> DataFrame:
+    """IO3. The rows of `records.csv_records`, every column text; headers are left out.
+
+    With `flag` the column `BROKEN` tells the first line of a cell that its file never closes.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    ddl = ", ".join("`" + f.name.replace("`", "``") + "` string" for f in schema)
+    cells = F.from_csv("record", ddl, {"quote": '"', "escape": '"', "multiLine": "true"}).alias("cells")
+    parsed = found.where(~F.col("header")).select(cells, F.col("broken").alias(BROKEN))
+    parsed = parsed.select("cells.*", *([BROKEN] if flag else []))
+    return null_tokens_to_null(parsed, [BROKEN])
+
+
+def header_columns(header: str) -> list[str]:
+    """The column names of a header record; an empty name is `_c0` by its place, a repeated one gets its place added."""
+    names = next(csv.reader(io.StringIO(header, newline="")), [])
+    folded = [name.lower() for name in names]
+    return [
+        f"_c{i}" if not name.strip() else f"{name}{i}" if folded.count(name.lower()) > 1 else name
+        for i, name in enumerate(names)
+    ]
+
+
+def found_records(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    """IO3. The records of files with line breaks in their cells. Their lines are written to the scratch folder first."""
+    staged = scratch_path(spark, "csv-lines")
+    lines = records.with_lines(records.text_scan(spark, files, encoding))
+    lines.select("path", "block", "pos", records.text_of(encoding).alias("value")).write.parquet(staged)
+    lines = spark.read.schema("path string, block long, pos long, value string").parquet(staged)
+    return records.csv_records(lines, scratch_path(spark, "csv-blocks"))
+
+
 def read_csv(
-    spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8", multiline: bool = False,
+    spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8", multiline: bool = True,
     flag_broken: bool = False,
 ) -> DataFrame:
     """IO2, IO3, IO19. CSV files that share one header, every column text.
 
-    A cell with a line break is read whole with `multiline` only. Without it each of its lines is a row of its own;
-    `flag_broken` adds the column `BROKEN`, which tells them.
+    Cells may hold line breaks: a first pass looks for lines that leave a cell open. Files without one are read as they
+    are, the others by their records, and both kinds are split between tasks. With `multiline=False` the caller says
+    that no cell holds a break, which saves that pass; the lines of a row that does are then rows of their own.
+    `flag_broken` adds the column `BROKEN`, which tells the lines that are only part of a row.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    options = csv_options(encoding, multiline)
+    whole_files = multiline and not records.has_lines(encoding)
+    options = csv_options(encoding, whole_files)
     raw = spark.read.options(**options).csv(paths)
+    if multiline and not whole_files:
+        files = list_files(spark, paths)
+        broken = [path for path, (_, opens) in surveyed(spark, files, encoding, True).items() if opens]
+        if broken:
+            found = found_records(spark, broken, encoding)
+            header = found.where("header").select("record").first()
+            columns = header_columns(header["record"])
+            frames = [record_rows(found, columns, flag_broken)]
+            plain = sorted(set(files) - set(broken))
+            if plain:
+                frames.append(_rows(spark, plain, columns, options, flag_broken))
+            return concat_by_name(frames)
     if not flag_broken:
         return null_tokens_to_null(raw)
     return _rows(spark, paths, raw.columns, options, True)
@@ -104,38 +151,67 @@ def list_files(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
     return list(found)
 
 
+def surveyed(spark: SparkSession, files: Sequence[str], encoding: str, breaks: bool) -> dict[str, tuple[str, bool]]:
+    """For each file its first line that is not blank and, with `breaks`, whether a line of it leaves a cell open.
+
+    One job, however many files there are; without `breaks` only their first blocks count. Empty files are left out.
+    """
+    lines = records.with_lines(records.text_scan(spark, files, encoding))
+    if not breaks:
+        lines = lines.where("block = 0")
+    head = (F.col("block") == 0) & (F.trim("value") != "")
+    first = F.min(F.when(head, F.struct("pos", "value", "raw"))).alias("first")
+    opens = F.bool_or(records.opens_cell(F.col("value"))) if breaks else F.lit(False)
+    found = lines.groupBy("path").agg(first, opens.alias("opens")).where("first is not null")
+    found = found.select("path", "opens", "first.value", "first.raw")
+    found = found.select("path", "opens", records.text_of(encoding).alias("header"))
+    return {unquote(row["path"]): (row["header"], row["opens"]) for row in found.orderBy("path").toLocalIterator()}
+
+
 def files_by_header(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> dict[str, list[str]]:
     """IO1. The files of each header line, found in one job however many files there are; empty files are left out."""
-    lines = spark.read.option("lineSep", "\n").text(list(files)).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), F.col("value").cast("binary").alias("value"),
-    )
-    first = lines.where("block = 0").groupBy("path").agg(F.min_by("value", "line").alias("value"))
-    first = first.select("path", F.rtrim(F.decode("value", encoding), F.lit("\r")).alias("header"))
     groups: dict[str, list[str]] = {}
-    for row in first.orderBy("path").toLocalIterator():
-        groups.setdefault(row["header"], []).append(unquote(row["path"]))
+    for path, (header, _) in surveyed(spark, files, encoding, False).items():
+        groups.setdefault(header, []).append(path)
     return groups
 
 
 def read_csv_by_name(
-    spark: SparkSession, patterns: Sequence[str], encoding: str = "UTF-8", multiline: bool = False,
+    spark: SparkSession, patterns: Sequence[str], encoding: str = "UTF-8", multiline: bool = True,
     flag_broken: bool = False,
 ) -> DataFrame | None:
-    """IO1. All CSV files matching any pattern, concatenated by column name; None if there is no file.
+    """IO1, IO3. All CSV files matching any pattern, concatenated by column name; None if there is no file.
 
     Spark reads the columns of several files by position, so files are read in groups of equal header. One job finds
-    the header lines; each different one is then looked at once.
+    the header lines, and, as in `read_csv`, the files with line breaks in their cells; each different header is then
+    looked at once.
     """
     files = list_files(spark, patterns)
     if not files:
         return None
-    options = csv_options(encoding, multiline)
-    frames = []
-    for paths in files_by_header(spark, files, encoding).values():
+    whole_files = multiline and not records.has_lines(encoding)
+    options = csv_options(encoding, whole_files)
+    if whole_files:
+        return concat_by_name([null_tokens_to_null(spark.read.options(**options).csv(path)) for path in files])
+    frames, groups, broken = [], {}, []
+    for path, (header, opens) in surveyed(spark, files, encoding, multiline).items():
+        if opens:
+            broken.append(path)
+        else:
+            groups.setdefault(header, []).append(path)
+    for paths in groups.values():
         columns = spark.read.options(**options).csv(paths[0]).columns
         if columns:
             frames.append(_rows(spark, paths, columns, options, flag_broken))
+    if broken:
+        found = found_records(spark, broken, encoding)
+        heads = found.where("header").select("path", "record")
+        of_header: dict[str, list[str]] = {}
+        for row in heads.orderBy("path").toLocalIterator():
+            of_header.setdefault(row["record"], []).append(row["path"])
+        for header, paths in of_header.items():
+            own = found if len(of_header) == 1 else found.where(F.col("path").isin(paths))
+            frames.append(record_rows(own, header_columns(header), flag_broken))
     return concat_by_name(frames) if frames else None
 
 

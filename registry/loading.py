@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from estratos.functions import lenient_double, lenient_int, title_case
 from estratos.operators import conform
@@ -629,8 +630,8 @@ def _new_files_stream(spark, sf):
     land(events.where(~early), f"{root}/landing", mode="append")
     third = load()
     runs = {"first_run": first, "second_run": second, "third_run": third}
-    schema = "event_id bigint, event_date date, event_type string, value double, k int"
-    out = spark.read.schema(schema).parquet(f"{root}/sink").drop(landing.RUN)
+    schema = T.StructType.fromDDL("event_id bigint, event_date date, event_type string, value double, k int")
+    out = landing.loaded_rows(spark, f"{root}/sink", schema)
     return out.withColumns({name: F.lit(n).cast("bigint") for name, n in runs.items()})
 
 
@@ -746,7 +747,7 @@ def _mixed_date_texts(spark, sf):
         from orders where o_orderkey % 4 <> 0 group by all""",
 )
 def _quoted_line_breaks(spark, sf):
-    """Cells with line breaks through a whole load: kept with `multiline`; else their lines are left out and counted."""
+    """Cells with line breaks through a whole load: kept; where the caller said there are none, left out and counted."""
     orders = bindings.table(spark, sf, "orders")
     fallback = bindings.arrivals(spark, sf)
     parts = []
@@ -770,6 +771,46 @@ def _quoted_line_breaks(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+_FIRST, _MIDDLE, _LAST = "o_orderpriority || chr(10) || chr(10) || 'x'", "'a \"b\",' || chr(10) || 'c' || chr(10) || o_orderstatus", "'p' || chr(10)"
+
+
+@register(
+    "line_breaks_in_any_cell", "IO3 B1 B4 ST1",
+    f"""with rows as (
+          select {_FIRST} as country_of_origin, {_MIDDLE} as entry_point, {_LAST} as travel_purpose,
+                 cast(count(*) as bigint) as num_rows, cast(sum(o_orderkey) as bigint) as visitors
+          from orders group by all)
+        select 'load' as way, * from rows union all select 'drop', * from rows union all select 'stream', * from rows""",
+)
+def _line_breaks_in_any_cell(spark, sf):
+    """Cells of two and three lines in the first, a middle and the last column, by a load, a drop folder and a stream."""
+    orders = bindings.table(spark, sf, "orders")
+    raw = orders.select(
+        F.concat("o_orderpriority", F.lit("\n\nx")).alias("pais"), F.year("o_orderdate").alias("anio"),
+        F.concat(F.lit('a "b",\nc\n'), "o_orderstatus").alias("via"), F.month("o_orderdate").alias("mes"),
+        F.col("o_orderkey").alias("llegadas"), F.lit("p\n").alias("motivo"),
+    )
+    root = scratch_path(spark, "any-cell")
+    land(raw, f"{root}/arrivals.csv")
+    bronze.load(spark, "arrivals", f"{root}/arrivals.csv", bindings.arrivals(spark, sf), f"{root}/out", min_year=1990)
+    landing.load_new_files(
+        spark, f"{root}/arrivals.csv", raw.columns, lambda rows: bronze.arrivals_csv(rows, min_year=1990),
+        f"{root}/sink", f"{root}/checkpoint",
+    )
+    ways = {
+        "load": readers.read_table(spark, f"{root}/out", BRONZE["arrivals"]),
+        "drop": bronze.arrivals_files(spark, root),
+        "stream": landing.loaded_rows(spark, f"{root}/sink", BRONZE["arrivals"]),
+    }
+    parts = [
+        rows.groupBy("country_of_origin", "entry_point", "travel_purpose").agg(
+            F.count(F.lit(1)).alias("num_rows"), F.sum("number_of_visitors").alias("visitors")
+        ).select(F.lit(way).alias("way"), "*")
+        for way, rows in ways.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register(
     "load_report", "IO21 AG15 DQ7",
     sql(

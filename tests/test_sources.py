@@ -1,4 +1,8 @@
+import csv
+import io
 import json
+import random
+import re
 from datetime import date
 from pathlib import Path
 
@@ -67,6 +71,55 @@ def test_line_breaks_in_cells(spark, tmp_path):
     assert readers.read_csv(spark, path, multiline=True).first().a == "x\ny"
 
 
+@pytest.fixture
+def tiny_blocks(spark):
+    """Files are split into blocks of some hundred bytes, so cells and quotes lie across them."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    spark.conf.set(names[0], "400")
+    spark.conf.set(names[1], "1")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_cells_over_many_blocks(spark, tmp_path, tiny_blocks):
+    """Random cells of quotes, commas and breaks, some longer than a block, against Python's own reader; two headers."""
+    rng, want = random.Random(4), []
+    for k in range(3):
+        cells = lambda n: "".join(rng.choice(["a", " ", '"', ",", "\n", "\r\n", "xyz", "é"]) for _ in range(rng.randrange(n)))  # noqa: B023, E731
+        rows = [[cells(9) if rng.random() < 0.3 else "plain", cells(9) if i != 20 else cells(900) + ".", f"{k}-{i}"] for i in range(40)]
+        names = ["a", "b\nreak" if k == 2 else "b", "c"]
+        text = io.StringIO(newline="")
+        csv.writer(text, lineterminator="\n").writerows([names, *rows])
+        (tmp_path / f"{k}.csv").write_bytes(text.getvalue().encode())
+        want += [(k == 2, *row) for row in rows]
+    got = readers.read_csv_by_name(spark, [f"{tmp_path}/*.csv"])
+    # A carriage return before a line feed inside a cell is part of the line end, an empty cell is null.
+    clean = lambda c: re.sub("\r+\n", "\n", c).rstrip("\r") or None
+    own = [(r["b\nreak"] is not None, r.a, r.b if r.b is not None else r["b\nreak"], r.c) for r in got.collect()]
+    assert sorted(map(str, [(*(x and clean(x) for x in r[1:]),) for r in own])) == sorted(map(str, [tuple(map(clean, r[1:])) for r in want]))
+    assert got.columns == ["a", "b", "c", "b\nreak"]
+
+
+def test_only_files_with_breaks_are_read_by_their_records(spark, tmp_path):
+    put(tmp_path / "in/a.csv", 'a,b\n1,"x"\n2,y\n')
+    put(tmp_path / "in/b.csv", 'a,b\r\n3,"x\r\ny"\r\n\r\n4,"z, ""q"""\r\n')
+    put(tmp_path / "in/c.csv", "")
+    found = readers.surveyed(spark, readers.list_files(spark, [f"{tmp_path}/in"]), "UTF-8", True)
+    assert {path.rpartition("/")[2]: f for path, f in found.items()} == {"a.csv": ("a,b", False), "b.csv": ("a,b", True)}
+    got = readers.read_csv(spark, f"{tmp_path}/in", flag_broken=True)
+    assert sorted(map(tuple, got.collect())) == [("1", "x", False), ("2", "y", False), ("3", "x\ny", False), ("4", 'z, "q"', False)]
+
+
+def test_line_breaks_in_other_character_sets(spark, tmp_path):
+    (tmp_path / "l1.csv").write_bytes('año,país\n2020,"Perú\nñ"\n'.encode("latin-1"))
+    (tmp_path / "u16.csv").write_bytes('año,país\n2020,"Perú\nñ"\n'.encode("utf-16"))
+    for name, encoding in (("l1", "ISO-8859-1"), ("u16", "UTF-16")):
+        df = readers.read_csv(spark, f"{tmp_path}/{name}.csv", encoding=encoding)
+        assert df.columns == ["año", "país"] and tuple(df.first()) == ("2020", "Perú\nñ")
+
+
 def answer(indicator, country, values):
     records = [
         {"indicator": {"id": indicator, "value": "a long name"}, "country": {"id": country, "value": "Somewhere"}, "date": str(year), "value": value}
@@ -129,9 +182,10 @@ def test_headers_of_many_files_take_one_job(spark, tmp_path):
 
 def test_lines_of_a_broken_row_are_flagged(spark, tmp_path):
     path = put(tmp_path / "m.csv", 'a,b,c\n1,"x\ny",2\n3,"p ""q""",4\n5,short\n')
-    rows = readers.read_csv(spark, path, flag_broken=True).collect()
+    rows = readers.read_csv(spark, path, multiline=False, flag_broken=True).collect()
     assert [(r.a, r[readers.BROKEN]) for r in rows] == [("1", True), ('y"', True), ("3", False), ("5", False)]
-    assert readers.read_csv(spark, path, flag_broken=True).where(readers.BROKEN).count() == 2
+    assert readers.read_csv(spark, path, multiline=False, flag_broken=True).where(readers.BROKEN).count() == 2
+    assert [tuple(r) for r in readers.read_csv(spark, path).orderBy("a").collect()] == [("1", "x\ny", "2"), ("3", 'p "q"', "4"), ("5", "short", None)]
 
 
 def test_unreadable_files_lead_to_the_fallback_and_other_failures_do_not(spark, rows, tmp_path):
@@ -178,7 +232,7 @@ def test_a_load_counts_what_it_could_not_read(spark, rows, tmp_path):
     lines = ["fecha_llegada,pais,llegadas", "15/03/2022,Chile,5", "sin fecha,Chile,6", '2022-04-01,"Costa', 'Rica",7', "2022-05-01,Perú,8"]
     put(tmp_path / "in.csv", "\n".join(lines) + "\n")
     fallback = rows([], BRONZE["arrivals"])
-    report = bronze.load(spark, "arrivals", f"{tmp_path}/in.csv", fallback, f"{tmp_path}/out")
+    report = bronze.load(spark, "arrivals", f"{tmp_path}/in.csv", fallback, f"{tmp_path}/out", multiline=False)
     assert (report.source_used, report.num_rows, report.rows_broken, report.dates_unreadable) == ("landed", 2, 2, 1)
     assert report.distinct == {"country_of_origin_count": 2, "destination_department_count": 1}
     assert report.latest["country_of_origin"] == "Perú" and len(report.preview) == 2
