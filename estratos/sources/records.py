@@ -113,25 +113,26 @@ def blocks_of(lines: DataFrame) -> DataFrame:
 def csv_records(lines: DataFrame, scratch: str) -> DataFrame:
     """`path`, `record`, `header` (the first one of its file) and `broken` of each record; blank ones are left out.
 
-    `lines` has `path`, `block`, `pos` and `value`, the text, and must be a written table. The state of its blocks, a row each, is
-    written under `scratch`. Lines of one record are joined with line feeds. A task holds the lines of one block, of
-    those that need it, or of one record.
+    `lines` has `path`, `block`, `pos` and `value`, the text, and must be a written table. Lines of one record are
+    joined with line feeds. A task holds the lines of one block, of those that need it, or of one record. What is found
+    on the way is written under `scratch`: the state of the blocks, a row each, and the records of open blocks.
     """
     spark = lines.sparkSession
-    blocks_of(lines).write.mode("overwrite").parquet(scratch)
-    blocks = spark.read.schema("path string, block long, opens boolean, begins boolean, unclosed boolean").parquet(scratch)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
+    open_blocks = kept(blocks_of(lines), "blocks").where("opens or begins")
     blank = F.trim("value") == ""
-    open_blocks = blocks.where("opens or begins")
-    if open_blocks.isEmpty():
-        singles, joined = lines, None
-    else:
+    singles, joined = lines, None
+    if not open_blocks.isEmpty():
         singles = lines.join(open_blocks.select("path", "block"), ["path", "block"], "left_anti")
-        joined = _joined_lines(lines, open_blocks)
-    single = singles.where(~blank).select(
+        joined = kept(_joined_lines(kept(_placed_lines(lines, open_blocks), "placed")), "records")
+    every = singles.where(~blank).select(
         "path", "block", "pos", F.col("value").alias("record"), F.lit(False).alias("broken")
     )
-    every = single if joined is None else single.unionAll(joined)
-    # Only the first block that has a record can hold the header; all blocks before it are blank.
+    every = every if joined is None else every.unionAll(joined)
     first = every.groupBy("path").agg(F.min(F.struct("block", "pos")).alias("first"))
     first = first.select("path", "first.block", "first.pos", F.lit(True).alias("header"))
     return every.join(first, ["path", "block", "pos"], "left").select(
@@ -139,25 +140,30 @@ def csv_records(lines: DataFrame, scratch: str) -> DataFrame:
     )
 
 
-def _joined_lines(lines: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The records of blocks that open cells or begin inside one."""
+def _placed_lines(lines: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The lines of blocks that open cells or begin inside one: `begun` (a record begins there) and `start`, the `pos` of
+    the last one that has begun in this block."""
     own = lines.join(blocks, ["path", "block"]).withColumns(
         {"outside": opens_cell(F.col("value")), "inside": _stays_in_cell(F.col("value"))}
     )
     frame = Window.partitionBy("path", "block").orderBy("pos")
     after = F.when(F.col("begins"), F.col("from_inside")).otherwise(F.col("from_outside"))
     placed = _composed(own, ["path", "block"], "pos", "outside", "inside").withColumn("after", after)
-    begun = ~F.coalesce(F.lag("after").over(frame), F.col("begins"))
-    placed = placed.withColumn("begun", begun).withColumn("start", F.last(F.when(F.col("begun"), F.col("pos")), True).over(frame))
+    placed = placed.withColumn("begun", ~F.coalesce(F.lag("after").over(frame), F.col("begins")))
+    start = F.last(F.when(F.col("begun"), F.col("pos")), ignorenulls=True).over(frame)
+    return placed.select("path", "block", "pos", "value", "unclosed", "begun", start.alias("start"))
+
+
+def _joined_lines(placed: DataFrame) -> DataFrame:
+    """`path`, `block`, `pos`, `record` and `broken` of the records of `_placed_lines`."""
     # A block that begins inside a cell goes on with the last record that began before it.
     last = placed.groupBy("path", "block").agg(F.max("start").alias("start"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     begins = F.when(F.col("start").isNotNull(), F.struct("block", "start"))
-    carried = last.select("path", "block", F.last(begins, True).over(before).alias("carried"))
+    carried = last.select("path", "block", F.last(begins, ignorenulls=True).over(before).alias("carried"))
     ends = last.select("path", begins.alias("at")).groupBy("path").agg(F.max("at").alias("last"))
-    placed = placed.join(carried, ["path", "block"]).join(ends, "path")
     home = F.when(F.col("start").isNotNull(), F.struct("block", "start")).otherwise(F.col("carried"))
-    placed = placed.withColumn("home", home)
+    placed = placed.join(carried, ["path", "block"]).join(ends, "path").withColumn("home", home)
     # The record that is never closed falls apart into its lines.
     loose = F.col("unclosed") & (F.col("home") == F.col("last"))
     placed = placed.select(

@@ -100,14 +100,11 @@ def publish(spark: SparkSession, sink: str, run: Run) -> None:
 
 def published(spark: SparkSession, sink: str) -> list[Run]:
     """ST1. The published runs of a sink in order, one for each time that files had landed."""
-    try:
-        entries = spark.read.schema("run long, folder string, files long, rows_read long, rows_kept long").json(
-            f"{sink}/{MANIFEST}/{RUN}-*.json"
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    files, at = _file_system(spark, sink)
+    pattern = f"{sink}/{MANIFEST}/{RUN}-*.json"
+    if not files.globStatus(at(pattern)):
         return []
+    entries = spark.read.schema("run long, folder string, files long, rows_read long, rows_kept long").json(pattern)
     return [Run(*row) for row in entries.orderBy("run").collect()]
 
 
