@@ -9,37 +9,47 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The most rows a side may have, by proof, to be sent to every executor.
+# The most rows a side may have, by proof or by a check, to be sent to every executor.
 BROADCAST_ROWS = 200_000
 
 
-def bounded_join(
-    big: DataFrame, small: DataFrame, domains: Mapping[str, tuple[int, int]], null_safe: bool = False
-) -> DataFrame:
-    """Inner join with a side that has one row per key, the keys being integers.
+def bounded_lookup(big: DataFrame, small: DataFrame, domains: Mapping[str, tuple[int, int]]) -> DataFrame:
+    """`big` with the other columns of `small`, which has one row for each key that `big` holds, the keys being integers.
 
-    With the key columns inside their domains the small side has at most the product of the domain sizes:
-    that part is broadcast and the big side is not shuffled. Rows with a key outside (a corrupt year) are
-    joined by shuffle, so the result is whole whatever the data holds; on a scan their filter skips all row
-    groups without such keys. If the domains are too large to prove a useful bound, everything is shuffled.
-    With `null_safe` null keys match each other.
+    `small` becomes one value of the plan, a scalar subquery, and the look-up an expression on the rows of `big`: those
+    are read once, and neither shuffled nor joined. Keys inside their domains are places of an array, at most the
+    product of the domain sizes. Keys outside (null, or a corrupt year) are few and go through a map; more than
+    `BROADCAST_ROWS` of them are an error that says what to do. If the domains are too large to prove a useful bound,
+    the two are joined by shuffle, null keys with null keys.
     """
-    bound = math.prod(high - low + 1 for low, high in domains.values())
-    if bound > BROADCAST_ROWS:
-        return _equal_keys(big, small, list(domains), null_safe)
-    inside_big, inside_small, outside = big, small, F.lit(False)
+    keys, values = list(domains), [name for name in small.columns if name not in domains]
+    if math.prod(high - low + 1 for low, high in domains.values()) > BROADCAST_ROWS:
+        return equal_keys(big, small, keys)
+    inside, place = F.lit(True), F.lit(0).cast("int")
     for key, (low, high) in domains.items():
-        inside_big = inside_big.where(F.col(key).between(low, high))
-        inside_small = inside_small.where(F.col(key).between(low, high))
-        outside = outside | (F.col(key) < low) | (F.col(key) > high) | F.col(key).isNull()
-    near = _equal_keys(inside_big, F.broadcast(inside_small), list(domains), False)
-    far = _equal_keys(big.where(outside), small.where(outside), list(domains), null_safe)
-    return near.unionByName(far)
-
-
-def _equal_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    if not null_safe:
-        return left.join(right, list(keys), "inner")
+        inside = inside & F.coalesce(F.col(key).between(low, high), F.lit(False))
+        place = place * (high - low + 1) + (F.col(key) - low).cast("int")
+    place = F.when(inside, place)
+    name = F.concat_ws("/", *[F.coalesce(F.col(key).cast("string"), F.lit("-")) for key in keys])
+    entry = F.struct(*values)
+    table = small.agg(
+        F.min(place).alias("low"), F.max(place).alias("high"),
+        F.map_from_entries(F.collect_list(F.when(inside, F.struct(place, entry)))).alias("near"),
+        F.map_from_entries(F.collect_list(F.when(~inside, F.struct(name, entry)))).alias("far"),
+    )
+    advice = f"more than {BROADCAST_ROWS} keys lie outside {dict(domains)}; state larger domains to join them by shuffle"
+    error = F.raise_error(F.lit(advice)).cast(table.schema["far"].dataType)
+    places = F.transform(F.sequence("low", "high"), lambda at: F.try_element_at("near", at))
+    others = F.when(F.size("far") > BROADCAST_ROWS, error).otherwise(F.col("far"))
+    found = table.select(F.struct("low", places.alias("near"), others.alias("far"))).scalar()
+    # Named before it is used, so that it is one subquery and not one for each use.
+    row = F.when(inside, F.get("_all.near", place - F.col("_all.low"))).otherwise(F.try_element_at("_all.far", name))
+    looked_up = big.withColumn("_all", found).withColumn("_found", row)
+    return looked_up.select(*big.columns, *[F.col("_found")[value].alias(value) for value in values])
+
+
+def equal_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys of which null equals null."""
     renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
     condition = reduce(
         lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys]

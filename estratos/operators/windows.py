@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from estratos.operators.joins import bounded_join
+from estratos.operators.joins import bounded_lookup
 
 
 def running_totals(
@@ -22,8 +22,8 @@ def running_totals(
 
     A window over the rows themselves would bring each partition, say one year, into one task. The running
     sum only depends on the totals per (partition, order) value, so rows are first summed to those; the
-    window runs on the totals and the result is joined back. Both keys are integers with stated domains
-    (years, quarters), which bounds the totals; rows outside the domains take the shuffled join.
+    window runs on the totals and each row looks its result up. Both keys are integers with stated domains (years,
+    quarters), which bounds the totals. The input is read twice, once to sum and once for the rows.
     """
     totals = df.groupBy(partition, order).agg(
         *[F.sum(source).alias(name) for name, source in measures.items()]
@@ -32,7 +32,7 @@ def running_totals(
     running = totals.select(
         partition, order, *[F.sum(name).over(frame).alias(name) for name in measures]
     )
-    return bounded_join(df, running, {partition: partition_domain, order: order_domain}, null_safe=True)
+    return bounded_lookup(df, running, {partition: partition_domain, order: order_domain})
 
 
 def latest_row(df: DataFrame, keys: Sequence[str], by: str, *tie_break: str) -> DataFrame:

@@ -137,6 +137,18 @@ def test_year_to_date_shares_ties_and_keeps_corrupt_keys(rows):
     assert {(r.year, r.quarter, r.v): r.ytd for r in got.collect()} == want
 
 
+def test_too_many_keys_outside_the_domains_are_an_error_and_not_lost(rows, monkeypatch):
+    from estratos.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 4)
+    df = rows([(y, 1, 1) for y in (1, 2, 10, 11, 12, 13)], "year int, quarter int, v int")
+    assert running_totals(df, "year", "quarter", {"ytd": "v"}, (1, 2), (1, 2)).count() == 6
+    many = df.unionAll(rows([(14, 1, 1)], "year int, quarter int, v int"))
+    with pytest.raises(Exception, match="state larger domains"):
+        running_totals(many, "year", "quarter", {"ytd": "v"}, (1, 2), (1, 2)).collect()
+    assert running_totals(many, "year", "quarter", {"ytd": "v"}, (1, 99), (1, 2)).count() == 7
+
+
 def test_running_totals_agree_with_a_plain_window(spark):
     from pyspark.sql import Window
 

@@ -77,6 +77,13 @@ def test_the_running_total_window_sees_totals_only(spark, sf):
     assert re.search(r"HashAggregate\(keys=\[year#\d+, quarter#\d+\]", below) or "HashAggregate(keys=[" in below
 
 
+@pytest.mark.parametrize(("name", "scans"), [("running_sums_with_ties", 2), ("fct_tourism_balance", 2), ("gold_quality_report", 4)])
+def test_running_totals_read_their_table_twice(spark, sf, name, scans):
+    plan = all_entries()[name].run(spark, sf)._jdf.queryExecution().toString()
+    plan = plan[plan.index("== Physical Plan"):]
+    assert len([s for s in re.findall(r"FileScan parquet \[([^\]]*)\]", plan) if "o_totalprice" in s or "o_orderdate" in s]) <= scans
+
+
 def test_window_without_partition_only_over_yearly_rows(spark, sf):
     plan = plan_of(all_entries()["arrivals_growth"].run(spark, sf))
     below = plan[plan.index("Exchange SinglePartition"):]
