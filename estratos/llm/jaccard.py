@@ -35,6 +35,9 @@ from estratos.llm.components import connected_components
 
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 20
+PIECE_ROWS = 1024
+BITS_PER_KEY = 16
+MOST_BITS = 1 << 26
 #: Weight of a lookup against a merge step when lists are divided into long and short ones.
 MU = 1.0
 
@@ -200,11 +203,18 @@ def divide_skip(
     return links
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of so few rows that the sets of one part are little memory."""
+    for batch in batches:
+        for at in range(0, len(batch), PIECE_ROWS):
+            yield batch.slice(at, PIECE_ROWS)
+
+
 def classes(docs: DataFrame, size: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id`, `n_shingles`, `class` and `row_key` of each row; the class of a text without words is null."""
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             found = [(len(s), set_hash(s) if len(s) else None) for _, s in shingle_sets(batch.column(1), size)]
             yield pa.record_batch(
                 [
@@ -222,7 +232,7 @@ def classes(docs: DataFrame, size: int, id_column: str = "doc_id", text: str = "
 
 
 def _row_key() -> Column:
-    """A hash of id and text. By the id alone, rows that share one, or have none, would each meet the classes of all."""
+    """A hash of id and text. By the id alone, rows that share one, or have none, would each stand for the classes of all."""
     return F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
 
 
@@ -236,7 +246,7 @@ def candidates(docs: DataFrame, of_class: DataFrame, size: int, percent: int, te
     parts = Parts(percent)
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             tokens, owners = [], []
             for _, shingles in shingle_sets(batch.column(0), size):
                 if len(shingles):
@@ -263,30 +273,57 @@ def candidates(docs: DataFrame, of_class: DataFrame, size: int, percent: int, te
     return counted.where(F.col("prefix") - F.coalesce("alone", F.lit(0)) >= F.col("wanted")).select("class")
 
 
+def membership(keys: DataFrame) -> np.ndarray:
+    """A bit map of the 64-bit hashes `row_key`: `BITS_PER_KEY` bits for each, `MOST_BITS` (8 MB) in all at most.
+
+    It says of some keys that are not there that they are; the fuller it is, the more. It is built in Spark, and what
+    passes the driver has a fixed bound.
+    """
+    bits = 1 << max(6, min(MOST_BITS, BITS_PER_KEY * max(1, keys.count())).bit_length())
+    bits = min(bits, MOST_BITS)
+    at = keys.select(F.col("row_key").bitwiseAND(F.lit(bits - 1)).alias("at"))
+    words = at.groupBy(F.expr("cast(at >> 6 as int)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("set"))
+    out = np.zeros(bits >> 6, dtype=np.int64)
+    for batch in words.toArrow().to_batches():
+        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return out.view(np.uint64)
+
+
 def candidate_sets(docs: DataFrame, of_class: DataFrame, size: int, percent: int) -> DataFrame:
-    """`class` and `shingles` of each candidate, from one document of its class."""
+    """`class`, `n` and `shingles` of each candidate, from one document of its class.
+
+    Texts are not exchanged for that: each task makes the sets of those of its rows that the bit map lets through. Some
+    sets that are no candidates come along, and a class may come from several tasks; neither adds a link.
+    """
     first = of_class.where("class is not null").groupBy("class").agg(F.min("row_key").alias("row_key"))
-    wanted = candidates(docs, of_class, size, percent).join(first, "class")
+    wanted = written(candidates(docs, of_class, size, percent).join(first, "class").select("row_key"), "wanted")
+    map_of_bits = membership(wanted)
+    mask = np.uint64(64 * len(map_of_bits) - 1)
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [s for _, s in shingle_sets(batch.column(1), size)]
-            hashes = [set_hash(s) if len(s) else None for s in found]
-            # A key that two rows share by chance brings another text along; that one has another class.
-            kept = [i for i, (h, c) in enumerate(zip(hashes, batch.column(0).to_pylist(), strict=True)) if h == c]
-            yield pa.record_batch(
-                [batch.column(0).take(pa.array(kept, pa.int64())), pa.array([signed(found[i]) for i in kept], pa.list_(pa.int64()))],
-                names=["class", "shingles"],
-            )
-
-    matched = _texts_of(docs, wanted)
-    return matched.mapInArrow(sets_of, "class bigint, shingles array<bigint>").dropDuplicates(["class"])
-
+        seen: set[int] = set()
+        for batch in pieces(batches):
+            at = batch.column(0).to_numpy().view(np.uint64) & mask
+            hit = (map_of_bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
+            found = []
+            for _, s in shingle_sets(batch.column(1).filter(pa.array(hit == 1)), size):
+                if len(s) and (own := set_hash(s)) not in seen:
+                    seen.add(own)
+                    found.append((own, s))
+            if found:
+                offsets = np.concatenate(([0], np.cumsum([len(s) for _, s in found]))).astype(np.int32)
+                shingles = pa.array(signed(np.concatenate([s for _, s in found])))
+                yield pa.record_batch(
+                    [
+                        pa.array([c for c, _ in found], pa.int64()), pa.array(np.diff(offsets).astype(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(offsets), shingles),
+                    ],
+                    names=["class", "n", "shingles"],
+                )
 
-def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`class` and `text` of the rows whose keys are wanted."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.withColumn("row_key", _row_key()).join(wanted, "row_key").select("class", "text")
+    texts = texts.select(_row_key().alias("row_key"), "text")
+    return texts.mapInArrow(sets_of, "class bigint, n bigint, shingles array<bigint>")
 
 
 def neighbourhoods(sets: DataFrame, percent: int) -> DataFrame:
@@ -294,13 +331,13 @@ def neighbourhoods(sets: DataFrame, percent: int) -> DataFrame:
     parts = Parts(percent)
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             found = [parts.keys(s.values.to_numpy().view(np.uint64)) for s in batch.column(1)]
             owners = np.repeat(batch.column(0).to_numpy(), [len(k) for k in found])
             keys = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
             yield pa.record_batch([pa.array(signed(keys), pa.int64()), pa.array(owners, pa.int64())], names=["key", "class"])
 
-    keyed = sets.select("class", "shingles").mapInArrow(of_batch, "key bigint, class bigint")
+    keyed = written(sets.select("class", "shingles").mapInArrow(of_batch, "key bigint, class bigint"), "part-keys")
     # Pre-aggregated, and written, so that the join is one of two exchanges of their own and a frequent key can be split.
     least = keyed.groupBy("key").agg(F.min("class").alias("other"), F.max("class").alias("high"))
     least = written(least.where("other < high").select("key", "other"), "ties")
@@ -312,33 +349,30 @@ def links(docs: DataFrame, of_class: DataFrame, size: int, percent: int) -> Data
     """Verified links `a`, `b` between classes; with the classes as nodes they have the components of the full join."""
     sets = written(candidate_sets(docs, of_class, size, percent), "sets")
     near = neighbourhoods(sets, percent).select(F.col("node").alias("class"), F.col("component").alias("near"))
-    parts = Parts(percent)
-
-    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.diff(batch.column(2).offsets.to_numpy())
-            band = pa.array([parts.band(n) for n in sizes.tolist()], pa.int32())
-            yield pa.record_batch([*batch.columns, band], names=["class", "near", "shingles", "band"])
-
-    schema = "class bigint, near bigint, shingles array<bigint>, band int"
-    placed = written(sets.join(near, "class").select("class", "near", "shingles").mapInArrow(banded, schema), "placed")
-    # A set is searched with those of its own band and of the bands next to it.
+    # Where a set is searched is settled on rows without shingles, so that the sets move once to be copied and once to
+    # be searched. A set is searched with those of its own band and of the bands next to it.
+    sized = sets.groupBy("class").agg(F.first("n").alias("n"))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(Parts(percent).step)).cast("int")
+    placed = written(sized.join(near, "class").select("class", "near", "n", band.alias("band")), "placed")
     paired = placed.select(
-        "class", "near", "shingles",
-        F.explode(F.array(F.struct("band", F.lit(False).alias("lower")), F.struct((F.col("band") + 1).alias("band"), F.lit(True).alias("lower")))).alias("at"),
-    ).select("class", "near", "shingles", "at.*")
+        "class", "near", "n",
+        F.inline(F.array(F.struct("band", F.lit(False).alias("lower")), F.struct((F.col("band") + 1).alias("band"), F.lit(True).alias("lower")))),
+    )
     total = paired.groupBy("near", "band").agg(
-        F.count("*").alias("n"), F.count_if(~F.col("lower")).alias("upper"), F.sum(F.size("shingles")).alias("size")
+        F.count("*").alias("sets"), F.count_if(~F.col("lower")).alias("upper"), F.sum("n").alias("size")
     )
-    cut = total.where("n > 1 and upper > 0").select(
+    cut = total.where("sets > 1 and upper > 0").select(
         "near", "band",
-        F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+        F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
     )
+    # Written, so that the join is one of two exchanges of their own and a large neighbourhood can be split.
+    cut = written(cut, "cut")
     dealt = paired.join(cut, ["near", "band"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     met = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "near", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).alias("side"), "lower", "class", "shingles",
+        (F.col("block") > F.col("other")).alias("side"), "lower", "class",
     )
+    met = met.join(sets.select("class", "shingles"), "class")
 
     def search(table: pa.Table) -> pa.Table:
         sets = [s.values.to_numpy().view(np.uint64) for s in table.column("shingles").combine_chunks()]
