@@ -24,7 +24,8 @@ def meetings(shards: DataFrame, blocks: DataFrame, slices: int) -> GroupedData:
     """The pairs of `shards` (`shard`, `block` and more) and `blocks` (`block` and more), a group for each."""
     placed = shards.withColumn("slice", F.pmod(F.xxhash64("shard"), F.lit(slices)).cast("int"))
     spread = blocks.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return placed.join(spread, ["block", "slice"]).groupBy("block", "slice", "shard")
+    # Merged, because copies for every slice are no less to send than the shards' own partitions, and must not be broadcast.
+    return placed.join(spread.hint("merge"), ["block", "slice"]).groupBy("block", "slice", "shard")
 
 
 class ShardNumbers:
