@@ -162,7 +162,7 @@ def test_a_template_without_links(spark):
         for at in rng.sample(range(300), 8):
             own[at] = f"e{rng.randrange(10**9)}"
         rows.append((i, " ".join(own)))
-    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 90) == sorted(brute(rows, 3, 90))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 90) == sorted(brute(rows, 3, 90), key=repr)
 
 
 def test_rows_without_id(spark):
