@@ -1,7 +1,7 @@
 """Column functions: each takes Columns (or names) and returns a Column, all inside code generation."""
 
 from estratos.functions.dates import (  # noqa: F401
-    day_name, first_of_month, mid_month, month_name, month_short_name, parse_date, period_label,
+    day_name, first_of_month, fits_one_order, mid_month, month_name, month_short_name, parse_date, period_label,
     period_text_date, season_quarter,
 )
 from estratos.functions.keys import surrogate_key  # noqa: F401

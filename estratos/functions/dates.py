@@ -30,14 +30,44 @@ def mid_month(year: Column | str, month: Column | str) -> Column:
     ).cast("date")
 
 
-def parse_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def _swapped(pattern: str) -> str:
+    """The same format with day and month in the other order, or itself where the text settles their order."""
+    for one, other in (("M/d/", "d/M/"), ("M-d-", "d-M-"), ("d/M/", "M/d/"), ("d-M-", "M-d-")):
+        if pattern.startswith(one):
+            return other + pattern[len(one):]
+    return pattern
+
+
+def parse_date(
+    c: Column | str, formats: Sequence[str] = DATE_FORMATS, day_first: Column | None = None
+) -> Column:
     """PF4. Date of a text in ISO form, or else in the first of `formats` that fits; null when none does.
 
-    A text that fits two formats, such as 03/04/2022, is read by the earlier one, which has the month first.
+    A text that fits two formats, such as 03/04/2022, is read by the earlier one, which has the month first, or with the
+    day first where `day_first` is true.
     """
     text = F.trim(_col(c).cast("string"))
-    others = [F.try_to_timestamp(text, F.lit(pattern)).cast("date") for pattern in formats]
-    return F.coalesce(_col(c).try_cast("date"), *others)
+
+    def first_that_fits(patterns: Sequence[str]) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)).cast("date") for p in patterns])
+
+    others = first_that_fits(formats)
+    if day_first is not None:
+        others = F.when(day_first, first_that_fits([_swapped(p) for p in formats])).otherwise(others)
+    return F.coalesce(_col(c).try_cast("date"), others)
+
+
+def fits_one_order(c: Column | str, day_first: bool, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """PF4. True for a text that is a date in number form with the day (or the month) first and none the other way."""
+    text = F.trim(_col(c).cast("string"))
+    starts = ("d/M/", "d-M-"), ("M/d/", "M-d-")
+
+    def fits(prefixes: Sequence[str]) -> Column:
+        own = [p for p in formats if p.startswith(prefixes)]
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in own]).isNotNull()
+
+    wanted, other = starts if day_first else starts[::-1]
+    return fits(wanted) & ~fits(other)
 
 
 def period_label(year: Column | str, quarter: Column | str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estratos import fixed_values as fixed
-from estratos.functions import clamp, lenient_double, lenient_int, mid_month, parse_date
+from estratos.functions import clamp, fits_one_order, lenient_double, lenient_int, mid_month, parse_date
 from estratos.operators.filters import valid_rows
 
 Headers = Mapping[str, Sequence[str]]
@@ -121,13 +121,26 @@ def sums_to_zero(df: DataFrame, value: Column) -> Column:
     return df.agg(F.coalesce(F.sum(value), F.lit(0))).scalar() == 0
 
 
+def reads_day_first(df: DataFrame, name: str) -> Column:
+    """PF4. Whether the dates of a text column have the day first: one order for the whole column.
+
+    Each text that is a date in one order only, such as 15/04/2022, is a vote for that order; with as many votes for
+    either, as where every day is below 13, the month comes first. A scalar subquery that reads this column only.
+    """
+    votes = [F.count_if(fits_one_order(name, day_first)) for day_first in (True, False)]
+    return df.agg(votes[0] > votes[1]).scalar()
+
+
 def _in_period(
-    df: DataFrame, min_year: int, part: str, last: int, read: Observation | None, unreadable: Column | None = None
+    df: DataFrame, min_year: int, part: str, last: int, read: Observation | None, unreadable: Column | None = None,
+    day_first: Column | None = None,
 ) -> DataFrame:
-    """PF12. Keep valid periods; `read` counts the rows before the filter, and unreadable dates, while they pass."""
+    """PF12. Keep valid periods; `read` counts the rows before the filter, and unreadable dates, while they pass, and
+    tells the order of the dates."""
     if read is not None:
         bad = F.count_if(F.lit(False) if unreadable is None else F.coalesce(unreadable, F.lit(False)))
-        df = df.observe(read, F.count(F.lit(1)).alias("rows_read"), bad.alias("dates_unreadable"))
+        order = F.bool_or(F.lit(None).cast("boolean") if day_first is None else day_first)
+        df = df.observe(read, F.count(F.lit(1)).alias("rows_read"), bad.alias("dates_unreadable"), order.alias("day_first"))
     return valid_rows(df, F.col("year") >= min_year, F.col(part).between(1, last))
 
 
@@ -150,7 +163,9 @@ def conform_arrivals(
         },
     )
     has_date = "arrival_date" in df.columns
-    date = parse_date("arrival_date") if has_date else F.lit(None).cast("date")
+    day_first = reads_day_first(df, "arrival_date") if has_date and _is_text(df, "arrival_date") else F.lit(None).cast("boolean")
+    df = df.withColumn("_day_first", day_first)
+    date = parse_date("arrival_date", day_first=F.col("_day_first")) if has_date else F.lit(None).cast("date")
     unreadable = F.col("arrival_date").isNotNull() & date.isNull() if has_date else F.lit(False)
     # A derived part equals the date's; an unreadable date leaves 0, which the period filter drops.
     parts = _ints(df, {name: 0 for name in ("year", "month") if name in df.columns})
@@ -169,7 +184,8 @@ def conform_arrivals(
         | _counts(df, "number_of_visitors")
         | _doubles(df, {"estimated_spending_usd": 0.0})
     )
-    return _in_period(df, min_year, "month", 12, read, F.col("_date_unreadable")).drop("_date_unreadable")
+    kept = _in_period(df, min_year, "month", 12, read, F.col("_date_unreadable"), F.col("_day_first"))
+    return kept.drop("_date_unreadable", "_day_first")
 
 
 def conform_occupancy(
@@ -252,7 +268,7 @@ def keep_as_landed(
         if isinstance(field.dataType, T.DoubleType):
             return lenient_double(field.name, None, _is_text(df, field.name))
         if isinstance(field.dataType, T.DateType):
-            return parse_date(field.name)
+            return parse_date(field.name, day_first=reads_day_first(df, field.name) if _is_text(df, field.name) else None)
         return F.col(field.name)
 
     return df.withColumns({field.name: typed(field) for field in schema})

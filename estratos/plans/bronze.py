@@ -131,7 +131,8 @@ class LoadReport:
     """IO21. Outcome of one load.
 
     `rows_broken` are lines that are only part of a row (a quoted cell that is never closed, or, read with
-    `multiline=False`, the lines of one with a break), `dates_unreadable` date texts in no known format; both are counted in the pass that writes. `distinct` holds
+    `multiline=False`, the lines of one with a break), `dates_unreadable` date texts in no known format, `date_order` ("day first", "month first") the order in which the
+    date column was read, None without one; all are told by the pass that writes. `distinct` holds
     numbers of distinct keys, `latest` the last row by year, `preview` the first rows as they were written.
     """
 
@@ -146,6 +147,7 @@ class LoadReport:
     rows_dropped: int = 0
     rows_broken: int = 0
     dates_unreadable: int = 0
+    date_order: str | None = None
     distinct: dict[str, int] = field(default_factory=dict)
     latest: dict[str, object] | None = None
     preview: list[dict[str, object]] = field(default_factory=list)
@@ -271,6 +273,7 @@ def load(
     if read is not None:
         counts["rows_dropped"] = int(read.get["rows_read"]) - int(metrics["num_rows"])
         counts["dates_unreadable"] = int(read.get["dates_unreadable"])
+        counts["date_order"] = {True: "day first", False: "month first"}.get(read.get["day_first"])
     return _report(spark, table, path, source, rows, metrics, headers=headers, **counts)
 
 

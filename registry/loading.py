@@ -736,6 +736,24 @@ def _mixed_date_texts(spark, sf):
     return loaded.groupBy("arrival_date", "year", "month").agg(F.count(F.lit(1)).alias("num_rows"))
 
 
+_ORDERED = """select '{0}' as landed, cast(o_orderdate as date) as arrival_date, cast(count(*) as bigint) as num_rows,
+               '{0} first' as date_order from orders group by all"""
+
+
+@register("date_order_of_a_column", "PF4 B4 IO21", _ORDERED.format("day") + " union all " + _ORDERED.format("month"))
+def _date_order_of_a_column(spark, sf):
+    """One file with the day first and one with the month first: days below 13 are read like the other rows of their file."""
+    orders, parts = bindings.table(spark, sf, "orders"), []
+    for name, pattern in (("day", "dd/MM/yyyy"), ("month", "M/d/yyyy")):
+        root = scratch_path(spark, "date-order")
+        land(orders.select(F.date_format("o_orderdate", pattern).alias("fecha_llegada")), f"{root}/in")
+        report = bronze.load(spark, "arrivals", f"{root}/in", bindings.arrivals(spark, sf), f"{root}/out", min_year=1990)
+        rows = readers.read_table(spark, f"{root}/out", BRONZE["arrivals"])
+        rows = rows.groupBy(F.col("arrival_date").cast("date").alias("arrival_date")).agg(F.count(F.lit(1)).alias("num_rows"))
+        parts.append(rows.select(F.lit(name).alias("landed"), "*", F.lit(report.date_order).alias("date_order")))
+    return parts[0].unionByName(parts[1])
+
+
 @register(
     "quoted_line_breaks", "IO3",
     f"""select 'whole' as way, o_orderpriority || chr(10) || 'x' as country_of_origin, cast(count(*) as bigint) as num_rows,

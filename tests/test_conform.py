@@ -65,6 +65,23 @@ def test_parts_from_dates(rows):
     assert [(r.year, r.month, r.arrival_date, r.number_of_visitors) for r in got] == [(2019, 7, date(2019, 7, 4), 3)]
 
 
+@pytest.mark.parametrize(
+    ("texts", "months"),
+    [
+        (["03/04/2022", "15/04/2022", "2022-05-06"], [4, 4, 5]),  # the day first, settled by the 15th
+        (["03/04/2022", "04/15/2022", "6-7-2022"], [3, 4, 6]),  # the month first
+        (["03/04/2022", "05/06/2022"], [3, 5]),  # nothing settles it: the month first
+        (["03/04/2022", "15/04/2022", "04/16/2022"], [3, 4, 4]),  # as many votes for either: the month first
+        (["03/04/2022", "15/04/2022", "16/04/2022", "04/17/2022"], [4, 4, 4, 4]),  # the majority
+        (["03-04-2022 x", "03/04/2022 10:11", "31/12/2022"], [None, 4, 12]),
+    ],
+)
+def test_a_column_of_dates_has_one_order(rows, texts, months):
+    got = conform.conform_arrivals(rows([(t, 2022, 1) for t in texts], "arrival_date string, year int, month int"))
+    found = {r.arrival_date.month if r.arrival_date else None: 0 for r in got.collect()}
+    assert sorted((r.arrival_date.month if r.arrival_date else 0) for r in got.collect()) == sorted(m or 0 for m in months), found
+
+
 def test_date_is_built_when_never_filled(rows):
     raw = text(rows, "year,month,arrival_date", "2019,7,", "2020,8,")
     assert {r.arrival_date for r in bronze.arrivals_csv(raw).collect()} == {date(2019, 7, 15), date(2020, 8, 15)}
