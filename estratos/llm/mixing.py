@@ -2,8 +2,9 @@
 
 Every source has a target in words. Its rows are dealt by hash into blocks, the blocks are permuted, and the mix draws
 whole passes over all blocks and then blocks from the front until the target is met; only the last block is taken row
-by row. Where a long row in that block ends the draw far from the target, rows that fit are drawn from the rest of it
-and from the blocks behind it. So each source has an exact quota of block draws. A binary tree splits the quotas among the output shards: a
+by row. What a row too long for it leaves open there is drawn, smallest levels of size first, from the rows that fit
+in the rest of that block and in the blocks behind it; then one row drawn in that block is exchanged for one that is
+not, or for none, if that brings the source nearer to its target. So each source has an exact quota of block draws. A binary tree splits the quotas among the output shards: a
 node sends an exact number of its draws to the left, and how many of them belong to which source follows the
 multivariate hypergeometric law. Each shard then owns disjoint runs of the permuted block draws, and its rows have a
 random key by which they are shuffled within the shard.
@@ -26,8 +27,6 @@ from estratos.llm.sharding import hypergeometric
 WEIGHTS = (5, 2, 1)
 ROWS_PER_BLOCK = 1024
 MOST_REPEATS = 3
-#: Words by which a source may miss its target before rows of this size and less are drawn past a longer one.
-NEAR = 1024
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -118,27 +117,24 @@ def _fits(short: Column) -> Column:
 
 
 def _level() -> Column:
-    """0 up to `NEAR` words, then one more for each doubling."""
-    doubled = F.floor((F.col("size") - 1) / NEAR).cast("long")
-    return F.when(doubled < 1, 0).otherwise(F.length(F.bin(doubled)))
+    """One more for each doubling of the size."""
+    return F.length(F.bin(F.col("size")))
 
 
-def _further(sizes: DataFrame, ordered: DataFrame) -> DataFrame | None:
-    """What the second draw needs, for each block of the sources whose first draw ends more than `NEAR` words off.
+def _further(sizes: DataFrame, ordered: DataFrame) -> DataFrame:
+    """What the second draw needs, for each block of the sources whose first draw does not end on the target.
 
     `from`, `in_block`, `short` (words missing without the row that fills), `level`, `carry`, `level_words` and
-    `visited`. None if all sources are near their targets. Sources that the second draw brings no nearer are left out.
+    `visited`. Sources that the second draw brings no nearer are left out.
     """
     slim = ordered.select(F.col("source").alias("from"), F.col("block").alias("in_block"), "words", "at", "needs")
     same = F.col("source").eqNullSafe(F.col("from")) & (F.col("block") == F.col("in_block"))
     part = slim.where((F.col("needs") > 0) & (F.col("needs") < F.col("words")))
     first = _first_draw(sizes.join(part, same)).groupBy("source").agg(
         F.max("missing").alias("short"),
-        F.abs(F.max("missing") - F.sum(F.when(F.col("fills"), F.col("size")).otherwise(0))).alias("miss"),
+        (F.max("missing") - F.sum(F.when(F.col("fills"), F.col("size")).otherwise(0))).alias("miss"),
     )
-    far = written(first.where(F.col("miss") > NEAR).withColumnRenamed("source", "of"), "far")
-    if far.isEmpty():
-        return None
+    far = written(first.where(F.col("miss") != 0).withColumnRenamed("source", "of"), "far")
     open_blocks = slim.where(F.col("needs") < F.col("words")).join(far, F.col("from").eqNullSafe(F.col("of"))).drop("of")
     rows = _first_draw(sizes.join(open_blocks, same))
     left = written(rows.where(_fits(F.col("short"))).select("from", "in_block", "at", "short", "size", _level().alias("on")), "left")
@@ -157,17 +153,47 @@ def _further(sizes: DataFrame, ordered: DataFrame) -> DataFrame | None:
     carry = F.col("short") - F.col("base") - F.coalesce(before, F.lit(0))
     cells = cells.select(F.col("from").alias("c_from"), F.col("in_block").alias("c_block"), "level_words", carry.alias("carry"))
     key = F.col("from").eqNullSafe(F.col("c_from")) & (F.col("in_block") == F.col("c_block"))
-    known = open_blocks.join(chosen, F.col("from").eqNullSafe(F.col("of"))).drop("of").join(cells, key, "left").drop("c_from", "c_block")
+    known = open_blocks.join(chosen, F.col("from").eqNullSafe(F.col("of")), "left").drop("of").join(cells, key, "left").drop("c_from", "c_block")
     last = F.max(F.when((F.col("level") > 0) | (F.col("carry") > 0), F.col("at"))).over(Window.partitionBy("from"))
     known = written(known.withColumn("visited", F.col("at") <= last), "known")
 
-    reached = _second_draw(_first_draw(sizes.join(known, same))).groupBy("from").agg(
-        F.abs(F.max("short") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("still"), F.max("miss").alias("was")
-    )
-    nearer = reached.where("still < was").select(F.col("from").alias("of"))
-    return known.join(nearer, F.col("from").eqNullSafe(F.col("of"))).select(
-        "from", "in_block", "short", "level", "carry", "level_words", "visited"
+    still = F.max("short") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))
+    reached = _second_draw(_first_draw(sizes.join(known, same))).groupBy(F.col("from").alias("of")).agg(
+        still.alias("still"), F.max("miss").alias("was")
     )
+    nearer = F.abs("still") < F.abs("was")
+    reached = reached.select("of", nearer.alias("nearer"), F.when(nearer, F.col("still")).otherwise(F.col("was")).alias("off_by"))
+    known = written(known.join(reached, F.col("from").eqNullSafe(F.col("of"))).drop("of"), "reached")
+    rows = _second_draw(_first_draw(sizes.join(known.where((F.col("needs") > 0) & (F.col("needs") < F.col("words"))), same)))
+    rows = rows.withColumn("once", F.col("again") | F.when(F.col("nearer"), F.col("more")).otherwise(F.col("fills")))
+    swaps = _exchange(rows).select(F.col("source").alias("x_from"), F.col("block").alias("x_block"), "leaves", "enters")
+    key = F.col("from").eqNullSafe(F.col("x_from")) & (F.col("in_block") == F.col("x_block"))
+    return known.withColumn("short", F.when(F.col("nearer"), F.col("short"))).join(swaps, key, "left").select(
+        "from", "in_block", "short", "level", "carry", "level_words", F.col("nearer") & F.col("visited"), "leaves", "enters"
+    ).toDF("from", "in_block", "short", "level", "carry", "level_words", "visited", "leaves", "enters")
+
+
+def _exchange(rows: DataFrame) -> DataFrame:
+    """The drawn row that `leaves` and the other that `enters` for it, by their digests, for each block this helps.
+
+    Of all pairs in a block, the one whose difference in size comes closest to `off_by`: drawn rows are looked up among
+    the others at their size plus `off_by`. A row may also leave for none, and `enters` is then null. Rows whose digest
+    occurs twice in the block stay as they are.
+    """
+    alone = F.count("*").over(Window.partitionBy("source", "block", "digest")) == 1
+    rows = rows.withColumn("alone", alone).where("alone")
+    place = F.col("size") + F.when(F.col("once"), F.col("off_by")).otherwise(0)
+    other = F.when(~F.col("once"), F.struct("size", "digest"))
+    order = Window.partitionBy("source", "block").orderBy("place", "digest")
+    none = F.struct(F.lit(0).cast("long").alias("size"), F.lit(None).cast("string").alias("digest"))
+    rows = rows.withColumn("place", place).withColumn("other", other)
+    below = F.last("other", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    above = F.first("other", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    pairs = rows.select("source", "block", "off_by", "place", "once", "digest", F.array(below, above, none).alias("others"))
+    pairs = pairs.where("once").withColumn("other", F.explode("others")).where("other is not null")
+    best = F.min(F.struct(F.abs(F.col("place") - F.col("other.size")).alias("off"), F.col("digest"), F.col("other.digest").alias("enters")))
+    found = pairs.groupBy("source", "block").agg(best.alias("best"), F.max("off_by").alias("off_by"))
+    return found.where("best.off < abs(off_by)").select("source", "block", F.col("best.digest").alias("leaves"), "best.enters")
 
 
 def draws(
@@ -178,11 +204,9 @@ def draws(
 
     `size` is the number of words, `taken` the words the mix takes of the row, `copies` an array with `shard` and
     `shuffle_key` for each time it is taken, at most `MOST_REPEATS` times. A null text has size 0; a null source is a
-    source of its own. Rows equal in every column are interchangeable. The sum of `taken` over a source misses its
-    target by `NEAR` words at most, if the rows of `NEAR` words and less that the last pass has left can fill the gap.
-    Otherwise all rows are taken that are shorter than half the longest that is needed to fill it, and the miss is at
-    most half a row of that length; where the rows that fit cannot fill it, all of them are taken, or one longer row
-    that comes closer. The same input always gives the same draws, in any order of partitions. An empty table gives an
+    source of its own. Rows equal in every column are interchangeable. Where the draws leave the sum of `taken` over a source
+    below its target, no row that the last pass has left fits in what is missing; where they leave it above, it is so
+    by less than it would be below without the last row. An exchange of rows only brings it nearer. The same input always gives the same draws, in any order of partitions. An empty table gives an
     empty result.
     """
     digest = F.md5(F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit("|"), F.coalesce(F.col(text), F.lit(""))))
@@ -213,12 +237,9 @@ def draws(
     ordered = ordered.withColumn("needs", F.col("rest") - F.col("before"))
     ordered = written(ordered, "blocks")
     further = _further(keyed_sizes, ordered)
-    if further is not None:
-        key = F.col("source").eqNullSafe(F.col("from")) & (F.col("block") == F.col("in_block"))
-        ordered = written(ordered.join(further, key, "left").drop("from", "in_block"), "further")
-    visited = F.col("needs") > 0
-    if further is not None:
-        visited = visited | F.coalesce(F.col("visited"), F.lit(False))
+    key = F.col("source").eqNullSafe(F.col("from")) & (F.col("block") == F.col("in_block"))
+    ordered = written(ordered.join(further, key, "left").drop("from", "in_block"), "further")
+    visited = (F.col("needs") > 0) | F.coalesce(F.col("visited"), F.lit(False))
 
     # The tree: quotas per source, counted in block draws, cut into runs for the shards.
     quota = F.max(F.col("passes") * F.col("blocks")) + F.count(F.when(visited, 1))
@@ -232,10 +253,9 @@ def draws(
     dealt = dealt.withColumnRenamed("source", "from").withColumnRenamed("block", "in_block")
 
     same = F.col("source").eqNullSafe(F.col("from")) & (F.col("block") == F.col("in_block"))
-    joined, once = _first_draw(keyed.join(dealt, same)), F.col("again") | F.col("fills")
-    if further is not None:
-        joined = _second_draw(joined)
-        once = F.col("again") | F.when(F.col("short").isNull(), F.col("fills")).otherwise(F.col("more"))
+    joined = _second_draw(_first_draw(keyed.join(dealt, same)))
+    once = F.col("again") | F.when(F.col("short").isNull(), F.col("fills")).otherwise(F.col("more"))
+    once = (once & ~F.col("digest").eqNullSafe(F.col("leaves"))) | F.col("digest").eqNullSafe(F.col("enters"))
     joined = joined.withColumn("times", (F.col("passes") + F.when(once, 1).otherwise(0)).cast("int"))
 
     def copy(k: Column) -> Column:
@@ -294,11 +314,11 @@ keyed as (
   from sized s join plan p on s.source is not distinct from p.source),
 words as (select source, block, sum(size)::bigint as words from keyed group by source, block),
 placed as (
-  select source, block, coalesce(sum(words) over (
-    partition by source order by md5(concat(coalesce(source, ''), '|', block::varchar)), block
-    rows between unbounded preceding and 1 preceding), 0)::bigint as before from words),
+  select source, block, words, row_number() over w as nth,
+         coalesce(sum(words) over (w rows between unbounded preceding and 1 preceding), 0)::bigint as before
+  from words window w as (partition by source order by md5(concat(coalesce(source, ''), '|', block::varchar)), block)),
 taking as (
-  select k.*, k.rest - p.before as needs,
+  select k.*, k.rest - p.before as needs, p.words, p.nth,
          sum(k.size) over (partition by k.source, k.block order by k.digest rows between unbounded preceding and current row)
            ::bigint as upto
   from keyed k join placed p on k.source is not distinct from p.source and k.block = p.block),
@@ -306,8 +326,73 @@ drawn as (select *, needs > 0 and upto <= needs as again from taking),
 short as (
   select *, needs - coalesce(max(case when again then upto end) over (partition by source, block), 0) as missing from drawn),
 filled as (
-  select *, row_number() over (partition by source, block order by again, abs(size - missing), digest) as place from short)
-select doc_id, size, source_size, target,
-       (size * (passes + case when again or (place = 1 and abs(size - missing) < missing) then 1 else 0 end))::bigint as taken
-from filled
+  select *, row_number() over (partition by source, block order by again, abs(size - missing), digest) as place from short),
+first_draw as (select *, place = 1 and not again and abs(size - missing) < missing as fills from filled),
+ends as (
+  select source, max(missing) as short, max(missing) - sum(case when fills then size else 0 end)::bigint as miss
+  from first_draw where needs > 0 and needs < words group by source),
+fitting as (
+  select f.*, e.short, e.miss,
+         e.short is not null and not again and needs < words and size > 0 and size <= e.short as fits,
+         length(bin(size)) as size_level
+  from first_draw f left join ends e on f.source is not distinct from e.source and e.miss <> 0),
+per_level as (select source, short, size_level, sum(size)::bigint as n from fitting where fits group by all),
+up as (select *, (sum(n) over (partition by source order by size_level))::bigint as upto from per_level),
+chosen as (
+  select source, coalesce(min(case when upto >= short then size_level end), max(size_level) + 1) as level,
+         coalesce(max(case when upto < short then upto end), 0) as base from up group by source),
+leveled_rows as (
+  select f.*, c.base, coalesce(fits and size_level < c.level, false) as lower,
+         coalesce(fits and size_level = c.level, false) as on_level
+  from fitting f left join chosen c on f.source is not distinct from c.source),
+cells as (
+  select source, block, nth, short, base, sum(size)::bigint as level_words from leveled_rows where on_level group by all),
+carried as (
+  select source, block, level_words, short - base - coalesce(sum(level_words) over (
+    partition by source order by nth rows between unbounded preceding and 1 preceding), 0)::bigint as carry from cells),
+walking as (
+  select r.*, c.carry, c.level_words, sum(case when on_level then size end) over (
+    partition by r.source, r.block order by r.digest rows between unbounded preceding and current row)::bigint as upto_level
+  from leveled_rows r left join carried c on r.source is not distinct from c.source and r.block = c.block),
+walked as (select *, on_level and upto_level <= carry as walks from walking),
+gaps as (
+  select *, carry - coalesce(max(case when walks then upto_level end) over (partition by source, block), 0) as gap from walked),
+closing as (
+  select *, again or lower or coalesce(walks, false) as had, row_number() over (
+    partition by source, block order by again or lower or coalesce(walks, false), abs(size - gap) nulls first, digest) as turn
+  from gaps),
+second_draw as (
+  select *, lower or coalesce(walks, false)
+         or coalesce(carry > 0 and carry < level_words and not had and turn = 1 and abs(size - gap) < gap, false) as more
+  from closing),
+reached as (
+  select source, max(miss) as was, max(short) - sum(case when more then size else 0 end)::bigint as still
+  from second_draw where short is not null and needs < words group by source),
+twice_drawn as (
+  select s.*, case when abs(still) < abs(was) then still else was end as off_by,
+         again or (case when abs(still) < abs(was) then more else fills end) as once,
+         count(*) over (partition by s.source, block, digest) = 1 as alone
+  from second_draw s left join reached r on s.source is not distinct from r.source),
+asked as (
+  select *, size + case when once then off_by else 0 end as spot from twice_drawn
+  where alone and needs > 0 and needs < words and off_by is not null),
+offers as (
+  select *, last_value(case when not once then {{'size': size, 'digest': digest}} end ignore nulls) over (
+              partition by source, block order by spot, digest rows between unbounded preceding and current row) as below,
+         first_value(case when not once then {{'size': size, 'digest': digest}} end ignore nulls) over (
+              partition by source, block order by spot, digest rows between current row and unbounded following) as above
+  from asked),
+pairs as (
+  select source, block, off_by, digest as leaves, below.digest as enters, abs(spot - below.size) as off from offers
+  where once and below is not null
+  union all
+  select source, block, off_by, digest, above.digest, abs(spot - above.size) from offers where once and above is not null
+  union all
+  select source, block, off_by, digest, null, abs(spot) from offers where once),
+swaps as (
+  select * from (select *, row_number() over (partition by source, block order by off, leaves, enters nulls first) as i from pairs)
+  where i = 1 and off < abs(off_by))
+select doc_id, size, source_size, target, (size * (passes + case
+         when (once and d.digest is distinct from x.leaves) or coalesce(d.digest = x.enters, false) then 1 else 0 end))::bigint as taken
+from twice_drawn d left join swaps x on d.source is not distinct from x.source and d.block = x.block
 """
