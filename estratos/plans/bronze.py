@@ -7,6 +7,7 @@ and a fallback frame to use instead.
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import uuid
 from collections.abc import Mapping, Sequence
@@ -15,11 +16,13 @@ from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from estratos import fixed_values as fixed
 from estratos.operators import aggregates, conform, windows
+from estratos.operators import sketches as summaries
 from estratos.operators.filters import valid_rows
 from estratos.schemas import BRONZE
 from estratos.sources import readers, sinks
@@ -177,24 +180,59 @@ KEYS = {
 PREVIEW_ROWS = 5
 
 
-def _seen(spark: SparkSession, table: str, path: str) -> dict[str, object]:
-    """Distinct keys, last row and first rows of a written table: narrow passes over its files."""
-    rows = readers.read_table(spark, path, BRONZE[table])
-    keys = {f"{name}_count": name for name in KEYS[table]}
-    counted = aggregates.load_metrics(rows, distinct=keys).first().asDict() if keys else {}
+def _measured(table: str, rows: DataFrame, sketches: str | None) -> list[Column]:
+    """Aggregates told by the pass that writes: the last row by year and, if they are kept, the sketches of the keys."""
     order = ["year", *[name for name in ("month", "quarter", "value") if name in rows.columns]]
-    last = windows.last_by(rows, *order, *[name for name in rows.columns if name not in order]).first()
-    return {
-        "distinct": {name: counted[name] for name in keys},
-        "latest": None if last is None else last.asDict(),
-        "preview": [row.asDict() for row in rows.take(PREVIEW_ROWS)],
-    }
+    order += [name for name in BRONZE[table].names if name not in order]
+    latest = F.max(F.struct(*[name for name in order if name in rows.columns])).alias("latest")
+    keys = [name for name in KEYS[table] if name in rows.columns] if sketches else []
+    return [latest, *map(summaries.sketch, keys)]
+
+
+def _summary_schema(table: str) -> T.StructType:
+    columns = T.StructType().add("path", T.StringType()).add("num_rows", T.LongType())
+    columns = columns.add("year_min", T.IntegerType()).add("year_max", T.IntegerType())
+    for key in KEYS[table]:
+        columns = columns.add(f"{key}_sketch", T.BinaryType())
+    return columns
+
+
+def _keep_summary(spark: SparkSession, table: str, path: str, folder: str, metrics: Mapping[str, object]) -> None:
+    """Write the summary of a load; a load to a path replaces the summary of the one before."""
+    schema = _summary_schema(table)
+    row = {name: metrics.get(name) for name in schema.names} | {"path": path}
+    of_path = hashlib.md5(path.encode()).hexdigest()
+    one = spark.createDataFrame([tuple(row[name] for name in schema.names)], schema)
+    one.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{table}/{of_path}")
+
+
+def summary_of_loads(spark: SparkSession, table: str, folder: str) -> DataFrame:
+    """IO21, AG15. Rows, first and last year and estimated distinct keys of all loads of a table, one row.
+
+    Unites the summaries that `load` and `load_indicators` keep in `folder`; no loaded row is read. A key that several
+    loads hold counts once.
+    """
+    kept = spark.read.schema(_summary_schema(table)).parquet(f"{folder}/{table}/*")
+    return summaries.united(kept, KEYS[table])
 
 
 def _report(
-    spark: SparkSession, table: str, path: str, source: str, rows: DataFrame, metrics: Mapping[str, object], **more
+    spark: SparkSession, table: str, path: str, source: str, rows: DataFrame, metrics: Mapping[str, object],
+    sketches: str | None, **more
 ) -> LoadReport:
-    more = _seen(spark, table, path) | more
+    """The report of a load. Without `sketches` distinct keys are counted exactly, in a pass over the key columns."""
+    written = readers.read_table(spark, path, BRONZE[table])
+    keys = {f"{name}_count": name for name in KEYS[table]}
+    counted = {}
+    if sketches:
+        _keep_summary(spark, table, path, sketches, metrics)
+    if keys and sketches:
+        own = hashlib.md5(path.encode()).hexdigest()
+        kept = spark.read.schema(_summary_schema(table)).parquet(f"{sketches}/{table}/{own}")
+        counted = summaries.united(kept, KEYS[table]).first().asDict()
+    elif keys:
+        counted = aggregates.load_metrics(written, distinct=keys).first().asDict()
+    last = metrics["latest"] and metrics["latest"].asDict()
     return LoadReport(
         table=table,
         path=path,
@@ -203,6 +241,9 @@ def _report(
         columns=rows.columns,
         year_min=metrics["year_min"],
         year_max=metrics["year_max"],
+        distinct={name: counted[name] for name in keys},
+        latest=last and {name: last.get(name) for name in BRONZE[table].names},
+        preview=[row.asDict() for row in written.take(PREVIEW_ROWS)],
         **more,
     )
 
@@ -218,6 +259,7 @@ def load(
     encoding: str = "UTF-8",
     min_year: int | None = None,
     multiline: bool = True,
+    sketches: str | None = None,
 ) -> LoadReport:
     """IO1, IO3, IO4, IO16, IO6, IO21. Load one landed CSV dataset into bronze.
 
@@ -226,6 +268,8 @@ def load(
     landed files are archived before they are parsed; a failure to archive is raised. The fallback is used when
     nothing has landed, the files cannot be read, or no valid row is left. Cells may hold line breaks.
     `multiline=False` says that none does, which saves a pass; the lines of one that does are left out and counted.
+    With the folder `sketches` the write also makes sketches of the keys: the report tells their estimates instead of
+    counting, and `summary_of_loads` unites them over many loads.
     """
     headers = conform.HeaderReport()
     raw: DataFrame | None = None
@@ -262,19 +306,19 @@ def load(
         read = Observation(f"read-{uuid.uuid4().hex}") if filtered else None
         rows = conformed(broken, read)
     try:
-        metrics = sinks.write_parquet(rows, path)
+        metrics = sinks.write_parquet(rows, path, more=_measured(table, rows, sketches))
     except (PySparkException, Py4JJavaError) as error:
         if source != LANDED or not readers.is_source_error(error):
             raise
         log.warning("the landed files of %s failed while they were loaded, using the fallback: %s", table, error)
         rows, source, broken, read = fallback, "fallback", None, None
-        metrics = sinks.write_parquet(rows, path)
+        metrics = sinks.write_parquet(rows, path, more=_measured(table, rows, sketches))
     counts = {"rows_broken": int(broken.get["rows_broken"])} if broken is not None else {}
     if read is not None:
         counts["rows_dropped"] = int(read.get["rows_read"]) - int(metrics["num_rows"])
         counts["dates_unreadable"] = int(read.get["dates_unreadable"])
         counts["date_order"] = {True: "day first", False: "month first"}.get(read.get["day_first"])
-    return _report(spark, table, path, source, rows, metrics, headers=headers, **counts)
+    return _report(spark, table, path, source, rows, metrics, sketches, headers=headers, **counts)
 
 
 INDICATOR_TABLES = ("indicators", "regional")
@@ -289,6 +333,7 @@ def load_indicators(
     archive: str | None = None,
     on: date | None = None,
     min_year: int | None = None,
+    sketches: str | None = None,
 ) -> LoadReport:
     """B3, B6, IO20. As `load`, for landed indicator answers; the table is written in order of country, code and year."""
 
@@ -299,8 +344,9 @@ def load_indicators(
         sinks.archive_payloads(spark, landed, archive, table, on or date.today())
     rows, source = readers.choose_source(primary if landed else None, lambda: fallback, LANDED)
     rows = rows.select(*BRONZE[table].names)
-    metrics = sinks.write_sorted(rows, path, ["country_code", "indicator_code", "year"])
-    return _report(spark, table, path, source, rows, metrics)
+    more = _measured(table, rows, sketches)
+    metrics = sinks.write_sorted(rows, path, ["country_code", "indicator_code", "year"], more)
+    return _report(spark, table, path, source, rows, metrics, sketches)
 
 
 def latest_indicator(rows: DataFrame, code: str = fixed.ARRIVALS_CODE) -> DataFrame:

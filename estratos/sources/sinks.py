@@ -6,12 +6,14 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def observed(df: DataFrame, year: str | None = None) -> tuple[DataFrame, Observation]:
-    """IO21. The frame with row count and first and last year measured while it is written.
+def observed(
+    df: DataFrame, year: str | None = None, more: Sequence[Column] = ()
+) -> tuple[DataFrame, Observation]:
+    """IO21. The frame with row count, first and last year, and `more` aggregates measured while it is written.
 
     The metrics come with the write itself, so no second pass over the data is made.
     """
@@ -19,13 +21,13 @@ def observed(df: DataFrame, year: str | None = None) -> tuple[DataFrame, Observa
     metrics = [F.count(F.lit(1)).alias("num_rows")]
     if year is not None:
         metrics += [F.min(year).alias("year_min"), F.max(year).alias("year_max")]
-    return df.observe(observation, *metrics), observation
+    return df.observe(observation, *metrics, *more), observation
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), table: str | None = None
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), table: str | None = None, more: Sequence[Column] = ()
 ) -> dict[str, object]:
-    """IO6, IO14. Write Parquet, replacing what is there, and return the metrics of the write.
+    """IO6, IO14. Write Parquet, replacing what is there, and return the metrics of the write, `more` among them.
 
     With `table` the files are also made known to the catalogue under that name, as an external table. With
     partition columns the rows are first rebalanced on them: small partitions are merged, and a value
@@ -34,7 +36,7 @@ def write_parquet(
     year = "year" if "year" in df.columns else None
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df, observation = observed(df, year)
+    df, observation = observed(df, year, more)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -65,7 +67,7 @@ def export_csv(df: DataFrame, path: str) -> None:
     writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
-def write_sorted(df: DataFrame, path: str, keys: Sequence[str]) -> dict[str, object]:
+def write_sorted(df: DataFrame, path: str, keys: Sequence[str], more: Sequence[Column] = ()) -> dict[str, object]:
     """IO20. Parquet in key order within and across files, without one task holding a frequent key.
 
     Returns the metrics of the write. Equal keys are spread by a hash of the whole row, which takes no part in the declared order.
@@ -73,7 +75,8 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str]) -> dict[str, obj
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
     ranged = df.withColumn("_spread", spread).repartitionByRange(*[F.col(k) for k in keys], F.col("_spread"))
     # Observed after the exchange: finding its ranges reads the input a first time.
-    out, observation = observed(ranged.sortWithinPartitions(*keys).drop("_spread"), "year" if "year" in df.columns else None)
+    ranged = ranged.sortWithinPartitions(*keys).drop("_spread")
+    out, observation = observed(ranged, "year" if "year" in df.columns else None, more)
     out.write.mode("overwrite").parquet(path)
     return dict(observation.get)
 

@@ -856,3 +856,23 @@ def _load_report(spark, sf):
         "num_rows bigint, year_min int, year_max int, country_code_count bigint, indicator_code_count bigint, "
         "latest_year int, previewed bigint",
     )
+
+
+@register(
+    "summary_of_loads", "IO21 AG15",
+    sql(
+        """select cast(2 * count(*) as bigint) as num_rows, cast(min(year) as integer) as year_min,
+                  cast(max(year) as integer) as year_max,
+                  cast(count(distinct country_code) as bigint) as country_code_count,
+                  cast(count(distinct indicator_code) as bigint) as indicator_code_count
+           from regional""",
+        "regional",
+    ),
+)
+def _summary_of_loads(spark, sf):
+    """Two loads of the same answers: rows add up, and keys that both hold count once."""
+    answers, fallback, kept = _answer_files(spark, sf), bindings.regional(spark, sf), scratch_path(spark, "summaries")
+    for path in (scratch_path(spark, "loaded"), scratch_path(spark, "loaded-again")):
+        bronze.load_indicators(spark, "regional", answers, fallback, path, min_year=1900, sketches=kept)
+    found = bronze.summary_of_loads(spark, "regional", kept)
+    return found.select("num_rows", "year_min", "year_max", "country_code_count", "indicator_code_count")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estratos.operators import aggregates, calendar, joins, sets, statistics, topk, windows
+from estratos.operators import aggregates, calendar, joins, sets, sketches, statistics, topk, windows
 from estratos.plans import bindings
 from registry import tables as t
 from registry.base import register
@@ -236,6 +236,24 @@ def _approximate_counts_hold(spark, sf):
     return both.select("num_rows", "year_min", "year_max", *near)
 
 
+@register(
+    "united_sketches", "AG15 AG2 IO21",
+    f"""select {whole('year(o_orderdate)')} as year, count(*) as num_rows, true as customers_within_5_percent,
+               true as orders_within_5_percent from orders group by 1""",
+)
+def _united_sketches(spark, sf):
+    """Summaries by year and priority, united by year; three standard errors of their estimates are 5 percent."""
+    orders = bindings.table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    keys = ["o_custkey", "o_orderkey"]
+    rough = sketches.united(sketches.summarised(orders, keys, ["year", "o_orderpriority"]), keys, ["year"])
+    exact = orders.groupBy(F.col("year").alias("_year")).agg(*[F.count_distinct(F.col(k)).alias(f"_{k}") for k in keys])
+    both = rough.join(exact, F.col("year").eqNullSafe(F.col("_year")))
+    held = [F.abs(F.col(f"{k}_count") - F.col(f"_{k}")) <= 0.05 * F.col(f"_{k}") for k in keys]
+    return both.select(
+        "year", "num_rows", held[0].alias("customers_within_5_percent"), held[1].alias("orders_within_5_percent")
+    )
+
+
 @register(
     "growth_after_zero", "WF3",
     f"""select year, total,

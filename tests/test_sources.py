@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from estratos.operators import sketches
 from estratos.plans import bronze, reports
 from estratos.schemas import BRONZE
 from estratos.sources import readers, sinks
@@ -228,6 +229,32 @@ def test_a_file_that_fails_during_the_load_leads_to_the_fallback(spark, rows, tm
     assert readers.read_or_else(lambda: strict.csv(f"{tmp_path}/in/b.csv"), lambda: fallback, "p", "f").first().source_used == "f"
 
 
+def test_loads_are_summed_up_without_their_rows(spark, rows, tmp_path):
+    put(tmp_path / "a.csv", "year,month,pais,llegadas\n2020,1,Chile,5\n2021,2,,6\n2020,3,Perú,7\n")
+    put(tmp_path / "b.csv", "year,month,pais,llegadas\n2019,1,Chile,5\n2019,2,Cuba,6\n")
+    fallback, kept = rows([], BRONZE["arrivals"]), f"{tmp_path}/kept"
+    first = bronze.load(spark, "arrivals", f"{tmp_path}/a.csv", fallback, f"{tmp_path}/out-a", sketches=kept)
+    exact = bronze.load(spark, "arrivals", f"{tmp_path}/a.csv", fallback, f"{tmp_path}/out-c")
+    assert (first.distinct, first.latest, first.preview) == (exact.distinct, exact.latest, exact.preview)
+    assert first.latest["year"] == 2021 and set(first.latest) == set(BRONZE["arrivals"].names)
+    bronze.load(spark, "arrivals", f"{tmp_path}/b.csv", fallback, f"{tmp_path}/out-b", sketches=kept)
+    bronze.load(spark, "arrivals", f"{tmp_path}/b.csv", fallback, f"{tmp_path}/out-b", sketches=kept)  # replaces its summary
+    whole = bronze.summary_of_loads(spark, "arrivals", kept).first()
+    seen = {r.country_of_origin for x in "ab" for r in spark.read.parquet(f"{tmp_path}/out-{x}").collect()} - {None}
+    assert (whole.num_rows, whole.year_min, whole.year_max, whole.country_of_origin_count) == (5, 2019, 2021, len(seen))
+    nothing = bronze.load(spark, "arrivals", None, fallback, f"{tmp_path}/out-d", sketches=f"{tmp_path}/other")
+    assert (nothing.num_rows, nothing.latest, set(nothing.distinct.values())) == (0, None, {0})
+
+
+def test_sketches_unite_as_if_made_at_once(spark, rows):
+    df = rows([(2000 + i % 7, i % 3, f"k{i * i % 700}" if i % 5 else None) for i in range(3000)], "year int, load int, k string")
+    parts = sketches.summarised(df, ["k"], ["load"])
+    united, want = sketches.united(parts, ["k"]).first(), df.select("k").dropna().distinct().count()
+    assert (parts.count(), united.num_rows, united.year_min, united.year_max) == (3, 3000, 2000, 2006)
+    assert abs(united.k_count - want) <= 0.05 * want
+    assert tuple(sketches.united(parts.limit(0), ["k"]).first()) == (0, None, None, 0)
+
+
 def test_a_load_counts_what_it_could_not_read(spark, rows, tmp_path):
     lines = ["fecha_llegada,pais,llegadas", "15/03/2022,Chile,5", "sin fecha,Chile,6", '2022-04-01,"Costa', 'Rica",7', "2022-05-01,Perú,8"]
     put(tmp_path / "in.csv", "\n".join(lines) + "\n")
