@@ -16,6 +16,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 import pyarrow.fs
@@ -38,14 +39,17 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """One WARC record. A revisit names the record it repeats and has no payload of its own, only its digest and size."""
+def record(
+    page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, at: datetime
+) -> bytes:
+    """One WARC record of the time `at`. A revisit names the record it repeats and has no payload of its own, only its digest and size."""
     block = b"" if revisit else _HTTP + payload
     target = "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url or "")
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Date: {at.astimezone(timezone.utc):%Y-%m-%dT%H:%M:%SZ}",
         f"WARC-Target-URI: {target}",
         f"WARC-Payload-Digest: sha1:{payload_digest(payload)}",
         f"X-Payload-Length: {len(payload)}",
@@ -67,15 +71,18 @@ def header(raw: bytes) -> dict[str, str]:
 
 
 def records(stream) -> Iterator[bytes]:
-    """The records of an inflated or gzipped stream (one member or many), each whole, holding one at a time."""
-    buffer, inflate, ended = bytearray(), zlib.decompressobj(_GZIP), False
+    """The records of a gzipped stream (one member or many), each whole, holding one at a time.
+
+    A stream that ends within a record, or within a member (such as before its trailer), raises an error.
+    """
+    buffer, inflate, begun = bytearray(), zlib.decompressobj(_GZIP), False
 
     def more() -> bool:
-        nonlocal inflate, ended
+        nonlocal inflate, begun
         data = stream.read(READ_BYTES)
         if not data:
-            ended = True
             return False
+        begun = True
         while data:
             buffer.extend(inflate.decompress(data))
             data = inflate.unused_data
@@ -89,6 +96,8 @@ def records(stream) -> Iterator[bytes]:
         if end < 0:
             if buffer.strip():
                 raise ValueError("the stream ends within a header")
+            if begun and not inflate.eof:
+                raise ValueError("the stream ends within a member")
             return
         size = end + 4 + int(header(bytes(buffer[: end + 4]))["content-length"]) + 4
         while len(buffer) < size:
@@ -102,8 +111,12 @@ def _open(uri: str):
     return pyarrow.fs.FileSystem.from_uri(uri)
 
 
-def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """Write `page_id`, `url`, `payload`, `refers_to`, `revisit` as archives of one gzip stream each; gives their paths."""
+def write_archives(pages: DataFrame, folder: str, at: datetime | None = None) -> DataFrame:
+    """Write `page_id`, `url`, `payload`, `refers_to`, `revisit` as archives of one gzip stream each; gives their paths.
+
+    All records have the time `at`, by default that of the call.
+    """
+    at = at or datetime.now(timezone.utc)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _open(folder)
@@ -114,7 +127,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                 if out is None:
                     paths.append(f"{root}/{uuid.uuid4().hex}.warc.gz")
                     out, deflate, size = system.open_output_stream(paths[-1], compression=None), zlib.compressobj(LEVEL, wbits=_GZIP), 0
-                raw = record(page_id, url, payload or b"", refers_to, revisit)
+                raw = record(page_id, url, payload or b"", refers_to, revisit, at)
                 out.write(deflate.compress(raw))
                 size += len(raw)
                 if size >= FILE_BYTES:

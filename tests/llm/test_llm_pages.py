@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import io
 import random
+from datetime import datetime, timedelta, timezone
 
 import duckdb
 import pytest
@@ -120,11 +121,17 @@ def test_members_and_index_agree(spark, tmp_path):
 
 
 def test_damaged_streams_raise():
-    raw = warc.record(1, "u", b"payload", None, False)
+    raw = warc.record(1, "u", b"payload", None, False, datetime(2024, 5, 1, 6, 30, tzinfo=timezone(timedelta(hours=-5))))
+    assert warc.header(raw)["warc-date"] == "2024-05-01T11:30:00Z"
     whole = gzip.compress(raw + raw)
     assert list(warc.records(io.BytesIO(whole))) == [raw, raw]
     with pytest.raises(ValueError, match="within"):
         list(warc.records(io.BytesIO(gzip.compress(raw + raw[:-20]))))
+    for lost in (1, 4, 8):  # of the trailer, after all records have been inflated
+        with pytest.raises(ValueError, match="within a member"):
+            list(warc.records(io.BytesIO(whole[:-lost])))
+    assert list(warc.records(io.BytesIO(gzip.compress(raw) + gzip.compress(raw)))) == [raw, raw]
+    assert list(warc.records(io.BytesIO(b""))) == []
     with pytest.raises(ValueError, match="damaged"):
         warc._facts(raw.replace(b"payload\r\n", b"pAyload\r\n"))
 
