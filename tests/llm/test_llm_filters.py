@@ -149,6 +149,96 @@ def test_mixed_texts_have_both_languages(spark):
     assert set(mixture) == {"de", "fr"} and all(0.3 < share < 0.7 for share in mixture.values())
 
 
+def plain_trigrams(text):
+    out = [32]
+    for byte in (text or "").encode():
+        c = byte + 32 if 65 <= byte <= 90 else byte if 97 <= byte <= 122 or byte >= 128 else 32
+        if c != 32 or out[-1] != 32:
+            out.append(c)
+    if out[-1] != 32:
+        out.append(32)
+    return [tuple(out[i : i + 3]) for i in range(len(out) - 2)]
+
+
+def plain_mixture(text, counts):
+    """Mixture inference with dictionaries; `counts` has a Counter of trigrams for each language."""
+    known, langs = set().union(*counts.values()), sorted(counts)
+    total = {lang: sum(own.values()) + 0.5 * len(known) for lang, own in counts.items()}
+    doc = Counter(t for t in plain_trigrams(text) if t in known)
+    if not doc:
+        return dict.fromkeys(langs, 1 / len(langs)) if plain_trigrams(text) else {}
+    chance = {(lang, t): (counts[lang][t] + 0.5) / total[lang] for lang in langs for t in doc}
+
+    def proportions(members, start):
+        share = {lang: start[lang] / sum(start[m] for m in members) for lang in members}
+        for _ in range(12):
+            mixed = {t: sum(share[lang] * chance[lang, t] for lang in members) for t in doc}
+            share = {lang: sum(n * share[lang] * chance[lang, t] / mixed[t] for t, n in doc.items()) / sum(doc.values()) for lang in members}
+        return share
+
+    def likelihood(share):
+        return sum(n * np.log(sum(s * chance[lang, t] for lang, s in share.items())) for t, n in doc.items())
+
+    best = max(langs, key=lambda lang: likelihood({lang: 1.0}))
+    chosen, value = {best: 1.0}, likelihood({best: 1.0})
+    everything = proportions(langs, dict.fromkeys(langs, 1.0))
+    order = [best, *sorted((lang for lang in langs if lang != best), key=lambda lang: -everything[lang])]
+    for size in range(2, len(order) + 1):
+        share = proportions(order[:size], {lang: max(everything[lang], 1e-3) for lang in order[:size]})
+        gained = likelihood(share) - 4.0 * (size - 1) * np.log2(sum(doc.values()) + 1)
+        if gained <= value:
+            break
+        chosen, value = share, gained
+    return chosen
+
+
+def script(rng, first, letters, words):
+    """Words of a made-up language: two to five of so many characters from `first` on."""
+    return " ".join("".join(chr(first + rng.randrange(letters)) for _ in range(rng.randrange(2, 6))) for _ in range(words))
+
+
+def test_mixtures_are_those_of_plain_python(spark, monkeypatch):
+    rng = random.Random(12)
+    kinds = {"aa": (97, 9), "bb": (97, 14), "cc": (0x4E00, 3000), "dd": (0x5200, 3000)}
+    rows = [(script(rng, *kinds[lang], 120), lang) for lang in kinds for _ in range(8)] + [(None, "aa"), ("", "bb"), ("x y", None), ("?!", "ee")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    counts = {}
+    for text, lang in rows:
+        if lang is not None and plain_trigrams(text):
+            counts.setdefault(lang, Counter()).update(plain_trigrams(text))
+    model = languages.learn(docs.repartition(3))
+    stored = Counter()
+    for i, code in enumerate(model.known.tolist()):
+        for at in range(model.begin[i], model.begin[i + 1]):
+            stored[model.langs[model.lang[at]], (code >> 16, code >> 8 & 255, code & 255)] += 1
+    assert set(stored) == {(lang, t) for lang, own in counts.items() for t in own} and set(stored.values()) == {1}
+    assert len(model.known) > 4000  # the exact trigrams of scripts with many characters
+    texts = [script(rng, *kinds[a], 40) + " " + script(rng, *kinds[b], n) for a in kinds for b in kinds for n in (1, 15, 60)]
+    for text in [*texts, "a", "é", "ab cd, ab!", "ЖЖ", "x" * 3000]:
+        got = model.infer(languages.trigrams(np.frombuffer(text.encode(), np.uint8)))
+        wanted = plain_mixture(text, counts)
+        assert set(got) == set(wanted) and all(abs(got[lang] - wanted[lang]) < 1e-9 for lang in got), text
+
+
+def test_counts_do_not_depend_on_how_many_a_task_holds(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    rows = [(script(rng, 0x4E00, 500, 30), rng.choice("ab")) for _ in range(60)]
+    batch = pa.record_batch([pa.array([r[i] for r in rows]) for i in (0, 1)], names=["text", "lang"])
+
+    def counted():
+        total = Counter()
+        for part in languages._count(iter([batch, batch])):
+            for lang, code, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                total[lang, code] += n
+        return total
+
+    whole = counted()
+    monkeypatch.setattr(languages, "HELD_COUNTS", 50)
+    assert counted() == whole and sum(whole.values()) == 2 * sum(len(plain_trigrams(t)) for t, _ in rows)
+
+
 def test_odd_texts_and_no_training(spark, odd, empty):
     model = languages.learn(corpora.clashing(odd))
     rows = languages.identify(corpora.clashing(odd), model).collect()
