@@ -94,12 +94,11 @@ def header_columns(header: str) -> list[str]:
 
 
 def found_records(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
-    """IO3. The records of files with line breaks in their cells. Their lines are written to the scratch folder first."""
-    staged = scratch_path(spark, "csv-lines")
+    """IO3. The records of files with line breaks in their cells. They are written to the scratch folder as they are read."""
+    staged = scratch_path(spark, "csv-pieces")
     lines = records.with_lines(records.text_scan(spark, files, encoding))
-    lines.select("path", "block", "pos", records.text_of(encoding).alias("value")).write.parquet(staged)
-    lines = spark.read.schema("path string, block long, pos long, value string").parquet(staged)
-    return records.csv_records(lines, scratch_path(spark, "csv-blocks"))
+    records.pieces(lines.withColumn("value", records.text_of(encoding))).write.parquet(staged)
+    return records.csv_records(spark.read.schema(records.PIECES).parquet(staged), scratch_path(spark, "csv-blocks"))
 
 
 def read_csv(
@@ -160,10 +159,11 @@ def surveyed(spark: SparkSession, files: Sequence[str], encoding: str, breaks: b
     if not breaks:
         lines = lines.where("block = 0")
     head = (F.col("block") == 0) & (F.trim("value") != "")
-    first = F.min(F.when(head, F.struct("pos", "value", "raw"))).alias("first")
-    opens = F.bool_or(records.opens_cell(F.col("value"))) if breaks else F.lit(False)
-    found = lines.groupBy("path").agg(first, opens.alias("opens")).where("first is not null")
-    found = found.select("path", "opens", "first.value", "first.raw")
+    opens = records.opens_cell(F.col("value")) if breaks else F.lit(False)
+    # A row for each block before they are grouped: the least of many texts would be found by sorting the lines.
+    heads = records.block_heads(lines.select("path", "block", F.when(head, F.col("raw")).alias("raw"), opens.alias("opens")))
+    found = heads.groupBy("path").agg(F.max("raw").alias("raw"), F.bool_or("opens").alias("opens")).where("raw is not null")
+    found = found.select("path", "opens", "raw", F.rtrim(F.make_valid_utf8(F.col("raw").cast("string")), F.lit("\r")).alias("value"))
     found = found.select("path", "opens", records.text_of(encoding).alias("header"))
     return {unquote(row["path"]): (row["header"], row["opens"]) for row in found.orderBy("path").toLocalIterator()}
 

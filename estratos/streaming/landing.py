@@ -67,8 +67,7 @@ def landed_rows(
 
     def stage(batch: DataFrame) -> DataFrame:
         named = batch.select("value", F.struct("file_path", "file_block_start").alias("_metadata"))
-        lines = records.with_lines(named)
-        return lines.select("path", "block", "pos", records.text_of(encoding).alias("value"))
+        return records.pieces(records.with_lines(named).withColumn("value", records.text_of(encoding)))
 
     def rows(staged: DataFrame, scratch: str) -> DataFrame:
         found = records.csv_records(staged, scratch)
@@ -105,7 +104,7 @@ def published(spark: SparkSession, sink: str) -> list[Run]:
     if not files.globStatus(at(pattern)):
         return []
     entries = spark.read.schema("run long, folder string, files long, rows_read long, rows_kept long").json(pattern)
-    return [Run(*row) for row in entries.orderBy("run").collect()]
+    return [Run(*row) for row in entries.orderBy("run").toLocalIterator()]
 
 
 def ingest(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from estratos.operators import sketches
 from estratos.plans import bronze, reports
 from estratos.schemas import BRONZE
-from estratos.sources import readers, sinks
+from estratos.sources import readers, records, sinks
 
 
 def put(path: Path, text: str, encoding: str = "utf-8") -> str:
@@ -351,3 +351,27 @@ def test_every_export_order_ends_in_a_key():
 
 def test_canonical_schemas_have_no_nested_columns():
     assert all(f.dataType.typeName() in {"integer", "long", "double", "string", "date"} for s in BRONZE.values() for f in s)
+
+
+def test_records_with_breaks_are_joined_where_they_are_read(spark, tmp_path, monkeypatch):
+    """Only lines at the edges of a block are written again, sorted or sent to other tasks."""
+    text = "a,b,c\n" + "".join(f'"x{i}\n\ny","p ""q"",\nr",{i}\n' for i in range(500)) + '"never closed,1\n7,8,9\n'
+    path = put(tmp_path / "in/r.csv", text)
+    monkeypatch.setattr(readers, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        rows = sorted(map(tuple, readers.read_csv(spark, path, flag_broken=True).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = [(f"x{i}\n\ny", 'p "q",\nr', str(i), False) for i in range(500)] + [("never closed,1", None, None, True), ("7", "8", "9", False)]
+    assert rows == sorted(want, key=str)
+    assert spark.read.parquet(f"{tmp_path}/csv-blocks/placed").count() < 100
+
+
+def test_the_survey_does_not_sort_the_lines(spark, tmp_path, monkeypatch):
+    path = put(tmp_path / "s.csv", "\n \nh1,h2\r\n" + '1,"x\ny"\n' * 50)
+    seen = []
+    heads = records.block_heads
+    monkeypatch.setattr(records, "block_heads", lambda lines: seen.append(heads(lines)) or seen[-1])
+    assert list(readers.surveyed(spark, [path], "UTF-8", True).values()) == [("h1,h2", True)]
+    assert seen[0].count() == 1
