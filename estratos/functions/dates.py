@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -38,6 +39,27 @@ def _swapped(pattern: str) -> str:
     return pattern
 
 
+_PARTS = {
+    "yyyy": "[-+]?[0-9]{4,}", "MMMM": "[^0-9]+", "MMM": "[^0-9]+", "MM": "(?:0[1-9]|1[0-2])", "M": "0*(?:[1-9]|1[0-2])",
+    "dd": "(?:0[1-9]|[12][0-9]|3[01])", "d": "0*(?:[1-9]|[12][0-9]|3[01])", "H": "0*(?:1?[0-9]|2[0-3])",
+    "mm": "[0-5][0-9]", "ss": "[0-5][0-9]",
+}
+
+
+def _shape(pattern: str) -> str:
+    """A regular expression that every text in a date format fits, and few others."""
+    pieces = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", pattern)
+    return r"\A" + "".join(re.escape(other) if other else _PARTS[one + more] for one, more, other in pieces) + r"\z"
+
+
+def _in_format(text: Column, pattern: str) -> Column:
+    """The timestamp of a text in a date format, or null.
+
+    A text that does not fit costs an exception, many times what a date costs, so only texts of its shape are tried.
+    """
+    return F.when(text.rlike(_shape(pattern)), F.try_to_timestamp(text, F.lit(pattern)))
+
+
 def parse_date(
     c: Column | str, formats: Sequence[str] = DATE_FORMATS, day_first: Column | None = None
 ) -> Column:
@@ -49,7 +71,7 @@ def parse_date(
     text = F.trim(_col(c).cast("string"))
 
     def first_that_fits(patterns: Sequence[str]) -> Column:
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)).cast("date") for p in patterns])
+        return F.coalesce(*[_in_format(text, p).cast("date") for p in patterns])
 
     others = first_that_fits(formats)
     if day_first is not None:
@@ -64,7 +86,7 @@ def fits_one_order(c: Column | str, day_first: bool, formats: Sequence[str] = DA
 
     def fits(prefixes: Sequence[str]) -> Column:
         own = [p for p in formats if p.startswith(prefixes)]
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in own]).isNotNull()
+        return F.coalesce(*[_in_format(text, p) for p in own]).isNotNull()
 
     wanted, other = starts if day_first else starts[::-1]
     return fits(wanted) & ~fits(other)

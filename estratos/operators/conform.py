@@ -165,7 +165,9 @@ def conform_arrivals(
     has_date = "arrival_date" in df.columns
     day_first = reads_day_first(df, "arrival_date") if has_date and _is_text(df, "arrival_date") else F.lit(None).cast("boolean")
     df = df.withColumn("_day_first", day_first)
-    date = parse_date("arrival_date", day_first=F.col("_day_first")) if has_date else F.lit(None).cast("date")
+    # A column of its own, so that a text is parsed once and not for each use of its date.
+    parsed = parse_date("arrival_date", day_first=F.col("_day_first")) if has_date else F.lit(None).cast("date")
+    df, date = df.withColumn("_date", parsed), F.col("_date")
     unreadable = F.col("arrival_date").isNotNull() & date.isNull() if has_date else F.lit(False)
     # A derived part equals the date's; an unreadable date leaves 0, which the period filter drops.
     parts = _ints(df, {name: 0 for name in ("year", "month") if name in df.columns})
@@ -185,7 +187,7 @@ def conform_arrivals(
         | _doubles(df, {"estimated_spending_usd": 0.0})
     )
     kept = _in_period(df, min_year, "month", 12, read, F.col("_date_unreadable"), F.col("_day_first"))
-    return kept.drop("_date_unreadable", "_day_first")
+    return kept.drop("_date_unreadable", "_day_first", "_date")
 
 
 def conform_occupancy(

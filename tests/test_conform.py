@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import Observation
 
 from estratos import fixed_values as fixed
 from estratos.operators import conform
@@ -210,3 +211,11 @@ def test_conforming_runs_no_job_until_read(spark, rows):
     spark.sparkContext.setJobGroup("conform", "conform")
     bronze.arrivals_csv(raw)
     assert list(tracker.getJobIdsForGroup("conform")) == []
+
+
+def test_a_date_text_is_parsed_once(rows):
+    """However many columns come from the date; reading in either order names the format twice."""
+    df = conform.conform_arrivals(text(rows, "fecha_llegada", "15/04/2022", "03/05/2022"), 1990, Observation())
+    assert sorted(str(r.arrival_date) for r in df.collect()) == ["2022-04-15", "2022-05-03"]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") and plan.count(", yyyyMMdd,") == 2, plan

@@ -144,3 +144,18 @@ def test_surrogate_key(spark, parts):
 def test_date_texts(spark, text, day):
     got = spark.createDataFrame([(text,)], "t string").select(fn.parse_date("t").alias("d")).first().d
     assert got == (None if day is None else date(*day))
+
+
+def test_formats_are_tried_on_texts_of_their_shape_only(spark):
+    """A text that fits no format costs an exception in Spark; the shapes leave out no text that fits."""
+    texts = [
+        "20220415", "2022/4/5", "0004/05/2022", "15/04/2022", "04-15-2022", "15.4.2022", "APRIL 5, 2022", "Apr 15, 2022", "15 april 2022",
+        "5-Apr-2022", "2022/4/5 7:08:09", "4/5/2022 23:59", "31/12/+12022", "30/02/2022", "13/13/2022", "4/5/2022 24:00", "s/f", "20221305", None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.coalesce(F.col("t").try_cast("date"), *[F.try_to_timestamp("t", F.lit(p)).cast("date") for p in fixed.DATE_FORMATS])
+    made = df.select("t", fn.parse_date("t").cast("string").alias("got"), plain.cast("string").alias("want"))
+    assert all(r.got == r.want for r in made.collect()) and made.where("got is not null").count() == 13
+    plan = made.select("got")._jdf.queryExecution().optimizedPlan().toString()
+    tried = [p for p in fixed.DATE_FORMATS if f", {p}," in plan]
+    assert tried == fixed.DATE_FORMATS and plan.count("RLIKE") == len(tried), plan
