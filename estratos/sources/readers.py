@@ -77,10 +77,10 @@ def record_rows(found: DataFrame, columns: Sequence[str], flag: bool) -> DataFra
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     ddl = ", ".join("`" + f.name.replace("`", "``") + "` string" for f in schema)
-    cells = F.from_csv("record", ddl, {"quote": '"', "escape": '"', "multiLine": "true"}).alias("cells")
-    parsed = found.where(~F.col("header")).select(cells, F.col("broken").alias(BROKEN))
-    parsed = parsed.select("cells.*", *([BROKEN] if flag else []))
-    return null_tokens_to_null(parsed, [BROKEN])
+    cells = F.from_csv("record", ddl, {"quote": '"', "escape": '"', "multiLine": "true"})
+    # Generated, so that a record is parsed once and not for each use of one of its cells.
+    parsed = found.where(~F.col("header")).select(F.inline(F.array(cells)), F.col("broken").alias(BROKEN))
+    return null_tokens_to_null(parsed if flag else parsed.drop(BROKEN), [BROKEN])
 
 
 def header_columns(header: str) -> list[str]:

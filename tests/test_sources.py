@@ -368,6 +368,14 @@ def test_records_with_breaks_are_joined_where_they_are_read(spark, tmp_path, mon
     assert spark.read.parquet(f"{tmp_path}/csv-blocks/placed").count() < 100
 
 
+def test_a_record_is_parsed_once(spark, rows):
+    found = rows([("f", "1,x", False, False), ("f", "NULL,y", False, False)], "path string, record string, header boolean, broken boolean")
+    df = readers.record_rows(found, ["a", "b"], True)
+    assert sorted(map(tuple, df.collect()), key=str) == [("1", "x", False), (None, "y", False)]
+    plan = df.where("a > 0 and b <> ''")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("from_csv(") + plan.lower().count("csvtostructs(") == 1, plan
+
+
 def test_the_survey_does_not_sort_the_lines(spark, tmp_path, monkeypatch):
     path = put(tmp_path / "s.csv", "\n \nh1,h2\r\n" + '1,"x\ny"\n' * 50)
     seen = []
