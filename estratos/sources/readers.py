@@ -161,7 +161,8 @@ def surveyed(spark: SparkSession, files: Sequence[str], encoding: str, breaks: b
     head = (F.col("block") == 0) & (F.trim("value") != "")
     opens = records.opens_cell(F.col("value")) if breaks else F.lit(False)
     # A row for each block before they are grouped: the least of many texts would be found by sorting the lines.
-    heads = records.block_heads(lines.select("path", "block", F.when(head, F.col("raw")).alias("raw"), opens.alias("opens")))
+    told = lines.select("path", "block", F.when(head, F.col("raw")).alias("raw"), opens.alias("opens"))
+    heads = records.block_heads(told.where("opens or raw is not null"))
     found = heads.groupBy("path").agg(F.max("raw").alias("raw"), F.bool_or("opens").alias("opens")).where("raw is not null")
     found = found.select("path", "opens", "raw", F.rtrim(F.make_valid_utf8(F.col("raw").cast("string")), F.lit("\r")).alias("value"))
     found = found.select("path", "opens", records.text_of(encoding).alias("header"))

@@ -383,3 +383,13 @@ def test_the_survey_does_not_sort_the_lines(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(records, "block_heads", lambda lines: seen.append(heads(lines)) or seen[-1])
     assert list(readers.surveyed(spark, [path], "UTF-8", True).values()) == [("h1,h2", True)]
     assert seen[0].count() == 1
+
+
+def test_the_survey_hands_on_no_line_that_tells_nothing(spark, tmp_path, monkeypatch, tiny_blocks):
+    """Of blocks after the first only lines that leave a cell open go to Python."""
+    path = put(tmp_path / "s.csv", "h1,h2\n" + '1,"x"\n' * 500)
+    seen = []
+    heads = records.block_heads
+    monkeypatch.setattr(records, "block_heads", lambda lines: seen.append(lines) or heads(lines))
+    assert list(readers.surveyed(spark, [path], "UTF-8", True).values()) == [("h1,h2", False)]
+    assert {r.block for r in seen[0].select("block").distinct().collect()} == {0}
