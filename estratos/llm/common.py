@@ -8,16 +8,27 @@ from pyspark.sql import types as T
 
 from estratos.session import scratch_path
 
+#: Whether Spark removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write a result to the shared scratch folder and read it back, which cuts its lineage."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a result to the shared scratch folder and read it back, which cuts its lineage.
+
+    The shuffle files of the write go as it ends; else they stay until the driver happens to collect its garbage.
+    """
+    spark = df.sparkSession
+    path, before = scratch_path(spark, label), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _hashable(field: T.StructField) -> Column:

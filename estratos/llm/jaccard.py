@@ -7,9 +7,12 @@ the first n - s * n + k hold at least k that a similar set has in its own prefix
 if k shingles of its prefix occur in other sets. That drops sets which merely share a passage with others. Second,
 parts: two sets of sizes m and n with similarity s or more differ in at most (1 - s) / (1 + s) * (m + n) shingles, and
 their sizes lie in the same or in adjacent bands of ratio 1 / s. For each pair of adjacent bands the shingles are
-dealt by hash into more parts than there can be differences, so two similar sets have a part with equal content. Sets
-that share the content of a part are tied, and the components of these ties are the neighbourhoods within which links
-can exist.
+dealt by hash into more parts than there can be differences, so two similar sets have a part with equal content. Parts
+that the same sets have are one, and its sets are compared by their prints: bit maps of the parity of shingle hashes,
+which differ in at most as many bits as the sets do in shingles. Sets that share a part and whose prints are as near as
+those of similar sets have to be are tied, and the components of these ties are the neighbourhoods within which links
+can exist. Parts alone would tie sets that share a few common shingles, and with enough sets most would be one
+neighbourhood.
 
 Search. Within a neighbourhood each set is a query against an inverted index of the others. A similar set must occur
 in T of the query's lists. DivideSkip puts the longest lists aside, merges the short ones, keeps those sets that occur
@@ -36,6 +39,11 @@ from estratos.llm.components import connected_components
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 20
 PIECE_ROWS = 1024
+#: Sets that share a part are compared in blocks of this size; groups of `FEW` and less by all pairs at once.
+TIE_SETS = 1 << 14
+FEW = 8
+PAIRS = 4096
+LEAST_BITS = 256
 BITS_PER_KEY = 16
 MOST_BITS = 1 << 26
 #: Weight of a lookup against a merge step when lists are divided into long and short ones.
@@ -326,8 +334,93 @@ def candidate_sets(docs: DataFrame, of_class: DataFrame, size: int, percent: int
     return texts.mapInArrow(sets_of, "class bigint, n bigint, shingles array<bigint>")
 
 
+def parity_print(shingles: np.ndarray) -> np.ndarray:
+    """Words of a bit map that tells for each hash value whether an odd number of shingles has it.
+
+    It has a power of two of bits, as many as shingles or more and `LEAST_BITS` at least. Equal shingles cancel out in the exclusive or of two
+    prints, so these differ in no more bits than the sets do in shingles. The larger one folds to the size of the other.
+    """
+    bits = max(LEAST_BITS, 1 << (len(shingles) - 1).bit_length())
+    at = (mix(shingles ^ np.uint64(0x6A09E667F3BCC909)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").view("<u8")
+
+
+class Prints:
+    """Classes with their sizes and prints; word i of a print is values[first + i]."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        self.classes, self.sizes = table.column("class").to_numpy(), table.column("n").to_numpy()
+        prints = table.column("print").combine_chunks()
+        self.width = np.asarray(prints.value_lengths()).astype(np.int64)
+        self.values = prints.flatten().to_numpy().view(np.uint64)
+        self.first = np.cumsum(self.width) - self.width
+        self.percent = percent
+
+    def folded(self, rows: np.ndarray, want: int) -> np.ndarray:
+        """The prints of some rows with `want` words each."""
+        out = np.empty((len(rows), want), dtype=np.uint64)
+        for have in np.unique(self.width[rows]).tolist():
+            own = np.flatnonzero(self.width[rows] == have)
+            words = self.values[self.first[rows[own]][:, None] + np.arange(have)]
+            out[own] = np.bitwise_xor.reduce(words.reshape(len(own), have // want, want), axis=1)
+        return out
+
+    def may_link(self, a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether the sets of rows `a` and `b`, with prints `x` and `y`, can be similar."""
+        m, n = self.sizes[a], self.sizes[b]
+        most = (100 - self.percent) * (m + n) // (100 + self.percent)
+        return np.maximum(np.bitwise_count(x ^ y).sum(axis=1), np.abs(m - n)) <= most
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Those of the pairs of rows that can be similar."""
+        narrow = np.minimum(self.width[a], self.width[b])
+        for want in np.unique(narrow).tolist():
+            own = np.flatnonzero(narrow == want)
+            for at in range(0, len(own), PAIRS):
+                i, j = a[own[at : at + PAIRS]], b[own[at : at + PAIRS]]
+                near = self.may_link(i, j, self.folded(i, want), self.folded(j, want))
+                yield i[near], j[near]
+
+    def forest(self, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows that can be similar, with the components of all such pairs."""
+        prints = self.folded(rows, int(self.width[rows].min()))
+        label = np.arange(len(rows))
+        for x in range(len(rows) - 1):
+            others = np.flatnonzero(label[x + 1 :] != label[x]) + x + 1
+            if not len(others):
+                if (label == label[x]).all():
+                    break
+                continue
+            near = others[self.may_link(rows[others], rows[[x]], prints[others], prints[[x]])]
+            joined, at = np.unique(label[near], return_index=True)
+            if len(joined):
+                yield np.full(len(at), rows[x]), rows[near[at]]
+                label[np.isin(label, joined)] = label[x]
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows in which each group of successive rows that agree in `by` is whole, and the bounds of the groups."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rest = table if rest is None else pa.concat_tables([rest, table])
+        ids = rest.column(by).to_numpy()
+        bounds = np.concatenate(([0], np.flatnonzero(ids[1:] != ids[:-1]) + 1))
+        if bounds[-1]:
+            yield rest.slice(0, bounds[-1]).combine_chunks(), bounds
+            rest = rest.slice(bounds[-1])
+    if rest is not None and len(rest):
+        ids = rest.column(by).to_numpy()
+        yield rest.combine_chunks(), np.concatenate(([0], np.flatnonzero(ids[1:] != ids[:-1]) + 1, [len(rest)]))
+
+
 def neighbourhoods(sets: DataFrame, percent: int) -> DataFrame:
-    """`node` (a class) and `component`, its neighbourhood, for the sets that share a part with another one."""
+    """`node` (a class) and `component`, its neighbourhood, for the sets tied to another one.
+
+    Two similar sets share a part, and so are compared. Of parts that the same sets have one is kept, told by the
+    smallest and largest class and two sums of class bits. A part that very many sets have is compared by pairs of
+    blocks of its sets.
+    """
     parts = Parts(percent)
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,10 +432,50 @@ def neighbourhoods(sets: DataFrame, percent: int) -> DataFrame:
 
     keyed = written(sets.select("class", "shingles").mapInArrow(of_batch, "key bigint, class bigint"), "part-keys")
     # Pre-aggregated, and written, so that the join is one of two exchanges of their own and a frequent key can be split.
-    least = keyed.groupBy("key").agg(F.min("class").alias("other"), F.max("class").alias("high"))
-    least = written(least.where("other < high").select("key", "other"), "ties")
-    ties = keyed.join(least, "key").where("other <> class")
-    return connected_components(ties.select(F.col("class").alias("a"), F.col("other").alias("b")))
+    # The sums are of parts of the class, whose bytes the exchange packs away next to those of the smallest and largest.
+    low, high = F.shiftright("class", 24), F.col("class").bitwiseAND(F.lit((1 << 40) - 1))
+    same = F.min("class").alias("least"), F.max("class").alias("most"), F.count("*").alias("sets"), F.sum(low).alias("s"), F.sum(high).alias("t")
+    shared = keyed.groupBy("key").agg(*same).where("least < most")
+    kept = shared.groupBy("least", "most", "sets", "s", "t").agg(F.min("key").alias("key"))
+    kept = written(kept.select("key", F.ceil(F.col("sets") / TIE_SETS).cast("int").alias("blocks")), "ties")
+
+    def print_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            found = [parity_print(s.values.to_numpy().view(np.uint64)) for s in batch.column(1)]
+            offsets = np.concatenate(([0], np.cumsum([len(p) for p in found]))).astype(np.int32)
+            words = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+            yield pa.record_batch(
+                [
+                    batch.column(0), pa.array([len(s) for s in batch.column(1)], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(words), pa.int64())),
+                ],
+                names=["class", "n", "print"],
+            )
+
+    prints = sets.select("class", "shingles").mapInArrow(print_of, "class bigint, n bigint, print array<bigint>")
+    prints = written(prints.dropDuplicates(["class"]), "prints")
+
+    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in whole_groups(batches, "at"):
+            rows, counts = Prints(table, percent), np.diff(bounds)
+            found = []
+            for count in range(2, FEW + 1):
+                begins = bounds[:-1][counts == count]
+                i, j = np.triu_indices(count, 1)
+                found.extend(rows.pairs((begins[:, None] + i).ravel(), (begins[:, None] + j).ravel()))
+            for k in np.flatnonzero(counts > FEW).tolist():
+                found.extend(rows.forest(np.arange(bounds[k], bounds[k + 1])))
+            if found:
+                a, b = (np.concatenate([pair[side] for pair in found]) for side in (0, 1))
+                yield pa.record_batch([pa.array(rows.classes[a]), pa.array(rows.classes[b])], names=["a", "b"])
+
+    met = keyed.join(kept, "key").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    alone = F.col("blocks") == 1
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where(alone | (F.col("block") != F.col("other")))
+    met = met.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("at"), "class").join(prints, "class")
+    tasks = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ties = met.repartition(tasks, "at").sortWithinPartitions("at").mapInArrow(tie, "a bigint, b bigint")
+    return connected_components(ties)
 
 
 def links(docs: DataFrame, of_class: DataFrame, size: int, percent: int) -> DataFrame:

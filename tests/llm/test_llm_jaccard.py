@@ -1,14 +1,17 @@
 """The Jaccard join against all pairs, and connected components against a search."""
 
 import random
+import time
 from itertools import combinations
 
 import corpora
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from estratos.llm import jaccard
+from estratos.llm.common import CLEANUP, written
 from estratos.llm.components import connected_components
 
 
@@ -183,3 +186,57 @@ def test_ties_are_found_with_a_partial_step(spark, monkeypatch):
     near = jaccard.neighbourhoods(spark.createDataFrame(sets, "class bigint, shingles array<bigint>"), 90).collect()
     assert {r["node"] for r in near} == set(range(60)) and {r["component"] for r in near} == {0}
     assert "Window" not in plans[0] and "Join" in plans[0]
+
+
+def crossing_sets(rng, groups, sizes):
+    """Sets that share halves with others, so that parts tie them, and for each a near copy of one shingle more."""
+    halves = [[rng.sample(range(1, 2**62), n // 2) for n in sizes] for _ in range(groups)]
+    sets = [set(a[k] + b[k]) for k in range(len(sizes)) for a, b in combinations(halves, 2)]
+    sets += [s | {rng.randrange(2**62)} for s in sets]
+    return [(i, sorted(s)) for i, s in enumerate(sets)]
+
+
+def neighbours(spark, sets, percent):
+    near = jaccard.neighbourhoods(spark.createDataFrame(sets, "class bigint, shingles array<bigint>"), percent).collect()
+    found = {}
+    for node, component in map(tuple, near):
+        found.setdefault(component, set()).add(node)
+    return sorted(map(sorted, found.values()))
+
+
+@pytest.mark.parametrize("block", [2, 1 << 14])
+@pytest.mark.parametrize("percent", [80, 90])
+def test_a_common_part_alone_makes_no_neighbourhood(spark, monkeypatch, percent, block):
+    """Neighbourhoods are as large as the groups of near copies, however many sets share parts with one another."""
+    monkeypatch.setattr(jaccard, "TIE_SETS", block)
+    sets = crossing_sets(random.Random(12), 12, (40, 90, 200))
+    assert neighbours(spark, sets, percent) == [[i, i + len(sets) // 2] for i in range(len(sets) // 2)]
+
+
+@pytest.mark.parametrize("few", [2, 8])
+def test_prints_tie_all_similar_sets(spark, monkeypatch, few):
+    """Sets of sizes on both sides of a power of two, with similarities from below to above the least one."""
+    monkeypatch.setattr(jaccard, "FEW", few)
+    rng = random.Random(13)
+    sets = []
+    for n in (7, 30, 62, 66, 126, 130, 250, 262):
+        base = rng.sample(range(1, 2**62), n)
+        sets += [set(base[: n - rng.randrange(n // 5 + 1)] + rng.sample(range(2**62), rng.randrange(n // 8 + 1))) for _ in range(12)]
+    linked = [(i, j) for i, j in combinations(range(len(sets)), 2) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and sets[i] != sets[j]]
+    of = {x: k for k, group in enumerate(neighbours(spark, [(i, sorted(s)) for i, s in enumerate(sets)], 80)) for x in group}
+    assert len(linked) > 100 and all(of[i] == of[j] for i, j in linked)
+
+
+def test_shuffle_files_go_when_a_write_ends(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {str(x) for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+
+    before, had = files(), spark.conf.get(CLEANUP)
+    assert len(written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts").collect()) == 7
+    for _ in range(60):
+        if not (left := files() - before):
+            break
+        time.sleep(0.5)
+    assert not left and spark.conf.get(CLEANUP) == had
