@@ -505,7 +505,18 @@ def links(docs: DataFrame, of_class: DataFrame, size: int, percent: int) -> Data
         "near", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         (F.col("block") > F.col("other")).alias("side"), "lower", "class",
     )
-    met = met.join(sets.select("class", "shingles"), "class")
+    # Few sets are tied to others. A bit map holds the rest back where they are read; the join does the rest.
+    map_of_bits = membership(placed.select(F.col("class").alias("row_key")))
+    mask = np.uint64(64 * len(map_of_bits) - 1)
+
+    def of_placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy().view(np.uint64) & mask
+            hit = (map_of_bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
+            yield batch.filter(pa.array(hit == 1))
+
+    moved = sets.select("class", "shingles").mapInArrow(of_placed, "class bigint, shingles array<bigint>")
+    met = met.join(moved, "class")
 
     def search(table: pa.Table) -> pa.Table:
         sets = [s.values.to_numpy().view(np.uint64) for s in table.column("shingles").combine_chunks()]
